@@ -1,0 +1,99 @@
+"""PageRank for a fixed number of steps."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from textgraph.operators.graph import (
+    DAMPING,
+    dedupe_adjacency,
+    hot_sources,
+    links_of,
+    node_count,
+    page_table,
+    pagerank_step,
+    split_sources,
+)
+from textgraph.operators.skew import HOT_FLOOR
+from textgraph.scratch import cut_lineage
+
+# Steps planned as one query. All of them read the same shuffle of the links.
+STEPS_PER_PLAN = 5
+
+
+def pagerank(
+    adj: DataFrame,
+    iterations: int,
+    n: int | Column | None = None,
+    damping: float = DAMPING,
+    initial_rank: float | None = 1.0,
+    save_each: str | None = None,
+    hot_floor: int = HOT_FLOOR,
+) -> DataFrame:
+    """``(page, rank)`` of an adjacency table after ``iterations`` steps.
+
+    N is ``n``, or else the number of lines. ``initial_rank=None`` starts from
+    the ``rank`` column of ``adj``. ``save_each`` writes the ranks of step i to
+    ``<save_each>i``.
+    """
+    n = node_count(adj).scalar() if n is None else n
+    lines = dedupe_adjacency(adj)
+    if iterations > STEPS_PER_PLAN or save_each is not None:
+        lines = cut_lineage(lines)
+    links = links_of(lines)
+    pages = cut_lineage(page_table(links, lines))
+    if initial_rank is None:
+        given = pages.join(lines.select("page", "rank"), "page", "left")
+        start = given.select("page", F.coalesce("rank", F.lit(0.0)).alias("rank"), "out_degree")
+    else:
+        start = pages.select("page", F.lit(float(initial_rank)).alias("rank"), "out_degree")
+    return _iterate(start, links, pages, iterations, n, damping, save_each, hot_floor)
+
+
+def pagerank_links(
+    links: DataFrame,
+    iterations: int,
+    n: int | Column | None = None,
+    damping: float = DAMPING,
+    initial_rank: float = 1.0,
+    lines: DataFrame | None = None,
+    save_each: str | None = None,
+    hot_floor: int = HOT_FLOOR,
+) -> DataFrame:
+    """As ``pagerank``, from a table ``(src, dst)`` with one row per link.
+
+    No page's links need to fit in a row. ``lines`` names further pages, such
+    as those without links. N is ``n``, or else the number of pages that have
+    links or are named in ``lines``.
+    """
+    if iterations > STEPS_PER_PLAN or save_each is not None:
+        links = cut_lineage(links.select("src", "dst"))
+    pages = cut_lineage(page_table(links, lines))
+    n = pages.agg(F.count_if("is_line")).scalar() if n is None else n
+    start = pages.select("page", F.lit(float(initial_rank)).alias("rank"), "out_degree")
+    return _iterate(start, links, pages, iterations, n, damping, save_each, hot_floor)
+
+
+def _iterate(
+    nodes: DataFrame,
+    links: DataFrame,
+    pages: DataFrame,
+    iterations: int,
+    n: int | Column,
+    damping: float,
+    save_each: str | None,
+    hot_floor: int,
+) -> DataFrame:
+    if iterations < 1:
+        raise ValueError("iterations must be at least 1")
+    hot = hot_sources(pages, hot_floor)
+    links = split_sources(links, hot)
+    for i in range(iterations):
+        nodes = pagerank_step(nodes, links, n, damping, pages, hot)
+        if save_each is not None:
+            saved = cut_lineage(nodes.select("page", "rank"), f"{save_each}{i}")
+            nodes = saved.join(pages.select("page", "out_degree"), "page")
+        elif (i + 1) % STEPS_PER_PLAN == 0 and i + 1 < iterations:
+            nodes = cut_lineage(nodes)
+    return nodes.select("page", "rank")
