@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 # and the line ends. Tab, colon, double quote, hyphen and ( ) stay in the token.
 DELIMITERS = r"[ .!?;\[\],'\r\n\f]+"
 
-# After lower-casing, the ASCII word characters are a-z, 0-9 and _. All else,
-# letters beyond ASCII included, is a cut point.
-NON_WORD = r"[^a-z0-9_]+"
+# Word characters are the ASCII letters, digits and _. All else, letters beyond
+# ASCII included, is a cut point.
+NON_WORD = r"\W+"
 
 
 def tokenize_delims(df: DataFrame, text: str, *keep: str) -> DataFrame:

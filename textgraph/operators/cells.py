@@ -1,14 +1,18 @@
-"""Sparse matrices as cells ``(row, col, val)``."""
+"""Sparse matrices as cells ``(row, col, val)``; no value is null.
+
+Counts are taken of the value, not of rows, where a count and the cells are both
+needed: with the same columns in use, Spark runs the shuffle below them once.
+"""
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textgraph.functions.numbers import ieee_divide
-from textgraph.operators.skew import HOT_FLOOR, attach_totals, hot_bar, hot_keys, piece_of
+from textgraph.operators.skew import HOT_FLOOR, attach_totals, every_piece, find_hot, piece_of, pieces_or_one
 from textgraph.operators.terms import is_small, keep_terms
 
 
@@ -41,24 +45,28 @@ def partial_products(a: DataFrame, b: DataFrame, items: DataFrame, hot_floor: in
     left = keep_terms(a, items, "row", small).select("row", F.col("col").alias("k"), F.col("val").alias("x"))
     right = keep_terms(b, items, "col", small).select(F.col("row").alias("k"), "col", F.col("val").alias("y"))
 
-    pieces = F.broadcast(
-        _pieces(left, "a_pieces", hot_floor)
-        .join(_pieces(right, "b_pieces", hot_floor), "k", "full")
-        .select("k", *[F.coalesce(p, _long(1)).alias(p) for p in ("a_pieces", "b_pieces")])
-    )
-    a_pieces, b_pieces = F.coalesce("a_pieces", _long(1)), F.coalesce("b_pieces", _long(1))
-    left = left.join(pieces, "k", "left").select(
-        "k", "row", "x", piece_of(a_pieces, "row").alias("i"), _each(b_pieces).alias("j")
-    )
-    right = right.join(pieces, "k", "left").select(
-        "k", "col", "y", _each(a_pieces).alias("i"), piece_of(b_pieces, "col").alias("j")
-    )
-    return left.join(right, ["k", "i", "j"]).select("row", "col", (F.col("x") * F.col("y")).alias("val"))
+    a_hot = find_hot(left.groupBy("k").agg(F.count("x").alias("n")), "k", "n", hot_floor)
+    b_hot = find_hot(right.groupBy("k").agg(F.count("y").alias("n")), "k", "n", hot_floor)
+    on = ["k"]
+    if a_hot is not None or b_hot is not None:
+        left, right = (_add_pieces(_add_pieces(side, a_hot, "a"), b_hot, "b") for side in (left, right))
+        a_pieces, b_pieces = F.col("a"), F.col("b")
+        left = left.withColumn("i", piece_of(a_pieces, "row")).withColumn("j", every_piece(b_pieces))
+        right = right.withColumn("j", piece_of(b_pieces, "col")).withColumn("i", every_piece(a_pieces))
+        on = ["k", "i", "j"]
+    return left.join(right, on).select("row", "col", (F.col("x") * F.col("y")).alias("val"))
+
+
+def _add_pieces(side: DataFrame, hot: DataFrame | None, name: str) -> DataFrame:
+    if hot is None:
+        return side.withColumn(name, F.lit(1).cast("bigint"))
+    return side.join(F.broadcast(hot), "k", "left").withColumn("pieces", pieces_or_one()).withColumnRenamed("pieces", name)
 
 
 def zero_cells(a: DataFrame, b: DataFrame, items: DataFrame) -> DataFrame:
     """Cells of value 0: (rows of a × items) and (items × columns of b)."""
-    rows, cols = a.select("row").distinct(), b.select("col").distinct()
+    rows = a.where(F.col("val").isNotNull()).select("row").distinct()
+    cols = b.where(F.col("val").isNotNull()).select("col").distinct()
     ids = items.select(F.col(items.columns[0]).alias("item")).distinct()
     return (
         pair_up(rows, ids.withColumnRenamed("item", "col"))
@@ -81,28 +89,14 @@ def pair_up(left: DataFrame, right: DataFrame) -> DataFrame:
     """
     spark = left.sparkSession
     side = math.ceil(math.sqrt(4 * int(spark.conf.get("spark.sql.shuffle.partitions"))))
-    every = F.explode(F.sequence(_long(0), _long(side - 1)))
-    strips = left.withColumn("i", piece_of(side, left.columns[0])).withColumn("j", every)
-    bands = right.withColumn("i", every).withColumn("j", piece_of(side, right.columns[0]))
+    strips = left.withColumn("i", piece_of(side, left.columns[0])).withColumn("j", every_piece(side))
+    bands = right.withColumn("i", every_piece(side)).withColumn("j", piece_of(side, right.columns[0]))
     return strips.join(bands, ["i", "j"]).select(left.columns[0], right.columns[0])
 
 
 def normalize_rows(cells: DataFrame, hot_floor: int = HOT_FLOOR) -> DataFrame:
     """Each value over the sum of its row; NaN in a row of zeros."""
-    sums = cells.groupBy("row").agg(F.sum("val").alias("row_sum"), F.count("*").alias("cells"))
+    sums = cells.groupBy("row").agg(F.sum("val").alias("row_sum"), F.count("val").alias("cells"))
     share = ieee_divide(F.col("val"), F.col("row_sum"))
     return attach_totals(cells, sums, "row", "cells", hot_floor).select("row", "col", share.alias("val"))
 
-
-def _pieces(side: DataFrame, name: str, floor: int) -> DataFrame:
-    counts = side.groupBy("k").agg(F.count("*").alias("n"))
-    pieces = F.ceil(F.col("n") / hot_bar(counts, "n", floor)).cast("bigint")
-    return hot_keys(counts, "k", "n", floor).select("k", pieces.alias(name))
-
-
-def _each(pieces: Column) -> Column:
-    return F.explode(F.sequence(_long(0), pieces - 1))
-
-
-def _long(value: int) -> Column:
-    return F.lit(value).cast("bigint")

@@ -12,7 +12,7 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textgraph.operators.skew import HOT_FLOOR, HOT_KEY_BYTES, HOT_KEYS, piece_of
+from textgraph.operators.skew import HOT_FLOOR, every_piece, find_hot, piece_of, pieces_or_one
 
 DAMPING = 0.85
 
@@ -58,24 +58,16 @@ def page_table(links: DataFrame, lines: DataFrame | None = None) -> DataFrame:
 
 def hot_sources(pages: DataFrame, floor: int = HOT_FLOOR) -> DataFrame | None:
     """``(src, pieces)`` for pages with more links than one task should take, or
-    None where there are none. Runs one aggregate.
-
-    Fewer than ``HOT_KEYS`` rows, each with at most ``HOT_KEYS`` pieces.
-    """
-    degree = F.col("out_degree")
-    most = pages.agg(F.sum(degree).alias("total"), F.max(degree).alias("most")).first()
-    bar = max(float(floor), (most["total"] or 0) / HOT_KEYS)
-    if (most["most"] or 0) <= bar:
-        return None
-    hot = (degree > bar) & (F.octet_length(F.col("page").cast("string")) <= HOT_KEY_BYTES)
-    return pages.where(hot).select(F.col("page").alias("src"), F.ceil(degree / F.lit(bar)).cast("bigint").alias("pieces"))
+    None where there are none. Runs one aggregate over the pages."""
+    hot = find_hot(pages, "page", "out_degree", floor)
+    return None if hot is None else hot.withColumnRenamed("page", "src")
 
 
 def split_sources(links: DataFrame, hot: DataFrame | None) -> DataFrame:
     """Links with the ``piece`` of their source they belong to, if any is hot."""
     if hot is None:
         return links
-    return links.join(F.broadcast(hot), "src", "left").select("src", "dst", piece_of(_pieces(), "dst").alias("piece"))
+    return links.join(F.broadcast(hot), "src", "left").select("src", "dst", piece_of(pieces_or_one(), "dst").alias("piece"))
 
 
 def rank_contributions(nodes: DataFrame, links: DataFrame, hot: DataFrame | None = None) -> DataFrame:
@@ -90,7 +82,7 @@ def rank_contributions(nodes: DataFrame, links: DataFrame, hot: DataFrame | None
     on = ["src"]
     if hot is not None:
         senders = senders.join(F.broadcast(hot), "src", "left").select(
-            "src", "credit", F.explode(F.sequence(F.lit(0).cast("bigint"), _pieces() - 1)).alias("piece")
+            "src", "credit", every_piece(pieces_or_one()).alias("piece")
         )
         on = ["src", "piece"]
     # Senders have one row per page (and piece), so their hash tables are even,
@@ -133,6 +125,3 @@ def attach_links(ranks: DataFrame, adj: DataFrame) -> DataFrame:
         "page", "rank", F.coalesce("links", F.array().cast("array<string>")).alias("links")
     )
 
-
-def _pieces() -> Column:
-    return F.coalesce("pieces", F.lit(1).cast("bigint"))

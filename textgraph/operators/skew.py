@@ -3,7 +3,8 @@
 A key is hot when it has more than one part in ``HOT_KEYS`` of all rows, so
 there are fewer than ``HOT_KEYS`` hot keys whatever the data: a table of them
 can be broadcast. Keys with fewer than ``HOT_FLOOR`` rows are never hot; one
-task takes them with ease.
+task takes them with ease. The rows of a hot key are cut into pieces that each
+meet a copy of the other side.
 """
 
 from __future__ import annotations
@@ -14,23 +15,37 @@ from pyspark.sql import functions as F
 HOT_KEYS = 10_000
 HOT_FLOOR = 100_000
 HOT_KEY_BYTES = 1_000
-PIECES = 1_024
 
 
-def hot_bar(counts: DataFrame, n: str, floor: int = HOT_FLOOR) -> Column:
-    """The number of rows above which a key is hot."""
-    total = counts.agg(F.sum(n)).scalar()
-    return F.greatest(F.lit(float(floor)), total / HOT_KEYS)
+def with_pieces(counts: DataFrame, key: str, n: str, floor: int = HOT_FLOOR) -> DataFrame:
+    """``counts``, which has one row per key that stands for ``n`` rows, with the
+    number of ``pieces`` each key is cut into: 1 unless the key is hot.
+
+    A hot key of more than ``HOT_KEY_BYTES`` stays whole for the plain join,
+    which adaptive execution splits.
+    """
+    bar = F.greatest(F.lit(float(floor)), counts.agg(F.sum(n)).scalar() / HOT_KEYS)
+    short = F.octet_length(F.col(key).cast("string")) <= HOT_KEY_BYTES
+    pieces = F.when((F.col(n) > bar) & short, F.ceil(F.col(n) / bar).cast("bigint"))
+    return counts.withColumn("pieces", F.coalesce(pieces, F.lit(1).cast("bigint")))
 
 
-def hot_keys(counts: DataFrame, key: str, n: str, floor: int = HOT_FLOOR) -> DataFrame:
-    """The hot rows of ``counts`` (one row per key, ``n`` rows each).
+def find_hot(counts: DataFrame, key: str, n: str, floor: int = HOT_FLOOR) -> DataFrame | None:
+    """``(key, pieces)`` of the hot keys of ``counts``, or None if there are none.
 
-    Fewer than ``HOT_KEYS`` rows, of keys no longer than ``HOT_KEY_BYTES``: a
-    longer key is left to the shuffle join, which adaptive execution splits.
+    Fewer than ``HOT_KEYS`` rows of short keys, for a broadcast. Runs one
+    aggregate, so that the usual plan, without hot keys, stays a plain join.
     """
-    short = F.octet_length(F.col(key).cast("string")) <= HOT_KEY_BYTES
-    return counts.where((F.col(n) > hot_bar(counts, n, floor)) & short)
+    size = counts.agg(F.sum(n).alias("total"), F.max(n).alias("most")).first()
+    bar = max(float(floor), (size["total"] or 0) / HOT_KEYS)
+    if (size["most"] or 0) <= bar:
+        return None
+    hot = (F.col(n) > bar) & (F.octet_length(F.col(key).cast("string")) <= HOT_KEY_BYTES)
+    return counts.where(hot).select(key, F.ceil(F.col(n) / F.lit(bar)).cast("bigint").alias("pieces"))
+
+
+def pieces_or_one(pieces: str = "pieces") -> Column:
+    return F.coalesce(F.col(pieces), F.lit(1).cast("bigint"))
 
 
 def piece_of(pieces: Column | int, *cols: str) -> Column:
@@ -38,20 +53,25 @@ def piece_of(pieces: Column | int, *cols: str) -> Column:
     return F.pmod(F.xxhash64(*cols), F.lit(pieces) if isinstance(pieces, int) else pieces)
 
 
+def every_piece(pieces: Column | int) -> Column:
+    """One copy of a row for each piece."""
+    last = F.lit(pieces - 1) if isinstance(pieces, int) else pieces - 1
+    return F.explode(F.sequence(F.lit(0).cast("bigint"), last.cast("bigint")))
+
+
 def attach_totals(rows: DataFrame, totals: DataFrame, key: str, n: str, floor: int = HOT_FLOOR) -> DataFrame:
     """Give each row the columns of ``totals``, which has one row per key.
 
-    ``totals[n]`` is the number of rows that have the key. Totals of hot keys
-    come by broadcast. The rest come by a join on the key, in which the rows of
-    hot keys only ride along, spread over ``PIECES`` pieces.
+    ``totals[n]`` is the number of rows that have the key. Totals made of the
+    same rows cost no second run of what lies below: null-safe equality adds no
+    filter on the key, so the shuffles below stay alike and are reused.
     """
     values = [c for c in totals.columns if c != key]
-    hot = hot_keys(totals, key, n, floor).select(
-        key, F.lit(True).alias("_hot"), *[F.col(v).alias(f"_hot_{v}") for v in values]
-    )
-    piece = F.when(F.col("_hot"), piece_of(PIECES, *rows.columns) + 1).otherwise(F.lit(0).cast("bigint"))
-    spread = rows.join(F.broadcast(hot), key, "left").withColumn("_piece", piece)
-    cold = totals.withColumn("_piece", F.lit(0).cast("bigint"))
-    return spread.join(cold, [key, "_piece"], "left").select(
-        *rows.columns, *[F.coalesce(F.col(v), F.col(f"_hot_{v}")).alias(v) for v in values]
+    pieces = with_pieces(totals, key, n, floor)
+    hot = F.broadcast(pieces.where("pieces > 1").select(F.col(key).alias("_hot"), "pieces"))
+    cut = rows.join(hot, F.col(key).eqNullSafe(F.col("_hot")), "left").select(
+        *rows.columns, piece_of(pieces_or_one(), *rows.columns).alias("_piece")
     )
+    copied = pieces.select(F.col(key).alias("_key"), *values, every_piece(F.col("pieces")).alias("_copy"))
+    match = F.col(key).eqNullSafe(F.col("_key")) & (F.col("_piece") == F.col("_copy"))
+    return cut.join(copied, match, "left").select(*rows.columns, *values)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textgraph.operators.skew import piece_of
+from textgraph.operators.skew import every_piece, piece_of
 
 MAX_TERMS = 1_000_000
 MAX_TERM_BYTES = 64 * 1024 * 1024
@@ -37,8 +37,6 @@ def _match(df: DataFrame, terms: DataFrame, col: str, how: str, small: bool | No
         return df.join(F.broadcast(listed), col, how).select(*df.columns)
     # A list too long to broadcast: the rows of a frequent term are spread over
     # pieces, and each piece meets its own copy of the list.
-    copies = listed.distinct().withColumn(
-        "_piece", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(TERM_PIECES - 1).cast("bigint")))
-    )
+    copies = listed.distinct().withColumn("_piece", every_piece(TERM_PIECES))
     spread = df.withColumn("_piece", piece_of(TERM_PIECES, *df.columns))
     return spread.join(copies, [col, "_piece"], how).select(*df.columns)

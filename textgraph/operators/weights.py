@@ -23,7 +23,10 @@ def tf_idf(tf: DataFrame, n_docs: int | Column | None = None, hot_floor: int = H
     Nothing is smoothed: a word of all N documents weighs 0, and with a fixed N
     below ``df`` the weight is negative.
     """
-    n = document_count(tf) if n_docs is None else F.lit(n_docs) if isinstance(n_docs, int) else n_docs
+    if n_docs is None:
+        # Reading tf makes this share the shuffle of tf, as in doc_freq.
+        n_docs = document_count(tf.where("tf > 0"))
+    n = F.lit(n_docs) if isinstance(n_docs, int) else n_docs
     weighed = attach_totals(tf, doc_freq(tf), "word", "df", hot_floor)
     weight = (1 + F.ln("tf")) * F.ln(n / F.col("df"))
     return weighed.select("doc_id", "word", weight.alias("tf_idf"))
@@ -35,7 +38,7 @@ def l2_normalize(tfidf: DataFrame, hot_floor: int = HOT_FLOOR) -> DataFrame:
     A document whose weights are all 0 has length 0 and NaN throughout.
     """
     lengths = tfidf.groupBy("doc_id").agg(
-        F.sum(F.col("tf_idf") * F.col("tf_idf")).alias("squares"), F.count("*").alias("terms")
+        F.sum(F.col("tf_idf") * F.col("tf_idf")).alias("squares"), F.count("tf_idf").alias("terms")
     )
     norm = ieee_divide(F.col("tf_idf"), F.sqrt("squares"))
     return attach_totals(tfidf, lengths, "doc_id", "terms", hot_floor).select("doc_id", "word", norm.alias("norm"))

@@ -1,4 +1,4 @@
-from textgraph.plans.pagerank import pagerank, pagerank_links
+from textgraph.plans.graph import pagerank, pagerank_links
 from textgraph.plans.recommend import recommend, sparse_matmul
 from textgraph.plans.search import score_documents, search_documents
 from textgraph.plans.words import common_words, count_words

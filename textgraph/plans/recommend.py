@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 
 from textgraph.operators.cells import dedupe_cells, normalize_rows, partial_products, sum_cells, zero_cells
 from textgraph.operators.skew import HOT_FLOOR
+from textgraph.scratch import cut_lineage
 
 
 def sparse_matmul(
@@ -18,7 +19,8 @@ def sparse_matmul(
     without them the work and the result follow the products alone, which is
     the form for large matrices.
     """
-    a, b = dedupe_cells(a), dedupe_cells(b)
+    # Each matrix is read for its counts, for the product and for the zeros.
+    a, b = cut_lineage(dedupe_cells(a)), cut_lineage(dedupe_cells(b))
     summands = partial_products(a, b, items, hot_floor)
     if dense:
         summands = summands.unionByName(zero_cells(a, b, items))
@@ -29,4 +31,6 @@ def recommend(
     m1: DataFrame, m2: DataFrame, items: DataFrame, dense: bool = True, hot_floor: int = HOT_FLOOR
 ) -> DataFrame:
     """The product of two matrices with each row scaled to the sum 1."""
-    return normalize_rows(sparse_matmul(m1, m2, items, dense, hot_floor), hot_floor)
+    # Read once for the row sums and once to be scaled.
+    product = cut_lineage(sparse_matmul(m1, m2, items, dense, hot_floor))
+    return normalize_rows(product, hot_floor)

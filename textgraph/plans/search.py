@@ -15,6 +15,7 @@ from textgraph.operators.weights import (
     tf_idf,
     top_k,
 )
+from textgraph.scratch import cut_lineage
 
 
 def document_terms(docs: DataFrame, stop: DataFrame | None = None, text: str = "text") -> DataFrame:
@@ -37,7 +38,7 @@ def score_documents(
     weights = tf_idf(document_terms(docs, stop, text), document_count(docs) if n_docs is None else n_docs)
     if is_small(query):
         return query_relevance(weights, query)
-    return relevance(l2_normalize(weights), query)
+    return relevance(l2_normalize(cut_lineage(weights)), query)
 
 
 def search_documents(

@@ -4,12 +4,18 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="textgraph-")
+
+
 def scratch_path(spark: SparkSession) -> str:
     """A path nobody uses yet, in the shared folder the session names.
 
@@ -20,8 +26,7 @@ def scratch_path(spark: SparkSession) -> str:
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError(f"set {CHECKPOINT_DIR} to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="textgraph-")
-        spark.conf.set(CHECKPOINT_DIR, base)
+        base = _local_folder()
     return f"{base.rstrip('/')}/textgraph-{uuid.uuid4().hex}"
 
 

@@ -8,6 +8,7 @@ from textgraph.sources.text import (
     read_tagged,
     read_terms,
     terms_of,
+    use_all_cores,
 )
 
 __all__ = [
@@ -20,6 +21,7 @@ __all__ = [
     "read_tagged",
     "read_terms",
     "terms_of",
+    "use_all_cores",
     "write_table",
     "write_tsv",
 ]

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from textgraph_checks.tables import table
 from textgraph import cell_product, dedupe_cells, fill_cells, nan_to_null, normalize_rows, recommend, sparse_matmul
+from textgraph.scratch import cut_lineage
 
 
 def cells(df: DataFrame, row: str, col: str, val) -> DataFrame:
@@ -60,7 +61,7 @@ QUERIES = {
     "matmul_sparse": lambda spark, sf: sparse_matmul(*matrices(spark, sf), dense=False),
     "matmul_dense": lambda spark, sf: sparse_matmul(*matrices(spark, sf)),
     "cells_filled": filled,
-    "rows_normalized": lambda spark, sf: shares(normalize_rows(sparse_matmul(*matrices(spark, sf)))),
+    "rows_normalized": lambda spark, sf: shares(normalize_rows(cut_lineage(sparse_matmul(*matrices(spark, sf))))),
     "recommend": lambda spark, sf: shares(recommend(*profiles(spark, sf))),
     "cells_deduped": lambda spark, sf: dedupe_cells(sold(spark, sf)),
 }

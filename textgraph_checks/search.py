@@ -5,14 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textgraph_checks.tables import QUERY_WORDS, RARE_WORDS, STOP, quoted, stop_words, table
+from textgraph_checks.tables import QUERY_WORDS, RARE_WORDS, STOP, quoted, stop_words, texts
 from textgraph import doc_freq, l2_normalize, nan_to_null, relevance, search_documents, tf_idf
 from textgraph.plans.search import document_terms
+from textgraph.scratch import cut_lineage
 from textgraph.sources import terms_of
 
 
 def docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", "text")
+    return texts(spark, sf_dir, "documents", "doc_id")
 
 
 def terms(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -38,7 +39,7 @@ def padded(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def normalized(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return l2_normalize(tf_idf(terms(spark, sf_dir)))
+    return l2_normalize(cut_lineage(tf_idf(terms(spark, sf_dir))))
 
 
 QUERIES = {

@@ -5,26 +5,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textgraph_checks.tables import STOP, stop_words, table
+from textgraph_checks.tables import STOP, stop_words, texts
 from textgraph import common_words, count_words, tokenize_words
 
 
 def word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return count_words(table(spark, sf_dir, "documents"), "text", stop_words(spark))
+    return count_words(texts(spark, sf_dir, "documents"), "text", stop_words(spark))
 
 
 def word_count_sorted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return count_words(table(spark, sf_dir, "documents"), "text", stop_words(spark), order=True)
+    return count_words(texts(spark, sf_dir, "documents"), "text", stop_words(spark), order=True)
 
 
 def common(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return common_words(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), stop_words(spark))
+    return common_words(texts(spark, sf_dir, "documents"), texts(spark, sf_dir, "benchmark"), stop_words(spark))
 
 
 def common_intersect(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same words by bag intersection of the two token tables."""
-    a = tokenize_words(table(spark, sf_dir, "documents"), "text")
-    b = tokenize_words(table(spark, sf_dir, "benchmark"), "text")
+    a = tokenize_words(texts(spark, sf_dir, "documents"), "text")
+    b = tokenize_words(texts(spark, sf_dir, "benchmark"), "text")
     return a.intersectAll(b).groupBy("word").agg(F.count("*").alias("cnt"))
 
 
