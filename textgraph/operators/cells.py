@@ -15,13 +15,16 @@ from textgraph.functions.numbers import ieee_divide
 from textgraph.operators.skew import HOT_FLOOR, attach_totals, every_piece, find_hot, piece_of, pieces_or_one
 from textgraph.operators.terms import is_small, keep_terms
 
+# An inner index with fewer products than this is never hot.
+HOT_PRODUCTS = 1_000_000
+
 
 def dedupe_cells(cells: DataFrame) -> DataFrame:
     """One value per cell: the greatest of those given."""
     return cells.groupBy("row", "col").agg(F.max("val").alias("val"))
 
 
-def cell_product(a: DataFrame, b: DataFrame, items: DataFrame, hot_floor: int = HOT_FLOOR) -> DataFrame:
+def cell_product(a: DataFrame, b: DataFrame, items: DataFrame, hot_floor: int = HOT_PRODUCTS) -> DataFrame:
     """``(row, col, val)`` of a · b where row and column are both in ``items``.
 
     Only cells with a product have a row. ``items`` does not limit the inner
@@ -35,32 +38,47 @@ def sum_cells(cells: DataFrame) -> DataFrame:
     return cells.groupBy("row", "col").agg(F.sum("val").alias("val"))
 
 
-def partial_products(a: DataFrame, b: DataFrame, items: DataFrame, hot_floor: int = HOT_FLOOR) -> DataFrame:
+def partial_products(a: DataFrame, b: DataFrame, items: DataFrame, hot_floor: int = HOT_PRODUCTS) -> DataFrame:
     """``(row, col, val)``: one summand per inner index, for ``sum_cells``.
 
-    The cells of a hot inner index are cut into pieces on the side or sides
-    where it is hot, and each piece meets a copy of the other side.
+    An inner index is hot by the number of its products. Its cells are cut into
+    a grid of pieces, in which those of ``a`` meet copies of those of ``b``.
     """
     small = is_small(items)
     left = keep_terms(a, items, "row", small).select("row", F.col("col").alias("k"), F.col("val").alias("x"))
     right = keep_terms(b, items, "col", small).select(F.col("row").alias("k"), "col", F.col("val").alias("y"))
 
-    a_hot = find_hot(left.groupBy("k").agg(F.count("x").alias("n")), "k", "n", hot_floor)
-    b_hot = find_hot(right.groupBy("k").agg(F.count("y").alias("n")), "k", "n", hot_floor)
     on = ["k"]
-    if a_hot is not None or b_hot is not None:
-        left, right = (_add_pieces(_add_pieces(side, a_hot, "a"), b_hot, "b") for side in (left, right))
-        a_pieces, b_pieces = F.col("a"), F.col("b")
-        left = left.withColumn("i", piece_of(a_pieces, "row")).withColumn("j", every_piece(b_pieces))
-        right = right.withColumn("j", piece_of(b_pieces, "col")).withColumn("i", every_piece(a_pieces))
+    hot = find_hot(_products(left, right), "k", "products", hot_floor)
+    if hot is not None:
+        # As many cuts on each side as make the pieces of both alike in size.
+        even = F.ceil(F.sqrt(F.col("pieces") * F.col("xs") / F.col("ys"))).cast("bigint")
+        a_pieces = F.least("pieces", "xs", F.greatest(even, F.lit(1).cast("bigint")))
+        grid = hot.withColumn("a", a_pieces).select("k", "a", F.ceil(F.col("pieces") / F.col("a")).cast("bigint").alias("b"))
+        left, right = (
+            side.join(F.broadcast(grid), "k", "left")
+            .withColumn("a", pieces_or_one("a"))
+            .withColumn("b", pieces_or_one("b"))
+            for side in (left, right)
+        )
+        left = left.withColumn("i", piece_of(F.col("a"), "row")).withColumn("j", every_piece(F.col("b")))
+        right = right.withColumn("j", piece_of(F.col("b"), "col")).withColumn("i", every_piece(F.col("a")))
         on = ["k", "i", "j"]
+    # Few bytes go in and many rows come out, so the number of tasks must not
+    # follow the bytes, by which adaptive execution would merge partitions.
+    left = left.repartition(_partitions(left), *on)
     return left.join(right, on).select("row", "col", (F.col("x") * F.col("y")).alias("val"))
 
 
-def _add_pieces(side: DataFrame, hot: DataFrame | None, name: str) -> DataFrame:
-    if hot is None:
-        return side.withColumn(name, F.lit(1).cast("bigint"))
-    return side.join(F.broadcast(hot), "k", "left").withColumn("pieces", pieces_or_one()).withColumnRenamed("pieces", name)
+def _products(left: DataFrame, right: DataFrame) -> DataFrame:
+    """``(k, xs, ys, products)``: cells of both sides and their products by inner index."""
+    xs = left.groupBy("k").agg(F.count("x").alias("xs"))
+    ys = right.groupBy("k").agg(F.count("y").alias("ys"))
+    return xs.join(ys, "k").withColumn("products", F.col("xs").cast("double") * F.col("ys"))
+
+
+def _partitions(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
 def zero_cells(a: DataFrame, b: DataFrame, items: DataFrame) -> DataFrame:
@@ -87,11 +105,10 @@ def pair_up(left: DataFrame, right: DataFrame) -> DataFrame:
     Both one-column sides are cut into ``side`` strips and meet as the tiles of
     a grid by an equi join, so that no side is held whole by any task.
     """
-    spark = left.sparkSession
-    side = math.ceil(math.sqrt(4 * int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    side = math.ceil(math.sqrt(4 * _partitions(left)))
     strips = left.withColumn("i", piece_of(side, left.columns[0])).withColumn("j", every_piece(side))
     bands = right.withColumn("i", every_piece(side)).withColumn("j", piece_of(side, right.columns[0]))
-    return strips.join(bands, ["i", "j"]).select(left.columns[0], right.columns[0])
+    return strips.repartition(_partitions(left), "i", "j").join(bands, ["i", "j"]).select(left.columns[0], right.columns[0])
 
 
 def normalize_rows(cells: DataFrame, hot_floor: int = HOT_FLOOR) -> DataFrame:

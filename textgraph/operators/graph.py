@@ -60,7 +60,7 @@ def hot_sources(pages: DataFrame, floor: int = HOT_FLOOR) -> DataFrame | None:
     """``(src, pieces)`` for pages with more links than one task should take, or
     None where there are none. Runs one aggregate over the pages."""
     hot = find_hot(pages, "page", "out_degree", floor)
-    return None if hot is None else hot.withColumnRenamed("page", "src")
+    return None if hot is None else hot.select(F.col("page").alias("src"), "pieces")
 
 
 def split_sources(links: DataFrame, hot: DataFrame | None) -> DataFrame:

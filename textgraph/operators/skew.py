@@ -31,7 +31,7 @@ def with_pieces(counts: DataFrame, key: str, n: str, floor: int = HOT_FLOOR) ->
 
 
 def find_hot(counts: DataFrame, key: str, n: str, floor: int = HOT_FLOOR) -> DataFrame | None:
-    """``(key, pieces)`` of the hot keys of ``counts``, or None if there are none.
+    """The hot rows of ``counts`` with their ``pieces``, or None if there are none.
 
     Fewer than ``HOT_KEYS`` rows of short keys, for a broadcast. Runs one
     aggregate, so that the usual plan, without hot keys, stays a plain join.
@@ -41,7 +41,7 @@ def find_hot(counts: DataFrame, key: str, n: str, floor: int = HOT_FLOOR) -> Dat
     if (size["most"] or 0) <= bar:
         return None
     hot = (F.col(n) > bar) & (F.octet_length(F.col(key).cast("string")) <= HOT_KEY_BYTES)
-    return counts.where(hot).select(key, F.ceil(F.col(n) / F.lit(bar)).cast("bigint").alias("pieces"))
+    return counts.where(hot).withColumn("pieces", F.ceil(F.col(n) / F.lit(bar)).cast("bigint"))
 
 
 def pieces_or_one(pieces: str = "pieces") -> Column:

@@ -4,13 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from textgraph.operators.cells import dedupe_cells, normalize_rows, partial_products, sum_cells, zero_cells
-from textgraph.operators.skew import HOT_FLOOR
+from textgraph.operators.cells import (
+    HOT_PRODUCTS,
+    dedupe_cells,
+    normalize_rows,
+    partial_products,
+    sum_cells,
+    zero_cells,
+)
 from textgraph.scratch import cut_lineage
 
 
 def sparse_matmul(
-    a: DataFrame, b: DataFrame, items: DataFrame, dense: bool = True, hot_floor: int = HOT_FLOOR
+    a: DataFrame, b: DataFrame, items: DataFrame, dense: bool = True, hot_floor: int = HOT_PRODUCTS
 ) -> DataFrame:
     """``(row, col, val)`` of a · b over an item list.
 
@@ -27,10 +33,8 @@ def sparse_matmul(
     return sum_cells(summands)
 
 
-def recommend(
-    m1: DataFrame, m2: DataFrame, items: DataFrame, dense: bool = True, hot_floor: int = HOT_FLOOR
-) -> DataFrame:
+def recommend(m1: DataFrame, m2: DataFrame, items: DataFrame, dense: bool = True) -> DataFrame:
     """The product of two matrices with each row scaled to the sum 1."""
     # Read once for the row sums and once to be scaled.
-    product = cut_lineage(sparse_matmul(m1, m2, items, dense, hot_floor))
-    return normalize_rows(product, hot_floor)
+    product = cut_lineage(sparse_matmul(m1, m2, items, dense))
+    return normalize_rows(product)
