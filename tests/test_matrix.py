@@ -34,7 +34,7 @@ def brute(a, b, ids):
     return sparse, dense | sparse
 
 
-A = [("i", "k", 2), ("i", "m", 1), ("j", "k", 4), ("r1", "k", 2)] + [(f"p{n}", "hot", n) for n in range(8)]
+A = [("i", "k", 2), ("i", "lone", 1), ("j", "lone", 1), ("p0", "lone", 1), ("p2", "lone", 1), ("i", "m", 1), ("j", "k", 4), ("r1", "k", 2)] + [(f"p{n}", "hot", n) for n in range(8)]
 B = [("k", "j", 3), ("m", "j", 5), ("k", "c1", 3)] + [("hot", f"p{n}", n + 1) for n in range(8)]
 IDS = ["i", "j", "none", *[f"p{n}" for n in range(0, 8, 2)]]
 

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textgraph.functions.numbers import ieee_divide
-from textgraph.operators.skew import HOT_FLOOR, attach_totals, every_piece, find_hot, piece_of, pieces_or_one
+from textgraph.operators.skew import HOT_FLOOR, attach_totals, every_piece, find_hot, piece_of, or_one
 from textgraph.operators.terms import is_small, keep_terms
 
 # An inner index with fewer products than this is never hot.
@@ -57,8 +57,8 @@ def partial_products(a: DataFrame, b: DataFrame, items: DataFrame, hot_floor: in
         grid = hot.withColumn("a", a_pieces).select("k", "a", F.ceil(F.col("pieces") / F.col("a")).cast("bigint").alias("b"))
         left, right = (
             side.join(F.broadcast(grid), "k", "left")
-            .withColumn("a", pieces_or_one("a"))
-            .withColumn("b", pieces_or_one("b"))
+            .withColumn("a", or_one("a"))
+            .withColumn("b", or_one("b"))
             for side in (left, right)
         )
         left = left.withColumn("i", piece_of(F.col("a"), "row")).withColumn("j", every_piece(F.col("b")))
@@ -71,10 +71,14 @@ def partial_products(a: DataFrame, b: DataFrame, items: DataFrame, hot_floor: in
 
 
 def _products(left: DataFrame, right: DataFrame) -> DataFrame:
-    """``(k, xs, ys, products)``: cells of both sides and their products by inner index."""
+    """``(k, xs, ys, products)``: cells of both sides and their products by inner index.
+
+    An index that one side lacks counts once there: its cells are shuffled too.
+    """
     xs = left.groupBy("k").agg(F.count("x").alias("xs"))
     ys = right.groupBy("k").agg(F.count("y").alias("ys"))
-    return xs.join(ys, "k").withColumn("products", F.col("xs").cast("double") * F.col("ys"))
+    counts = xs.join(ys, "k", "full").select("k", or_one("xs").alias("xs"), or_one("ys").alias("ys"))
+    return counts.withColumn("products", F.col("xs").cast("double") * F.col("ys"))
 
 
 def _partitions(df: DataFrame) -> int:

@@ -12,7 +12,7 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textgraph.operators.skew import HOT_FLOOR, every_piece, find_hot, piece_of, pieces_or_one
+from textgraph.operators.skew import HOT_FLOOR, every_piece, find_hot, piece_of, or_one
 
 DAMPING = 0.85
 
@@ -67,7 +67,7 @@ def split_sources(links: DataFrame, hot: DataFrame | None) -> DataFrame:
     """Links with the ``piece`` of their source they belong to, if any is hot."""
     if hot is None:
         return links
-    return links.join(F.broadcast(hot), "src", "left").select("src", "dst", piece_of(pieces_or_one(), "dst").alias("piece"))
+    return links.join(F.broadcast(hot), "src", "left").select("src", "dst", piece_of(or_one(), "dst").alias("piece"))
 
 
 def rank_contributions(nodes: DataFrame, links: DataFrame, hot: DataFrame | None = None) -> DataFrame:
@@ -82,7 +82,7 @@ def rank_contributions(nodes: DataFrame, links: DataFrame, hot: DataFrame | None
     on = ["src"]
     if hot is not None:
         senders = senders.join(F.broadcast(hot), "src", "left").select(
-            "src", "credit", every_piece(pieces_or_one()).alias("piece")
+            "src", "credit", every_piece(or_one()).alias("piece")
         )
         on = ["src", "piece"]
     # Senders have one row per page (and piece), so their hash tables are even,

@@ -44,8 +44,8 @@ def find_hot(counts: DataFrame, key: str, n: str, floor: int = HOT_FLOOR) -> Dat
     return counts.where(hot).withColumn("pieces", F.ceil(F.col(n) / F.lit(bar)).cast("bigint"))
 
 
-def pieces_or_one(pieces: str = "pieces") -> Column:
-    return F.coalesce(F.col(pieces), F.lit(1).cast("bigint"))
+def or_one(col: str = "pieces") -> Column:
+    return F.coalesce(F.col(col), F.lit(1).cast("bigint"))
 
 
 def piece_of(pieces: Column | int, *cols: str) -> Column:
@@ -70,7 +70,7 @@ def attach_totals(rows: DataFrame, totals: DataFrame, key: str, n: str, floor: i
     pieces = with_pieces(totals, key, n, floor)
     hot = F.broadcast(pieces.where("pieces > 1").select(F.col(key).alias("_hot"), "pieces"))
     cut = rows.join(hot, F.col(key).eqNullSafe(F.col("_hot")), "left").select(
-        *rows.columns, piece_of(pieces_or_one(), *rows.columns).alias("_piece")
+        *rows.columns, piece_of(or_one(), *rows.columns).alias("_piece")
     )
     copied = pieces.select(F.col(key).alias("_key"), *values, every_piece(F.col("pieces")).alias("_copy"))
     match = F.col(key).eqNullSafe(F.col("_key")) & (F.col("_piece") == F.col("_copy"))
