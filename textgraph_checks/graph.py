@@ -26,7 +26,7 @@ from textgraph import (
     prepare_graph,
     rank_contributions,
 )
-from textgraph.scratch import scratch_path
+from textgraph.scratch import cut_lineage, scratch_path
 
 
 def links(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -65,7 +65,7 @@ def prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return page_table(links(spark, sf_dir)).withColumn("rank", F.lit(1.0))
+    return cut_lineage(page_table(links(spark, sf_dir))).withColumn("rank", F.lit(1.0))
 
 
 def ranks(df: DataFrame) -> DataFrame:
