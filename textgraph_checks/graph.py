@@ -27,6 +27,7 @@ from textgraph import (
     rank_contributions,
 )
 from textgraph.scratch import cut_lineage, scratch_path
+from textgraph.sources import use_all_cores
 
 
 def links(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -39,7 +40,8 @@ def links(spark: SparkSession, sf_dir: str) -> DataFrame:
     buyers = table(spark, sf_dir, "orders").select(
         key("o", "o_orderkey").alias("src"), key("c", "o_custkey").alias("dst")
     )
-    return table(spark, sf_dir, "lineitem").select(triangles).unionByName(buyers)
+    sales = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey")
+    return use_all_cores(sales).select(triangles).unionByName(buyers)
 
 
 def adjacency(spark: SparkSession, sf_dir: str) -> DataFrame:

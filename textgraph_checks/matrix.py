@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from textgraph_checks.tables import table
 from textgraph import cell_product, dedupe_cells, fill_cells, nan_to_null, normalize_rows, recommend, sparse_matmul
 from textgraph.scratch import cut_lineage
+from textgraph.sources import use_all_cores
 
 
 def cells(df: DataFrame, row: str, col: str, val) -> DataFrame:
@@ -20,12 +21,16 @@ def cells(df: DataFrame, row: str, col: str, val) -> DataFrame:
     return sums.select(F.col(row).cast("string").alias("row"), F.col(col).cast("string").alias("col"), "val")
 
 
+def sales_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return use_all_cores(table(spark, sf_dir, "lineitem").select("l_suppkey", "l_partkey", "l_quantity"))
+
+
 def items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "supplier").where("s_acctbal >= 0").select(F.col("s_suppkey").cast("string").alias("item"))
 
 
 def matrices(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    sales = table(spark, sf_dir, "lineitem")
+    sales = sales_of(spark, sf_dir)
     a = cells(sales, "l_suppkey", "l_partkey", F.sum("l_quantity"))
     b = cells(sales, "l_partkey", "l_suppkey", F.count("*"))
     return a, b, items(spark, sf_dir)
@@ -33,7 +38,7 @@ def matrices(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, Da
 
 def profiles(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     brands = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), "p_brand")
-    sales = table(spark, sf_dir, "lineitem").join(brands, "l_partkey")
+    sales = sales_of(spark, sf_dir).join(brands, "l_partkey")
     a = cells(sales, "l_suppkey", "p_brand", F.sum("l_quantity"))
     b = cells(sales, "p_brand", "l_suppkey", F.count("*"))
     return a, b, items(spark, sf_dir)
@@ -45,7 +50,7 @@ def shares(df: DataFrame) -> DataFrame:
 
 def sold(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One cell per sale, so that cells repeat."""
-    return table(spark, sf_dir, "lineitem").select(
+    return sales_of(spark, sf_dir).select(
         F.col("l_suppkey").cast("string").alias("row"),
         F.col("l_partkey").cast("string").alias("col"),
         F.col("l_quantity").alias("val"),
