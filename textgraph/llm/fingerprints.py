@@ -112,7 +112,10 @@ def compare_edited(docs: DataFrame) -> DataFrame:
     """
     rows = fingerprints(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")))
     links = neighbours(docs).withColumnRenamed("doc_id", "_id")
-    below = rows.join(links, F.col("doc_id").eqNullSafe(F.col("_id"))).where(F.xxhash64("text") == F.col("rep"))
+    # Not an equality of two sides, which would become a key of the join: texts lie by id alone, in one
+    # shuffle for both joins.
+    stands = F.xxhash64("text").bitwiseXOR(F.col("rep")) == 0
+    below = rows.join(links, F.col("doc_id").eqNullSafe(F.col("_id"))).where(stands)
     heads = below.select(
         F.col("above").alias("_above"), F.substring("text", F.lit(1), F.floor(F.col("need") / 3).cast("int")).alias("head"), F.col("sketch").alias("next_sketch")
     )
