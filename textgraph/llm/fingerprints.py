@@ -110,14 +110,14 @@ def compare_edited(docs: DataFrame) -> DataFrame:
 
     Rows of one id have the same next document: one with the next lower id.
     """
-    rows = fingerprints(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")))
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     links = neighbours(docs).withColumnRenamed("doc_id", "_id")
     # Not an equality of two sides, which would become a key of the join: texts lie by id alone, in one
     # shuffle for both joins.
     stands = F.xxhash64("text").bitwiseXOR(F.col("rep")) == 0
     below = rows.join(links, F.col("doc_id").eqNullSafe(F.col("_id"))).where(stands)
     heads = below.select(
-        F.col("above").alias("_above"), F.substring("text", F.lit(1), F.floor(F.col("need") / 3).cast("int")).alias("head"), F.col("sketch").alias("next_sketch")
+        F.col("above").alias("_above"), F.substring("text", F.lit(1), F.floor(F.col("need") / 3).cast("int")).alias("head"), sketch(F.col("text")).alias("next_sketch")
     )
     # Rows alike in id and text are one.
     heads = heads.groupBy("_above").agg(F.first("head").alias("head"), F.first("next_sketch").alias("next_sketch"))
@@ -125,7 +125,7 @@ def compare_edited(docs: DataFrame) -> DataFrame:
     n = F.length("text")
     third = F.floor(n / 3).cast("int")
     edited = F.concat(F.substring("text", F.lit(1), n - third), F.substring("head", F.lit(1), third))
-    both = both.select("doc_id", n.cast("bigint").alias("n_chars"), edited.alias("edited"), "sketch", "next_sketch")
+    both = both.select("doc_id", n.cast("bigint").alias("n_chars"), edited.alias("edited"), sketch(F.col("text")).alias("sketch"), "next_sketch")
     return both.withColumn("edited_sketch", sketch(F.col("edited")))
 
 
