@@ -5,14 +5,16 @@ from __future__ import annotations
 from textgraph.llm.chat import op7_chat
 from textgraph.llm.fingerprints import op4_fingerprints
 from textgraph.llm.mixing import op8_mixing
-from textgraph.llm import search
+from textgraph.llm import jaccard, search
+from textgraph.llm.jaccard import op1_jaccard
 from textgraph.llm.search import op3_top_k
 from textgraph.llm.secrets import op10_secrets
 from textgraph.llm.toxicity import op9_toxicity
 
-QUERIES = {q.__name__: q for q in (op3_top_k, op4_fingerprints, op7_chat, op8_mixing, op9_toxicity, op10_secrets)}
+QUERIES = {q.__name__: q for q in (op1_jaccard, op3_top_k, op4_fingerprints, op7_chat, op8_mixing, op9_toxicity, op10_secrets)}
 
 SQL = {
+    "op1_jaccard": jaccard.SQL,
     "op3_top_k": search.SQL,
     "op7_chat": r"""
         WITH given AS (
