@@ -37,7 +37,7 @@ from textgraph.llm.tables import map_blocks, table
 from textgraph.operators.terms import is_small
 from textgraph.scratch import cut_lineage
 
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 3 << 20
 CHARS_PER_BUCKET = 1 << 20
 LEAST_BUCKETS = 256
 CROWD = 32
