@@ -3,13 +3,13 @@
 A text is split by the tokenizer's pattern, and each piece is encoded by itself.
 Blocks of texts become one row each: the distinct pieces ("words"), and the pieces
 of each text as numbers of words. Spark's higher-order functions encode the words:
-a fold that merges, round by round, the adjacent pair of least rank, looked up in
-a literal map of ranks. Decoding joins the bytes of the tokens' pieces, from a
-literal array. Last, a block's rows are laid out again as one row per text.
+a fold over its bytes that merges, round by round, the adjacent pair of least rank,
+looked up in a literal map of ranks. Decoding joins the bytes of the tokens' pieces,
+from a literal array. Last, a block's rows are laid out again as one row per text.
 
-Bytes stand as Latin-1 characters, one each, since JSON carries the literals. The
-map of ranks is an array of small maps, chosen by crc32, as a lookup in a map is a
-scan. A word of more than ``LONG`` bytes merges all pairs of the least rank in one
+The map of ranks is a literal array with two places for each pair of tokens, as a
+lookup in a map column is a scan. Pieces stand as Latin-1 characters, one for each
+byte, since JSON carries the literals. A word of more than ``LONG`` bytes merges all pairs of the least rank in one
 round, leftmost first, so it takes as many rounds as there are distinct merges.
 
 Null and empty texts have no tokens. No special tokens are made.
@@ -19,7 +19,6 @@ from __future__ import annotations
 
 import base64
 import json
-import zlib
 from collections.abc import Iterator
 from pathlib import Path
 
@@ -28,12 +27,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textgraph.llm.hashing import blocks
+from textgraph.llm.hashing import as_bytes, blocks
 from textgraph.llm.tables import table
 
-BUCKETS = 1 << 15
+# Odd numbers, each about as large as half the table of pairs.
+MODULI = (129_949, 134_857)
 LONG = 64
-BLOCK_BYTES = 6 << 20
+BLOCK_BYTES = 8 << 20
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -42,80 +42,116 @@ def read_ranks(path: str) -> dict[bytes, int]:
     return {base64.b64decode(a): int(b) for a, b in (line.split() for line in lines if line)}
 
 
+def pair_table(ranks: dict[bytes, int]) -> np.ndarray:
+    """The map from pairs of tokens to the rank of both together, as slots that hold ``pair << 17 | rank``.
+
+    A pair lies at its remainder by the first or by the second of ``MODULI``, the second
+    behind the first: to enter one, whatever holds its slot moves to its other slot.
+    """
+    slots = [-1] * sum(MODULI)
+    for piece, rank in ranks.items():
+        for i in range(1, len(piece)):
+            left, right = ranks.get(piece[:i]), ranks.get(piece[i:])
+            if left is None or right is None:
+                continue
+            entry, side = (left << 16 | right) << 17 | rank, 0
+            for _ in range(500):
+                at = (entry >> 17) % MODULI[side] + side * MODULI[0]
+                entry, slots[at] = slots[at], entry
+                if entry < 0:
+                    break
+                side = 1 - side
+            else:
+                raise ValueError("the table of pairs is too full")
+    return np.array(slots, np.int64)
+
+
+def let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 class Codec:
-    """Columns that encode and decode words by one table of ranks."""
+    """Columns that encode and decode words by one table of ranks; ids are ranks, below 65536."""
 
     def __init__(self, ranks: dict[bytes, int]):
-        table = [{} for _ in range(BUCKETS)]
-        for piece, rank in ranks.items():
-            key = piece.decode("latin-1")
-            table[zlib.crc32(key.encode()) % BUCKETS][key] = rank
         by_id = [""] * (max(ranks.values()) + 1)
         for piece, rank in ranks.items():
             by_id[rank] = piece.decode("latin-1")
         # Folded to literals when the plan is made.
-        self.table = F.from_json(F.lit(json.dumps(table)), "array<map<string,int>>")
+        self.slots = F.from_json(F.lit(json.dumps(pair_table(ranks).tolist(), separators=(",", ":"))), "array<bigint>")
+        self.bytes = F.from_json(F.lit(json.dumps([ranks[bytes([i])] for i in range(256)])), "array<bigint>")
         self.pieces = F.from_json(F.lit(json.dumps(by_id)), "array<string>")
 
-    def rank(self, piece: Column) -> Column:
-        bucket = F.pmod(F.crc32(piece.cast("binary")), F.lit(BUCKETS)).cast("int")
-        return F.try_element_at(F.get(self.table, bucket), piece)
+    # ``t`` below is one struct of the tables, so a plan holds each literal once.
 
-    def merge_first(self, parts: Column) -> Column:
+    def encode_words(self, words: Column) -> Column:
+        """The token ids of words, each an array of its bytes."""
+        tables = F.struct(self.slots.alias("slots"), self.bytes.alias("bytes"))
+        return let(tables, lambda t: F.transform(words, lambda w: self.encode(w, t)))
+
+    def decode_words(self, words: Column) -> Column:
+        """The bytes of words of token ids."""
+        return let(self.pieces, lambda t: F.transform(words, lambda ids: F.encode(self.decode(ids, t), "ISO-8859-1")))
+
+    def ranks(self, parts: Column, t: Column) -> Column:
+        """For each part, the rank of it and the next together; null where there is none."""
+        first, second = (F.lit(p).cast("bigint") for p in MODULI)
+
+        def rank(part: Column, i: Column) -> Column:
+            pair = F.shiftleft(part, 16) + F.get(parts, i + 1)
+            a = F.get(t["slots"], pair % first)
+            b = F.get(t["slots"], pair % second + first)
+            return F.when(F.shiftright(a, 17) == pair, a).when(F.shiftright(b, 17) == pair, b).bitwiseAND(F.lit(0x1FFFF))
+
+        return F.transform(parts, rank)
+
+    def merge_first(self, parts: Column, t: Column) -> Column:
         """``parts`` with the leftmost pair of least rank merged."""
-        pairs = F.transform(F.sequence(F.lit(1), F.size(parts) - 1), lambda i: self.rank(F.concat(F.get(parts, i - 1), F.get(parts, i))))
 
-        def merged(r: Column) -> Column:
-            i = F.array_position(r, F.array_min(r)).cast("int")
-            one = F.array(F.concat(F.get(parts, i - 1), F.get(parts, i)))
-            whole = F.concat(F.slice(parts, F.lit(1), i - 1), one, F.slice(parts, i + 2, F.size(parts)))
-            return F.when(F.array_min(r).isNull(), parts).otherwise(whole)
+        def merged(r: Column, least: Column) -> Column:
+            at = F.array_position(r, least)
+            whole = let(at.cast("int"), lambda i: F.concat(F.slice(parts, F.lit(1), i - 1), F.array(least), F.slice(parts, i + 2, F.size(parts))))
+            return F.when(least.isNull(), parts).otherwise(whole)
 
-        return F.when(F.size(parts) < 2, parts).otherwise(F.get(F.transform(F.array(pairs), merged), F.lit(0)))
+        return let(self.ranks(parts, t), lambda r: let(F.array_min(r), lambda least: merged(r, least)))
 
-    def merge_all(self, state: Column) -> Column:
+    def merge_all(self, state: Column, t: Column) -> Column:
         """One round on ``(parts, done)``: every pair of least rank is merged, of overlapping ones the leftmost."""
         parts = state["parts"]
-        pairs = F.transform(F.sequence(F.lit(1), F.size(parts) - 1), lambda i: self.rank(F.concat(F.get(parts, i - 1), F.get(parts, i))))
 
-        def merged(r: Column) -> Column:
-            flags = F.array_join(F.transform(r, lambda x: F.when(x == F.array_min(r), "1").otherwise("0")), "")
-            return F.get(F.transform(F.array(F.split(F.regexp_replace(flags, "11", "10"), "")), chosen), F.lit(0))
+        def merged(r: Column, least: Column) -> Column:
+            flags = F.array_join(F.transform(r, lambda x: F.when(x == least, "1").otherwise("0")), "")
+            return let(F.split(F.regexp_replace(flags, "11", "10"), ""), lambda flag: chosen(flag, least))
 
-        def chosen(flag: Column) -> Column:
+        def chosen(flag: Column, least: Column) -> Column:
             def part(p: Column, i: Column) -> Column:
-                here = F.get(flag, i) == "1"
                 before = F.coalesce(F.get(flag, i - 1) == "1", F.lit(False))
-                return F.when(before, F.lit(None).cast("string")).when(here, F.concat(p, F.get(parts, i + 1))).otherwise(p)
+                return F.when(before, F.lit(None).cast("bigint")).when(F.get(flag, i) == "1", least).otherwise(p)
 
             return F.filter(F.transform(parts, part), lambda p: p.isNotNull())
 
-        def step(r: Column) -> Column:
-            none = F.array_min(r).isNull()
-            return F.struct(F.when(none, parts).otherwise(merged(r)).alias("parts"), none.alias("done"))
+        def step(r: Column, least: Column) -> Column:
+            return F.struct(F.when(least.isNull(), parts).otherwise(merged(r, least)).alias("parts"), least.isNull().alias("done"))
 
         done = F.struct(parts.alias("parts"), F.lit(True).alias("done"))
-        return F.when(state["done"] | (F.size(parts) < 2), done).otherwise(F.get(F.transform(F.array(pairs), step), F.lit(0)))
-
-    def encode(self, word: Column) -> Column:
-        """The token ids of a word whose bytes stand as Latin-1 characters."""
-        size = F.char_length(word)
-        start = F.split(word, "")
-        rounds = F.sequence(F.lit(2), size)
-        short = F.aggregate(rounds, start, lambda parts, _: self.merge_first(parts))
+        return F.when(state["done"], done).otherwise(let(self.ranks(parts, t), lambda r: let(F.array_min(r), lambda least: step(r, least))))
+
+    def encode(self, word: Column, t: Column) -> Column:
+        """The token ids of a word, given as an array of its bytes."""
+        start = F.transform(word, lambda b: F.get(t["bytes"], b))
+        rounds = F.sequence(F.lit(2), F.size(word))
+        short = F.aggregate(rounds, start, lambda parts, _: self.merge_first(parts, t))
         state = F.struct(start.alias("parts"), F.lit(False).alias("done"))
-        long = F.aggregate(rounds, state, lambda s, _: self.merge_all(s), lambda s: s["parts"])
-        whole = self.rank(word)
-        ids = F.transform(F.when(size > LONG, long).otherwise(short), self.rank)
-        none = F.array().cast("array<int>")
-        return F.when(size == 0, none).when(whole.isNotNull(), F.array(whole)).otherwise(ids)
+        long = F.aggregate(rounds, state, lambda s, _: self.merge_all(s, t), lambda s: s["parts"])
+        return F.when(F.size(word) < 2, start).when(F.size(word) > LONG, long).otherwise(short).cast("array<int>")
 
-    def decode(self, ids: Column) -> Column:
+    def decode(self, ids: Column, t: Column) -> Column:
         """The bytes of token ids, as Latin-1 characters."""
-        return F.array_join(F.transform(ids, lambda i: F.get(self.pieces, i)), "")
+        return F.array_join(F.transform(ids, lambda i: F.get(t, i)), "")
 
 
-BLOCK = "ids array<{id}>, sizes binary, codes binary, words array<string>"
+BLOCK = "ids array<{id}>, sizes binary, codes binary, words array<array<int>>"
 
 
 def pack(docs: DataFrame, pattern: str, size: int = BLOCK_BYTES) -> DataFrame:
@@ -130,10 +166,11 @@ def pack(docs: DataFrame, pattern: str, size: int = BLOCK_BYTES) -> DataFrame:
             found = [split.findall(text) if text else [] for text in block.column("text").to_pylist()]
             sizes = np.array([len(x) for x in found], np.int32)
             coded = pa.array([p for x in found for p in x], pa.string()).dictionary_encode()
-            words = [w.encode().decode("latin-1") for w in coded.dictionary.to_pylist()]
+            words, at = as_bytes(coded.dictionary)
+            words = pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(words.astype(np.int32)))
             codes = coded.indices.to_numpy().astype(np.int32)
             ids = pa.ListArray.from_arrays(pa.array([0, block.num_rows], pa.int32()), block.column("doc_id"))
-            cols = [ids, pa.array([sizes.tobytes()]), pa.array([codes.tobytes()]), pa.array([words], pa.list_(pa.string()))]
+            cols = [ids, pa.array([sizes.tobytes()]), pa.array([codes.tobytes()]), pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words)]
             yield pa.record_batch(cols, ["ids", "sizes", "codes", "words"])
 
     return docs.select("doc_id", "text").mapInArrow(work, BLOCK.format(id=id_type))
@@ -180,9 +217,8 @@ def encode_decode(docs: DataFrame, ranks: dict[bytes, int], pattern: str) -> Dat
     """``(doc_id, tokens, decoded)``: the token ids of each text, and the bytes that they decode to."""
     codec = Codec(ranks)
     words = pack(docs, pattern)
-    coded = words.select("ids", "sizes", "codes", F.transform("words", codec.encode).alias("token_ids"))
-    decoded = F.transform("token_ids", lambda t: F.encode(codec.decode(t), "ISO-8859-1"))
-    return unpack(coded.withColumn("decoded", decoded))
+    coded = words.select("ids", "sizes", "codes", codec.encode_words(F.col("words")).alias("token_ids"))
+    return unpack(coded.withColumn("decoded", codec.decode_words(F.col("token_ids"))))
 
 
 def digests(coded: DataFrame) -> DataFrame:
