@@ -201,7 +201,9 @@ def unpack(packed: DataFrame) -> DataFrame:
                 lists, texts = batch.column("token_ids")[i].values, batch.column("decoded")[i].values
                 offsets = lists.offsets.to_numpy().astype(np.int64)
                 tokens, each = take_lists(offsets - offsets[0], lists.flatten().to_numpy(zero_copy_only=False).astype(np.int32), codes)
-                where = np.frombuffer(texts.buffers()[1], np.int32, len(texts) + 1, texts.offset * 4).astype(np.int64)
+                where = np.zeros(1, np.int64)
+                if len(texts):
+                    where = np.frombuffer(texts.buffers()[1], np.int32, len(texts) + 1, texts.offset * 4).astype(np.int64)
                 data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[where[0] : where[-1]]
                 raw, wide = take_lists(where - where[0], data, codes)
                 tokens_at, bytes_at = totals(sizes, each), totals(sizes, wide)
