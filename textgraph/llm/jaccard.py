@@ -12,7 +12,7 @@ signature are candidates. A parity sketch, whose distance never exceeds the numb
 of differences, rules most out; the sets of the rest are counted out exactly.
 Where many classes share a signature, only the first is paired with each at once.
 After the links so found are joined to components, classes of that signature are
-paired only across components. So close copies cost what they number, not its
+paired only across components, and sketches are compared before a pair is a row. So close copies cost what they number, not its
 square, and no component is missed.
 
 Defined results: a text with fewer words than n has one shingle, its whole sequence;
@@ -175,17 +175,16 @@ def mark(docs: DataFrame, n: int, num: int, den: int, buckets: int) -> DataFrame
     return map_blocks(docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("th"), "text"), work, schema, BLOCK_BYTES)
 
 
-def pairs_of_groups(key: np.ndarray, value: np.ndarray, other: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """All pairs of values with one key, both sorted by key; with ``other``, only those unlike in it."""
+def pairs_of_groups(key: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All pairs of values with one key; keys are sorted."""
     left, right = [], []
     step = 1
     at = np.arange(len(key) - 1)
     while len(at):
         at = at[at + step < len(key)]
         at = at[key[at] == key[at + step]]
-        take = at if other is None else at[other[at] != other[at + step]]
-        left.append(value[take])
-        right.append(value[take + step])
+        left.append(value[at])
+        right.append(value[at + step])
         step += 1
     if not left:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
@@ -232,19 +231,51 @@ def candidates(blobs: DataFrame) -> DataFrame:
     return blobs.groupBy("bucket").applyInArrow(work, "a bigint, b bigint, crowd bigint")
 
 
-def across(crowds: DataFrame, labels: DataFrame) -> DataFrame:
-    """``(a, b)``: pairs of a crowd's members that lie in different components so far."""
+def folded(sketches: list[bytes], size: int) -> np.ndarray:
+    """Sketches of ``size`` bytes or more, as rows of 64-bit words, folded to ``size`` bytes."""
+    rows = np.frombuffer(b"".join(sketches), np.uint8).reshape(len(sketches), -1)
+    while rows.shape[1] > size:
+        half = rows.shape[1] // 2
+        rows = rows[:, :half] ^ rows[:, half:]
+    return np.ascontiguousarray(rows).view(np.uint64)
+
+
+def close_pairs(label: np.ndarray, n: np.ndarray, sketches: list[bytes], num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
+    """The places of all pairs unlike in label whose sizes and sketches allow the threshold."""
+    wide = np.array([len(x) for x in sketches])
+    left, right = [], []
+    for small in np.unique(wide).tolist():
+        ours = np.flatnonzero(wide == small)
+        rest = np.flatnonzero(wide >= small)
+        a, b = folded([sketches[i] for i in ours], small), np.zeros((len(rest), small // 8), np.uint64)
+        for size in np.unique(wide[rest]).tolist():
+            at = np.flatnonzero(wide[rest] == size)
+            b[at] = folded([sketches[i] for i in rest[at]], small)
+        for i, row in zip(ours.tolist(), a, strict=True):
+            ok = (label[rest] != label[i]) & ((wide[rest] > small) | (rest > i))
+            ok &= np.minimum(n[rest], n[i]) * den >= num * np.maximum(n[rest], n[i])
+            at = np.flatnonzero(ok)
+            near = np.bitwise_count(b[at] ^ row).sum(axis=1) <= (den - num) * (n[rest[at]] + n[i]) // (den + num)
+            right.append(rest[at[near]])
+            left.append(np.full(len(right[-1]), i))
+    return np.concatenate(left), np.concatenate(right)
+
+
+def across(crowds: DataFrame, labels: DataFrame, classes: DataFrame, num: int, den: int) -> DataFrame:
+    """``(a, b)``: pairs of a crowd's members that lie in different components so far, and whose
+    sizes and sketches do not rule them out."""
     labelled = crowds.join(labels.withColumnRenamed("node", "a"), "a", "left").select("crowd", "a", F.coalesce("label", "a").alias("label"))
+    # A crowd within one component has no pair left.
+    open_ = labelled.groupBy("crowd").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("crowd")
+    known = classes.select(F.col("class").alias("a"), "n", "sketch")
 
     def work(group: pa.Table) -> pa.Table:
-        member, label = (group.column(c).to_numpy() for c in ("a", "label"))
-        order = np.lexsort((member, label))
-        a, b = distinct_pairs(*pairs_of_groups(np.zeros(len(member), np.int64), member[order], label[order]))
+        member, label, n = (group.column(c).to_numpy() for c in ("a", "label", "n"))
+        a, b = close_pairs(label, n, group.column("sketch").to_pylist(), num, den)
+        a, b = distinct_pairs(member[a], member[b])
         return pa.table([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
-    # A crowd within one component has no pair left.
-    open_ = labelled.groupBy("crowd").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("crowd")
-    return labelled.join(open_, "crowd").groupBy("crowd").applyInArrow(work, "a bigint, b bigint")
+    return labelled.join(open_, "crowd").join(known, "a").groupBy("crowd").applyInArrow(work, "a bigint, b bigint")
 
 
 def verify(pairs: DataFrame, classes: DataFrame, docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
@@ -321,7 +352,7 @@ def similar(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) -> tuple
     labels = components(links.select("a", "b"))
     crowds = found.where("crowd IS NOT NULL").select("crowd", "a")
     if not crowds.isEmpty():
-        more = verify(across(crowds, labels), classes, docs, n, num, den)
+        more = verify(across(crowds, labels, classes, num, den), classes, docs, n, num, den)
         links = links.unionByName(more).distinct()
         labels = components(labels.select(F.col("node").alias("a"), F.col("label").alias("b")).unionByName(more.select("a", "b")))
     return members.select("doc_id", "n_shingles", "class"), links, labels
