@@ -130,30 +130,37 @@ def from_low_bytes(data: bytes) -> np.ndarray:
     return wide.reshape(-1).view("<u8")
 
 
-MARKS = "doc_id {id}, th bigint, n_shingles bigint, class bigint, sketch binary, bucket int, classes binary, counts binary, sigs binary"
+def class_of(sets: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """A hash of each set."""
+    sums = np.zeros(len(sets) + 1, U64)
+    np.cumsum(mix(sets + U64(0xA5A5A5A5)), dtype=U64, out=sums[1:])
+    return mix(sums[first[1:]] - sums[first[:-1]] + np.diff(first).astype(U64)).view(np.int64)
 
 
-def mark(docs: DataFrame, n: int, num: int, den: int, buckets: int) -> DataFrame:
-    """A row per document, with its class, and the signatures of each block, by bucket."""
-    schema = MARKS.format(id=docs.schema["doc_id"].dataType.simpleString())
+def mark(docs: DataFrame, n: int) -> DataFrame:
+    """``(doc_id, th, n_shingles, class, sketch)`` of each document; ``th`` is a hash of its text."""
 
     def work(block: pa.RecordBatch) -> pa.RecordBatch:
         sets, first = shingle_sets(block.column("text"), n)
         sizes = np.diff(first)
-        sums = np.zeros(len(sets) + 1, U64)
-        np.cumsum(mix(sets + U64(0xA5A5A5A5)), dtype=U64, out=sums[1:])
-        classes = mix(sums[first[1:]] - sums[first[:-1]] + sizes.astype(U64)).view(np.int64)
+        sketches = [parity_sketch(sets[first[i] : first[i + 1]]) if sizes[i] else b"" for i in range(len(sizes))]
+        cols = [block.column("doc_id"), block.column("th"), pa.array(sizes, pa.int64()), pa.array(class_of(sets, first)), pa.array(sketches, pa.binary())]
+        return pa.record_batch(cols, ["doc_id", "th", "n_shingles", "class", "sketch"])
+
+    id_type = docs.schema["doc_id"].dataType.simpleString()
+    rows = docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("th"), "text")
+    return map_blocks(rows, work, f"doc_id {id_type}, th bigint, n_shingles bigint, class bigint, sketch binary", BLOCK_BYTES)
+
+
+def sign(docs: DataFrame, n: int, num: int, den: int, buckets: int) -> DataFrame:
+    """``(bucket, classes, counts, sigs)``: the signatures of the classes of each block, by bucket."""
+
+    def work(block: pa.RecordBatch) -> pa.RecordBatch:
+        sets, first = shingle_sets(block.column("text"), n)
+        sizes, classes = np.diff(first), class_of(sets, first)
         real = np.flatnonzero(sizes)
         _, one = np.unique(classes[real], return_index=True)
         one = np.sort(real[one])
-        docs_part = [
-            block.column("doc_id"),
-            block.column("th"),
-            pa.array(sizes, pa.int64()),
-            pa.array(classes, pa.int64()),
-            pa.array([parity_sketch(sets[first[i] : first[i + 1]]) if sizes[i] else b"" for i in range(len(sizes))], pa.binary()),
-            *(pa.nulls(len(sizes), t) for t in (pa.int32(), pa.binary(), pa.binary(), pa.binary())),
-        ]
         small = np.concatenate([[0], np.cumsum(sizes[one])])
         member = np.repeat(first[:-1][one] - small[:-1], sizes[one]) + np.arange(small[-1])
         sig, row = signatures(sets[member], small, num, den)
@@ -166,13 +173,10 @@ def mark(docs: DataFrame, n: int, num: int, den: int, buckets: int) -> DataFrame
             who, counts = np.unique(row[a:b], return_counts=True)
             blobs.append((int(bucket[a]), classes[one[who]].tobytes(), counts.astype(np.uint32).tobytes(), low_bytes(sig[a:b])))
         cols = list(zip(*blobs, strict=True)) if blobs else [(), (), (), ()]
-        rest = [pa.array(c, t) for c, t in zip(cols, (pa.int32(), pa.binary(), pa.binary(), pa.binary()), strict=True)]
-        blank = [pa.nulls(len(blobs), c.type) for c in docs_part[:5]]
-        names = ["doc_id", "th", "n_shingles", "class", "sketch", "bucket", "classes", "counts", "sigs"]
-        both = [pa.concat_arrays([a, b]) for a, b in zip(docs_part, [*blank, *rest], strict=True)]
-        return pa.record_batch(both, names)
+        kinds = (pa.int32(), pa.binary(), pa.binary(), pa.binary())
+        return pa.record_batch([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], ["bucket", "classes", "counts", "sigs"])
 
-    return map_blocks(docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("th"), "text"), work, schema, BLOCK_BYTES)
+    return map_blocks(docs.select("text"), work, "bucket int, classes binary, counts binary, sigs binary", BLOCK_BYTES)
 
 
 def pairs_of_groups(key: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -339,15 +343,14 @@ def similar(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) -> tuple
     """
     chars = docs.agg(F.sum(F.length("text"))).first()[0] or 0
     buckets = max(LEAST_BUCKETS, chars // CHARS_PER_BUCKET)
-    marks = cut_lineage(mark(docs, n, num, den, min(buckets, 1 << 16)))
-    members = marks.where("bucket IS NULL").select("doc_id", "th", "n_shingles", "class", "sketch")
+    members = cut_lineage(mark(docs, n))
     # Texts of a class have equal sets and so equal sketches; the least id and text stand for it.
     classes = cut_lineage(
         members.where("n_shingles > 0").groupBy("class").agg(
             F.min(F.struct("doc_id", "th")).alias("one"), F.max("n_shingles").alias("n"), F.max("sketch").alias("sketch")
         ).select("class", "one.doc_id", "one.th", "n", "sketch")
     )
-    found = cut_lineage(candidates(marks.where("bucket IS NOT NULL").select("bucket", "classes", "counts", "sigs")))
+    found = cut_lineage(candidates(sign(docs, n, num, den, min(buckets, 1 << 16))))
     links = verify(found.where("a <> b").select("a", "b"), classes, docs, n, num, den)
     labels = components(links.select("a", "b"))
     crowds = found.where("crowd IS NOT NULL").select("crowd", "a")
