@@ -56,7 +56,7 @@ def main() -> int:
     spark, con, sql = local_session(), connect(sf_dir), oracle_sql()
     bad = 0
     for name, query in queries().items():
-        if names and name not in names:
+        if name not in sql or names and name not in names:
             continue
         start = time.time()
         got = query(spark, sf_dir).toPandas()

@@ -85,9 +85,7 @@ def rank_contributions(nodes: DataFrame, links: DataFrame, hot: DataFrame | None
             "src", "credit", every_piece(or_one()).alias("piece")
         )
         on = ["src", "piece"]
-    # Senders have one row per page (and piece), so their hash tables are even,
-    # and the links, much the larger side, need no sort in any step.
-    return links.join(senders.hint("shuffle_hash"), on).select(F.col("dst").alias("page"), "credit")
+    return links.join(senders, on).select(F.col("dst").alias("page"), "credit")
 
 
 def pagerank_step(
@@ -111,7 +109,7 @@ def pagerank_step(
     every = nodes if pages is None else pages
     return (
         every.select("page", "out_degree")
-        .join(received.hint("shuffle_hash"), "page", "left")
+        .join(received, "page", "left")
         .select("page", rank.alias("rank"), "out_degree")
     )
 

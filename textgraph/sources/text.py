@@ -67,7 +67,9 @@ def read_cells(spark: SparkSession, path: str | list[str], file: str | None = No
     parts = F.split("value", CELL_SEPARATOR)
     return lines.select(
         F.element_at(parts, 1).alias("row"),
-        F.element_at(parts, 2).alias("col"),
+        F.coalesce(
+            F.try_element_at(parts, F.lit(2)), F.raise_error(F.concat(F.lit("not row,col,val: "), F.col("value")))
+        ).alias("col"),
         parse_double(F.try_element_at(parts, F.lit(3))).alias("val"),
     )
 
