@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from textgraph.llm.hashing import blocks
 
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
