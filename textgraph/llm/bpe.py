@@ -32,7 +32,10 @@ from textgraph.llm.tables import table
 
 # Odd numbers, each about as large as half the table of pairs.
 MODULI = (129_949, 134_857)
+# Short words have places of six bits.
 LONG = 64
+# An entry of a short word: the bits of its id, of its place, and the rank of a pair that has none.
+ID, PLACE, NONE = 0x1FFFF, 0x3F << 17, 0x1FFFF << 23
 BLOCK_BYTES = 8 << 20
 
 
@@ -68,7 +71,7 @@ def pair_table(ranks: dict[bytes, int]) -> np.ndarray:
 
 def let(value: Column, body) -> Column:
     """``body(value)`` with the value computed once."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
+    return F.get(F.transform(F.array_repeat(value, 1), body), F.lit(0))
 
 
 class Codec:
@@ -81,40 +84,71 @@ class Codec:
         # Folded to literals when the plan is made.
         self.slots = F.from_json(F.lit(json.dumps(pair_table(ranks).tolist(), separators=(",", ":"))), "array<bigint>")
         self.bytes = F.from_json(F.lit(json.dumps([ranks[bytes([i])] for i in range(256)])), "array<bigint>")
+        both = [ranks.get(bytes([i, j])) for i in range(256) for j in range(256)]
+        self.pairs = F.from_json(F.lit(json.dumps([NONE if r is None else r << 23 for r in both])), "array<bigint>")
         self.pieces = F.from_json(F.lit(json.dumps(by_id)), "array<string>")
 
     # ``t`` below is one struct of the tables, so a plan holds each literal once.
 
     def encode_words(self, words: Column) -> Column:
         """The token ids of words, each an array of its bytes."""
-        tables = F.struct(self.slots.alias("slots"), self.bytes.alias("bytes"))
+        tables = F.struct(self.slots.alias("slots"), self.bytes.alias("bytes"), self.pairs.alias("pairs"))
         return let(tables, lambda t: F.transform(words, lambda w: self.encode(w, t)))
 
     def decode_words(self, words: Column) -> Column:
         """The bytes of words of token ids."""
         return let(self.pieces, lambda t: F.transform(words, lambda ids: F.encode(self.decode(ids, t), "ISO-8859-1")))
 
+    def rank(self, left: Column, right: Column, t: Column) -> Column:
+        """The rank of two parts together; null where there is none, or one part is null."""
+        first, second = (F.lit(p).cast("bigint") for p in MODULI)
+
+        pair = F.shiftleft(left, 16) + right
+        a, b = F.get(t["slots"], pair % first), F.get(t["slots"], pair % second + first)
+        return F.when(F.shiftright(a, 17) == pair, a).when(F.shiftright(b, 17) == pair, b).bitwiseAND(F.lit(ID))
+
     def ranks(self, parts: Column, t: Column) -> Column:
         """For each part, the rank of it and the next together; null where there is none."""
-        first, second = (F.lit(p).cast("bigint") for p in MODULI)
+        return F.transform(parts, lambda part, i: self.rank(part, F.get(parts, i + 1), t))
 
-        def rank(part: Column, i: Column) -> Column:
-            pair = F.shiftleft(part, 16) + F.get(parts, i + 1)
-            a = F.get(t["slots"], pair % first)
-            b = F.get(t["slots"], pair % second + first)
-            return F.when(F.shiftright(a, 17) == pair, a).when(F.shiftright(b, 17) == pair, b).bitwiseAND(F.lit(0x1FFFF))
+    def entries(self, word: Column, t: Column) -> Column:
+        """Each byte as an entry ``rank << 23 | place << 17 | id``, with the rank of it and the next together.
 
-        return F.transform(parts, rank)
+        Entries of one word differ, and the least is the leftmost of those with the least rank.
+        """
 
-    def merge_first(self, parts: Column, t: Column) -> Column:
-        """``parts`` with the leftmost pair of least rank merged."""
+        def entry(b: Column, i: Column) -> Column:
+            rank = F.coalesce(F.get(t["pairs"], b * 256 + F.get(word, i + 1)), F.lit(NONE))
+            return rank + F.shiftleft(i, 17) + F.get(t["bytes"], b)
 
-        def merged(r: Column, least: Column) -> Column:
-            at = F.array_position(r, least)
-            whole = let(at.cast("int"), lambda i: F.concat(F.slice(parts, F.lit(1), i - 1), F.array(least), F.slice(parts, i + 2, F.size(parts))))
-            return F.when(least.isNull(), parts).otherwise(whole)
+        return F.transform(word, entry)
+
+    def merge_first(self, entries: Column, t: Column) -> Column:
+        """Entries with the leftmost pair of least rank merged; only the ranks beside it are looked up."""
+
+        def part(i: Column) -> Column:
+            return F.get(entries, i).bitwiseAND(F.lit(ID))
+
+        def ranked(rank: Column) -> Column:
+            return F.coalesce(F.shiftleft(rank, 23), F.lit(NONE))
+
+        def merged(at: Column, least: Column) -> Column:
+            # ``at`` is the place of the right part of the pair; its rank is the id of both together.
+            whole = F.shiftright(least, 23)
+
+            def kept(x: Column, i: Column) -> Column:
+                both = ranked(self.rank(whole, part(at + 1), t)) + least.bitwiseAND(F.lit(PLACE)) + whole
+                before = ranked(self.rank(x.bitwiseAND(F.lit(ID)), whole, t)) + x.bitwiseAND(F.lit(PLACE | ID))
+                beside = F.when(i == at - 1, both).when(i == at - 2, before)
+                return F.when((i > at) | (i < at - 2), x).otherwise(beside)
+
+            return F.filter(F.transform(entries, kept), lambda x: x.isNotNull())
+
+        def step(least: Column) -> Column:
+            at = F.array_position(entries, least).cast("int")
+            return F.when(least >= NONE, entries).otherwise(let(at, lambda i: merged(i, least)))
 
-        return let(self.ranks(parts, t), lambda r: let(F.array_min(r), lambda least: merged(r, least)))
+        return let(F.array_min(entries), step)
 
     def merge_all(self, state: Column, t: Column) -> Column:
         """One round on ``(parts, done)``: every pair of least rank is merged, of overlapping ones the leftmost."""
@@ -141,7 +175,8 @@ class Codec:
         """The token ids of a word, given as an array of its bytes."""
         start = F.transform(word, lambda b: F.get(t["bytes"], b))
         rounds = F.sequence(F.lit(2), F.size(word))
-        short = F.aggregate(rounds, start, lambda parts, _: self.merge_first(parts, t))
+        ids = lambda entries: F.transform(entries, lambda x: x.bitwiseAND(F.lit(ID)))
+        short = F.aggregate(rounds, self.entries(word, t), lambda e, _: self.merge_first(e, t), ids)
         state = F.struct(start.alias("parts"), F.lit(False).alias("done"))
         long = F.aggregate(rounds, state, lambda s, _: self.merge_all(s, t), lambda s: s["parts"])
         return F.when(F.size(word) < 2, start).when(F.size(word) > LONG, long).otherwise(short).cast("array<int>")
