@@ -13,7 +13,6 @@ from textgraph import (
     search_documents,
     terms_of,
     unpack_key,
-    use_all_cores,
     write_table,
     write_tsv,
 )
@@ -142,12 +141,3 @@ def test_scratch_follows_the_session(spark):
     cut = cut_lineage(df)
     assert sorted(r[0] for r in cut.collect()) == [0, 1, 2]
     assert "textgraph-" in cut.inputFiles()[0]
-
-
-def test_small_scan_is_spread(spark, tmp_path):
-    spark.range(100).coalesce(1).write.parquet(f"{tmp_path}/p")
-    cores = spark.sparkContext.defaultParallelism
-    df = spark.read.parquet(f"{tmp_path}/p")
-    assert use_all_cores(df).rdd.getNumPartitions() == cores
-    wide = df.repartition(cores + 1)
-    assert use_all_cores(wide) is wide

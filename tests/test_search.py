@@ -98,7 +98,7 @@ def test_one_aggregate_equals_the_stages(tf, spark):
 def test_long_query_gives_the_same(docs, spark, monkeypatch):
     query = terms_of(spark, ["pear", "fig", "the"])
     want = [tuple(r) for r in search_documents(docs, query).collect()]
-    monkeypatch.setattr("textgraph.plans.search.is_small", lambda terms: False)
+    monkeypatch.setattr("textgraph.operators.weights.is_small", lambda terms: False)
     monkeypatch.setattr("textgraph.operators.terms.is_small", lambda terms: False)
     got = [tuple(r) for r in search_documents(docs, query).collect()]
     assert [g[:2] for g in got] == [w[:2] for w in want]

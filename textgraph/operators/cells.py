@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textgraph.functions.numbers import ieee_divide
-from textgraph.operators.skew import HOT_FLOOR, attach_totals, every_piece, find_hot, piece_of, or_one
+from textgraph.operators.skew import HOT_FLOOR, attach_totals, every_piece, find_hot, key_hash, or_one, piece_of
 from textgraph.operators.terms import is_small, keep_terms
 
 # An inner index with fewer products than this is never hot.
@@ -54,9 +54,9 @@ def partial_products(a: DataFrame, b: DataFrame, items: DataFrame, hot_floor: in
         # As many cuts on each side as make the pieces of both alike in size.
         even = F.ceil(F.sqrt(F.col("pieces") * F.col("xs") / F.col("ys"))).cast("bigint")
         a_pieces = F.least("pieces", "xs", F.greatest(even, F.lit(1).cast("bigint")))
-        grid = hot.withColumn("a", a_pieces).select("k", "a", F.ceil(F.col("pieces") / F.col("a")).cast("bigint").alias("b"))
+        grid = hot.withColumn("a", a_pieces).select("hash", "a", F.ceil(F.col("pieces") / F.col("a")).cast("bigint").alias("b"))
         left, right = (
-            side.join(F.broadcast(grid), "k", "left")
+            side.join(F.broadcast(grid), key_hash("k") == F.col("hash"), "left")
             .withColumn("a", or_one("a"))
             .withColumn("b", or_one("b"))
             for side in (left, right)

@@ -12,7 +12,7 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textgraph.operators.skew import HOT_FLOOR, every_piece, find_hot, piece_of, or_one
+from textgraph.operators.skew import HOT_FLOOR, every_piece, find_hot, key_hash, or_one, piece_of
 
 DAMPING = 0.85
 
@@ -57,17 +57,17 @@ def page_table(links: DataFrame, lines: DataFrame | None = None) -> DataFrame:
 
 
 def hot_sources(pages: DataFrame, floor: int = HOT_FLOOR) -> DataFrame | None:
-    """``(src, pieces)`` for pages with more links than one task should take, or
+    """``(hash, pieces)`` for pages with more links than one task should take, or
     None where there are none. Runs one aggregate over the pages."""
     hot = find_hot(pages, "page", "out_degree", floor)
-    return None if hot is None else hot.select(F.col("page").alias("src"), "pieces")
+    return None if hot is None else hot.select("hash", "pieces")
 
 
 def split_sources(links: DataFrame, hot: DataFrame | None) -> DataFrame:
     """Links with the ``piece`` of their source they belong to, if any is hot."""
     if hot is None:
         return links
-    return links.join(F.broadcast(hot), "src", "left").select("src", "dst", piece_of(or_one(), "dst").alias("piece"))
+    return links.join(F.broadcast(hot), key_hash("src") == F.col("hash"), "left").select("src", "dst", piece_of(or_one(), "dst").alias("piece"))
 
 
 def rank_contributions(nodes: DataFrame, links: DataFrame, hot: DataFrame | None = None) -> DataFrame:
@@ -81,7 +81,7 @@ def rank_contributions(nodes: DataFrame, links: DataFrame, hot: DataFrame | None
     senders = nodes.where("out_degree > 0").select(F.col("page").alias("src"), share)
     on = ["src"]
     if hot is not None:
-        senders = senders.join(F.broadcast(hot), "src", "left").select(
+        senders = senders.join(F.broadcast(hot), key_hash("src") == F.col("hash"), "left").select(
             "src", "credit", every_piece(or_one()).alias("piece")
         )
         on = ["src", "piece"]
@@ -100,18 +100,18 @@ def pagerank_step(
 
     S is the credit a page receives, 0 for a page nobody links to. ``pages``
     has every page of the result and its out-degree; by default those are the
-    pages of ``nodes``. Rank of pages without links is not handed back.
+    pages of ``nodes`` and the targets of links, which have none of their own.
+    Rank of pages without links is not handed back.
     """
     total = n if isinstance(n, Column) else F.lit(n)
     received = rank_contributions(nodes, links, hot).groupBy("page").agg(F.sum("credit").alias("credit"))
     base = F.lit(float(1 - Decimal(str(damping)))) / total
     rank = F.lit(damping) * F.coalesce("credit", F.lit(0.0)) + base
-    every = nodes if pages is None else pages
-    return (
-        every.select("page", "out_degree")
-        .join(received, "page", "left")
-        .select("page", rank.alias("rank"), "out_degree")
-    )
+    if pages is None:
+        every = nodes.select("page", "out_degree").join(received, "page", "full")
+    else:
+        every = pages.select("page", "out_degree").join(received, "page", "left")
+    return every.select("page", rank.alias("rank"), F.coalesce("out_degree", F.lit(0)).alias("out_degree"))
 
 
 def attach_links(ranks: DataFrame, adj: DataFrame) -> DataFrame:

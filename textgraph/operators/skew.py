@@ -14,34 +14,31 @@ from pyspark.sql import functions as F
 
 HOT_KEYS = 10_000
 HOT_FLOOR = 100_000
-HOT_KEY_BYTES = 1_000
 
 
-def with_pieces(counts: DataFrame, key: str, n: str, floor: int = HOT_FLOOR) -> DataFrame:
-    """``counts``, which has one row per key that stands for ``n`` rows, with the
-    number of ``pieces`` each key is cut into: 1 unless the key is hot.
+def key_hash(key: str) -> Column:
+    """What stands for a key in a table of hot keys: eight bytes, however long the key is.
 
-    A hot key of more than ``HOT_KEY_BYTES`` stays whole for the plain join,
-    which adaptive execution splits.
+    Both sides of a join look pieces up by it, so keys that share a hash share their cut.
     """
-    bar = F.greatest(F.lit(float(floor)), counts.agg(F.sum(n)).scalar() / HOT_KEYS)
-    short = F.octet_length(F.col(key).cast("string")) <= HOT_KEY_BYTES
-    pieces = F.when((F.col(n) > bar) & short, F.ceil(F.col(n) / bar).cast("bigint"))
-    return counts.withColumn("pieces", F.coalesce(pieces, F.lit(1).cast("bigint")))
+    return F.xxhash64(key)
 
 
 def find_hot(counts: DataFrame, key: str, n: str, floor: int = HOT_FLOOR) -> DataFrame | None:
-    """The hot rows of ``counts`` with their ``pieces``, or None if there are none.
+    """``(hash, pieces)`` and the columns of ``counts`` but the key for its hot rows, or None if there are none.
 
-    Fewer than ``HOT_KEYS`` rows of short keys, for a broadcast. Runs one
-    aggregate, so that the usual plan, without hot keys, stays a plain join.
+    ``counts`` has one row per key that stands for ``n`` rows. Fewer than ``HOT_KEYS``
+    rows, for a broadcast. Runs one aggregate, so that the usual plan, without hot
+    keys, stays a plain join.
     """
     size = counts.agg(F.sum(n).alias("total"), F.max(n).alias("most")).first()
     bar = max(float(floor), (size["total"] or 0) / HOT_KEYS)
     if (size["most"] or 0) <= bar:
         return None
-    hot = (F.col(n) > bar) & (F.octet_length(F.col(key).cast("string")) <= HOT_KEY_BYTES)
-    return counts.where(hot).withColumn("pieces", F.ceil(F.col(n) / F.lit(bar)).cast("bigint"))
+    rest = [c for c in counts.columns if c != key]
+    hot = counts.where(F.col(n) > bar).withColumn("pieces", F.ceil(F.col(n) / F.lit(bar)).cast("bigint"))
+    most = F.max(F.struct("pieces", *rest)).alias("most")
+    return hot.groupBy(key_hash(key).alias("hash")).agg(most).select("hash", "most.*")
 
 
 def or_one(col: str = "pieces") -> Column:
@@ -67,11 +64,16 @@ def attach_totals(rows: DataFrame, totals: DataFrame, key: str, n: str, floor: i
     filter on the key, so the shuffles below stay alike and are reused.
     """
     values = [c for c in totals.columns if c != key]
-    pieces = with_pieces(totals, key, n, floor)
-    hot = F.broadcast(pieces.where("pieces > 1").select(F.col(key).alias("_hot"), "pieces"))
-    cut = rows.join(hot, F.col(key).eqNullSafe(F.col("_hot")), "left").select(
+    bar = F.greatest(F.lit(float(floor)), totals.agg(F.sum(n)).scalar() / HOT_KEYS)
+    counts = totals.where(F.col(n) > bar).select(
+        key_hash(key).alias("_hot"), F.ceil(F.col(n) / bar).cast("bigint").alias("pieces")
+    )
+    hot = F.broadcast(counts.groupBy("_hot").agg(F.max("pieces").alias("pieces")))
+    cut = rows.join(hot, key_hash(key) == F.col("_hot"), "left").select(
         *rows.columns, piece_of(or_one(), *rows.columns).alias("_piece")
     )
-    copied = pieces.select(F.col(key).alias("_key"), *values, every_piece(F.col("pieces")).alias("_copy"))
+    copied = totals.join(hot, key_hash(key) == F.col("_hot"), "left").select(
+        F.col(key).alias("_key"), *values, every_piece(or_one()).alias("_copy")
+    )
     match = F.col(key).eqNullSafe(F.col("_key")) & (F.col("_piece") == F.col("_copy"))
     return cut.join(copied, match, "left").select(*rows.columns, *values)

@@ -5,11 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textgraph.operators.skew import every_piece, piece_of
-
 MAX_TERMS = 1_000_000
 MAX_TERM_BYTES = 64 * 1024 * 1024
-TERM_PIECES = 64
 
 
 def is_small(terms: DataFrame, max_terms: int = MAX_TERMS, max_bytes: int = MAX_TERM_BYTES) -> bool:
@@ -35,8 +32,6 @@ def _match(df: DataFrame, terms: DataFrame, col: str, how: str, small: bool | No
         small = is_small(terms)
     if small:
         return df.join(F.broadcast(listed), col, how).select(*df.columns)
-    # A list too long to broadcast: the rows of a frequent term are spread over
-    # pieces, and each piece meets its own copy of the list.
-    copies = listed.distinct().withColumn("_piece", every_piece(TERM_PIECES))
-    spread = df.withColumn("_piece", piece_of(TERM_PIECES, *df.columns))
-    return spread.join(copies, [col, "_piece"], how).select(*df.columns)
+    # A list too long to broadcast goes by a plain shuffle join, whose large
+    # partitions adaptive execution splits, also those of one frequent term.
+    return df.join(listed.distinct(), col, how).select(*df.columns)

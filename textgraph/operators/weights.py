@@ -9,7 +9,7 @@ from pyspark.sql.window import Window
 from textgraph.functions.numbers import ieee_divide
 from textgraph.operators.counts import doc_freq
 from textgraph.operators.skew import HOT_FLOOR, attach_totals
-from textgraph.operators.terms import keep_terms
+from textgraph.operators.terms import is_small, keep_terms
 
 
 def document_count(df: DataFrame) -> Column:
@@ -20,7 +20,9 @@ def document_count(df: DataFrame) -> Column:
 def tf_idf(tf: DataFrame, n_docs: int | Column | None = None, hot_floor: int = HOT_FLOOR) -> DataFrame:
     """``(doc_id, word, tf_idf)`` with ``(1 + ln tf) * ln(N / df)``.
 
-    Nothing is smoothed: a word of all N documents weighs 0, and with a fixed N
+    N is ``n_docs``: give ``document_count`` of the documents, as search does.
+    Without it only documents with a word in ``tf`` count, which is the same
+    where none is empty. Nothing is smoothed: a word of all N documents weighs 0, and with a fixed N
     below ``df`` the weight is negative.
     """
     if n_docs is None:
@@ -52,19 +54,19 @@ def relevance(norm: DataFrame, query: DataFrame) -> DataFrame:
     return keep_terms(norm, query).groupBy("doc_id").agg(F.sum("norm").alias("relevance"))
 
 
-def query_relevance(tfidf: DataFrame, query: DataFrame) -> DataFrame:
-    """``relevance(l2_normalize(tfidf), query)`` in one aggregate, for a small query.
+def query_relevance(tfidf: DataFrame, query: DataFrame, small: bool | None = None) -> DataFrame:
+    """``relevance(l2_normalize(tfidf), query)`` in one aggregate.
 
     The length of a document is the same for all of its words, so it divides
-    the sum instead of each weight, and nothing is joined back.
+    the sum instead of each weight, and nothing is joined back. A query that is
+    not ``small`` enough to broadcast marks its words by a shuffle join.
     """
     weight = F.col("tf_idf")
     asked = F.col("asked").isNotNull()
-    marked = tfidf.join(
-        F.broadcast(query.select(F.col(query.columns[0]).alias("word"), F.lit(True).alias("asked")).distinct()),
-        "word",
-        "left",
-    )
+    words = query.select(F.col(query.columns[0]).alias("word"), F.lit(True).alias("asked")).distinct()
+    if is_small(query) if small is None else small:
+        words = F.broadcast(words)
+    marked = tfidf.join(words, "word", "left")
     sums = marked.groupBy("doc_id").agg(
         F.sum(weight * weight).alias("squares"),
         F.sum(F.when(asked, weight)).alias("matched"),

@@ -37,7 +37,8 @@ def pagerank(
     the ``rank`` column of ``adj``. ``save_each`` writes the ranks of step i to
     ``<save_each>i``.
     """
-    n = node_count(adj).scalar() if n is None else n
+    # Taken once: as a subquery it would read the source again in each plan.
+    n = node_count(adj).first()["n"] if n is None else n
     lines = dedupe_adjacency(adj)
     if iterations > STEPS_PER_PLAN or save_each is not None:
         lines = cut_lineage(lines)

@@ -8,7 +8,6 @@ from textgraph.sources.text import (
     read_tagged,
     read_terms,
     terms_of,
-    use_all_cores,
 )
 
 __all__ = [
@@ -21,7 +20,6 @@ __all__ = [
     "read_tagged",
     "read_terms",
     "terms_of",
-    "use_all_cores",
     "write_table",
     "write_tsv",
 ]

@@ -101,13 +101,3 @@ def terms_of(spark: SparkSession, words: list[str], name: str = "word") -> DataF
     import pyarrow as pa
 
     return spark.createDataFrame(pa.table({name: pa.array(list(dict.fromkeys(words)), pa.string())}))
-
-
-def use_all_cores(df: DataFrame) -> DataFrame:
-    """Spread a scan of fewer splits than there are cores over all of them.
-
-    A small file may hold its rows in one row group, which leaves the work on
-    its text to one core. A large input has splits enough and stays as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

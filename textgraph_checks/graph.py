@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textgraph_checks.tables import key, table
+from textgraph_checks.tables import key, spread, table
 from textgraph import (
     attach_links,
     dedupe_adjacency,
@@ -27,7 +27,6 @@ from textgraph import (
     rank_contributions,
 )
 from textgraph.scratch import cut_lineage, scratch_path
-from textgraph.sources import use_all_cores
 
 
 def links(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -41,7 +40,7 @@ def links(spark: SparkSession, sf_dir: str) -> DataFrame:
         key("o", "o_orderkey").alias("src"), key("c", "o_custkey").alias("dst")
     )
     sales = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey")
-    return use_all_cores(sales).select(triangles).unionByName(buyers)
+    return spread(sales).select(triangles).unionByName(buyers)
 
 
 def adjacency(spark: SparkSession, sf_dir: str) -> DataFrame:

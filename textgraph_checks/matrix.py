@@ -1,8 +1,10 @@
 """Matrix products over ``lineitem``.
 
-A is supplier × part with the quantity sold, B is part × supplier with the
-number of sales, the items are the suppliers that are not in debt. The profile
-matrices of ``recommend`` have the brands of the parts as their inner index.
+Sparse products: A is customer × part with the quantity bought, B is part ×
+customer with the number of purchases, the items are all customers. A part has
+about thirty buyers at every scale, so the work and the result grow with the sales.
+Dense products have nations of suppliers in place of customers, and the items are
+the nations of all regions but one: as many cells at every scale.
 """
 
 from __future__ import annotations
@@ -10,10 +12,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textgraph_checks.tables import table
+from textgraph_checks.tables import spread, table
 from textgraph import cell_product, dedupe_cells, fill_cells, nan_to_null, normalize_rows, recommend, sparse_matmul
 from textgraph.scratch import cut_lineage
-from textgraph.sources import use_all_cores
 
 
 def cells(df: DataFrame, row: str, col: str, val) -> DataFrame:
@@ -22,26 +23,31 @@ def cells(df: DataFrame, row: str, col: str, val) -> DataFrame:
 
 
 def sales_of(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return use_all_cores(table(spark, sf_dir, "lineitem").select("l_suppkey", "l_partkey", "l_quantity"))
-
-
-def items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "supplier").where("s_acctbal >= 0").select(F.col("s_suppkey").cast("string").alias("item"))
-
-
-def matrices(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    sales = sales_of(spark, sf_dir)
-    a = cells(sales, "l_suppkey", "l_partkey", F.sum("l_quantity"))
-    b = cells(sales, "l_partkey", "l_suppkey", F.count("*"))
-    return a, b, items(spark, sf_dir)
+    return spread(table(spark, sf_dir, "lineitem").select("l_suppkey", "l_partkey", "l_quantity"))
+
+
+def purchases(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Customer × part, part × customer, and the customers."""
+    buyers = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
+    sales = spread(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")).join(buyers, "l_orderkey")
+    items = table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("item"))
+    return (
+        cells(sales, "o_custkey", "l_partkey", F.sum("l_quantity")),
+        cells(sales, "l_partkey", "o_custkey", F.count("*")),
+        items,
+    )
 
 
-def profiles(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    brands = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), "p_brand")
-    sales = sales_of(spark, sf_dir).join(brands, "l_partkey")
-    a = cells(sales, "l_suppkey", "p_brand", F.sum("l_quantity"))
-    b = cells(sales, "p_brand", "l_suppkey", F.count("*"))
-    return a, b, items(spark, sf_dir)
+def nations(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Nation × part, part × nation, and the nations outside region 0."""
+    sellers = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey")
+    sales = sales_of(spark, sf_dir).join(sellers, "l_suppkey")
+    items = table(spark, sf_dir, "nation").where("n_regionkey <> 0").select(F.col("n_nationkey").cast("string").alias("item"))
+    return (
+        cells(sales, "s_nationkey", "l_partkey", F.sum("l_quantity")),
+        cells(sales, "l_partkey", "s_nationkey", F.count("*")),
+        items,
+    )
 
 
 def shares(df: DataFrame) -> DataFrame:
@@ -58,33 +64,41 @@ def sold(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def filled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    a, b, ids = matrices(spark, sf_dir)
+    a, b, ids = nations(spark, sf_dir)
+    a, b = cut_lineage(a), cut_lineage(b)
     return fill_cells(cell_product(a, b, ids), a, b, ids)
 
 
 QUERIES = {
-    "matmul_sparse": lambda spark, sf: sparse_matmul(*matrices(spark, sf), dense=False),
-    "matmul_dense": lambda spark, sf: sparse_matmul(*matrices(spark, sf)),
+    "matmul_sparse": lambda spark, sf: sparse_matmul(*purchases(spark, sf), dense=False),
+    "matmul_dense": lambda spark, sf: sparse_matmul(*nations(spark, sf)),
     "cells_filled": filled,
-    "rows_normalized": lambda spark, sf: shares(normalize_rows(cut_lineage(sparse_matmul(*matrices(spark, sf))))),
-    "recommend": lambda spark, sf: shares(recommend(*profiles(spark, sf))),
+    "rows_normalized": lambda spark, sf: shares(normalize_rows(cut_lineage(sparse_matmul(*nations(spark, sf))))),
+    "recommend": lambda spark, sf: shares(recommend(*purchases(spark, sf), dense=False)),
     "cells_deduped": lambda spark, sf: dedupe_cells(sold(spark, sf)),
 }
 
 
-ITEMS = "items AS (SELECT s_suppkey::VARCHAR AS item FROM supplier WHERE s_acctbal >= 0)"
-MATRICES = f"""
-a AS (SELECT l_suppkey::VARCHAR AS row, l_partkey::VARCHAR AS col, sum(l_quantity)::DOUBLE AS val
-      FROM lineitem GROUP BY l_suppkey, l_partkey),
-b AS (SELECT l_partkey::VARCHAR AS row, l_suppkey::VARCHAR AS col, count(*)::DOUBLE AS val
-      FROM lineitem GROUP BY l_partkey, l_suppkey),
-{ITEMS}"""
-PROFILES = f"""
-sales AS (SELECT l_suppkey, p_brand, l_quantity FROM lineitem JOIN part ON l_partkey = p_partkey),
-a AS (SELECT l_suppkey::VARCHAR AS row, p_brand AS col, sum(l_quantity)::DOUBLE AS val
-      FROM sales GROUP BY l_suppkey, p_brand),
-b AS (SELECT p_brand AS row, l_suppkey::VARCHAR AS col, count(*)::DOUBLE AS val FROM sales GROUP BY p_brand, l_suppkey),
-{ITEMS}"""
+def matrices(sales: str, side: str, items: str) -> str:
+    return f"""
+sales AS ({sales}),
+a AS (SELECT {side}::VARCHAR AS row, l_partkey::VARCHAR AS col, sum(l_quantity)::DOUBLE AS val
+      FROM sales GROUP BY {side}, l_partkey),
+b AS (SELECT l_partkey::VARCHAR AS row, {side}::VARCHAR AS col, count(*)::DOUBLE AS val
+      FROM sales GROUP BY l_partkey, {side}),
+items AS ({items})"""
+
+
+PURCHASES = matrices(
+    "SELECT o_custkey, l_partkey, l_quantity FROM lineitem JOIN orders ON l_orderkey = o_orderkey",
+    "o_custkey",
+    "SELECT c_custkey::VARCHAR AS item FROM customer",
+)
+NATIONS = matrices(
+    "SELECT s_nationkey, l_partkey, l_quantity FROM lineitem JOIN supplier ON l_suppkey = s_suppkey",
+    "s_nationkey",
+    "SELECT n_nationkey::VARCHAR AS item FROM nation WHERE n_regionkey <> 0",
+)
 PRODUCT = """
 product AS (SELECT a.row AS row, b.col AS col, sum(a.val * b.val) AS val FROM a JOIN b ON a.col = b.row
             WHERE a.row IN (SELECT item FROM items) AND b.col IN (SELECT item FROM items) GROUP BY a.row, b.col)"""
@@ -93,16 +107,20 @@ cells AS (SELECT row, item AS col FROM (SELECT DISTINCT row FROM a), items
           UNION SELECT item, col FROM items, (SELECT DISTINCT col FROM b)),
 dense AS (SELECT c.row AS row, c.col AS col, coalesce(p.val, 0) AS val
           FROM cells c LEFT JOIN product p ON c.row = p.row AND c.col = p.col)"""
-SHARES = f"""{DENSE},
-sums AS (SELECT row, sum(val) AS total FROM dense GROUP BY row)
+
+
+def scaled(cells: str) -> str:
+    return f"""sums AS (SELECT row, sum(val) AS total FROM {cells} GROUP BY row)
 SELECT d.row AS row, d.col AS col, CASE WHEN total <> 0 THEN round(val / total, 6) END AS val
-FROM dense d JOIN sums s ON d.row = s.row"""
+FROM {cells} d JOIN sums s ON d.row = s.row"""
+
+
 SQL = {
-    "matmul_sparse": f"WITH {MATRICES}, {PRODUCT} SELECT row, col, val FROM product",
-    "matmul_dense": f"WITH {MATRICES}, {DENSE} SELECT row, col, val FROM dense",
-    "cells_filled": f"WITH {MATRICES}, {DENSE} SELECT row, col, val FROM dense",
-    "rows_normalized": f"WITH {MATRICES}, {SHARES}",
-    "recommend": f"WITH {PROFILES}, {SHARES}",
+    "matmul_sparse": f"WITH {PURCHASES}, {PRODUCT} SELECT row, col, val FROM product",
+    "matmul_dense": f"WITH {NATIONS}, {DENSE} SELECT row, col, val FROM dense",
+    "cells_filled": f"WITH {NATIONS}, {DENSE} SELECT row, col, val FROM dense",
+    "rows_normalized": f"WITH {NATIONS}, {DENSE}, {scaled('dense')}",
+    "recommend": f"WITH {PURCHASES}, {PRODUCT}, {scaled('product')}",
     "cells_deduped": """
 SELECT l_suppkey::VARCHAR AS row, l_partkey::VARCHAR AS col, max(l_quantity) AS val
 FROM lineitem GROUP BY l_suppkey, l_partkey""",

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from textgraph_checks.tables import QUERY_WORDS, RARE_WORDS, STOP, quoted, stop_words, texts
 from textgraph import doc_freq, l2_normalize, nan_to_null, relevance, search_documents, tf_idf
+from textgraph.operators.weights import document_count
 from textgraph.plans.search import document_terms
 from textgraph.scratch import cut_lineage
 from textgraph.sources import terms_of
@@ -38,14 +39,18 @@ def padded(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(found, "relevance")
 
 
+def weighed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tf_idf(terms(spark, sf_dir), document_count(docs(spark, sf_dir)))
+
+
 def normalized(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return l2_normalize(cut_lineage(tf_idf(terms(spark, sf_dir))))
+    return l2_normalize(cut_lineage(weighed(spark, sf_dir)))
 
 
 QUERIES = {
     "term_freq": terms,
     "doc_freq": lambda spark, sf: doc_freq(terms(spark, sf)),
-    "tf_idf": lambda spark, sf: rounded(tf_idf(terms(spark, sf)), "tf_idf"),
+    "tf_idf": lambda spark, sf: rounded(weighed(spark, sf), "tf_idf"),
     "tf_idf_fixed_n": lambda spark, sf: rounded(tf_idf(terms(spark, sf), n_docs=10), "tf_idf"),
     "l2_normalized": lambda spark, sf: rounded(normalized(spark, sf), "norm"),
     "relevance": lambda spark, sf: rounded(
@@ -79,15 +84,14 @@ ranked AS (SELECT row_number() OVER (ORDER BY round(relevance, 9) DESC, doc_id)
            FROM scores WHERE relevance > 0)"""
 
 
-HELD = "(SELECT count(DISTINCT doc_id) FROM tf)::DOUBLE"
 ALL = "(SELECT count(DISTINCT doc_id) FROM documents)::DOUBLE"
 SQL = {
     "term_freq": f"WITH {TF} SELECT doc_id, word, tf FROM tf",
     "doc_freq": f"WITH {TF} SELECT word, df FROM freq",
-    "tf_idf": f"WITH {weights(HELD)} SELECT doc_id, word, round(tf_idf, 6) AS tf_idf FROM weights",
+    "tf_idf": f"WITH {weights(ALL)} SELECT doc_id, word, round(tf_idf, 6) AS tf_idf FROM weights",
     "tf_idf_fixed_n": f"WITH {weights('10.0::DOUBLE')} SELECT doc_id, word, round(tf_idf, 6) AS tf_idf FROM weights",
-    "l2_normalized": f"WITH {scores(HELD, QUERY_WORDS)} SELECT doc_id, word, round(norm, 6) AS norm FROM norms",
-    "relevance": f"WITH {scores(HELD, QUERY_WORDS)} SELECT doc_id, round(relevance, 6) AS relevance FROM scores",
+    "l2_normalized": f"WITH {scores(ALL, QUERY_WORDS)} SELECT doc_id, word, round(norm, 6) AS norm FROM norms",
+    "relevance": f"WITH {scores(ALL, QUERY_WORDS)} SELECT doc_id, round(relevance, 6) AS relevance FROM scores",
     "search_top3": f"""WITH {scores(ALL, QUERY_WORDS)}
 SELECT rank, doc_id, round(relevance, 6) AS relevance FROM ranked WHERE rank <= 3""",
     "search_padded": f"""WITH {scores(ALL, RARE_WORDS)}

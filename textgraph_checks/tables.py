@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textgraph.sources import terms_of, use_all_cores
+from textgraph.sources import terms_of
 
 # Frequent words of the four languages of the test documents.
 STOP_WORDS = [
@@ -21,8 +21,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """The test tables have one row group each, which leaves their work to one core unless rows are dealt out."""
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+
+
 def texts(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
-    return use_all_cores(table(spark, sf_dir, name).select(*cols, "text"))
+    return spread(table(spark, sf_dir, name).select(*cols, "text"))
 
 
 def stop_words(spark: SparkSession) -> DataFrame:
