@@ -35,6 +35,20 @@ def test_each_stage_takes_effect(spark, tmp_path):
     assert {k: mixed[k].text for k in mixed} == {k: secret[k].text for k in secret}
 
 
+def test_null_and_repeated_ids_keep_unlike_texts(spark):
+    texts = {name: " ".join(f"{name}{i}" for i in range(60)) for name in "abcdef"}
+    rows = [
+        (None, texts["a"]), (None, texts["a"]), (None, texts["b"]), (None, texts["c"] + " end"), (1, texts["c"]),
+        (2, texts["d"]), (2, texts["e"]), (2, texts["e"]), (3, texts["d"] + " end"), (4, texts["f"]),
+        (None, None), (None, ""), (None, ""), (5, " "),
+    ]
+    docs = spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id bigint, text string, source string")
+    got = corpus_pipeline.one_of_each(spark, docs, "")
+    assert got.columns == docs.columns
+    want = [(None, texts["a"]), (None, texts["b"]), (1, texts["c"]), (2, texts["d"]), (2, texts["e"]), (4, texts["f"]), (None, None), (None, ""), (5, " ")]
+    assert sorted(((r.doc_id, r.text) for r in got.collect()), key=str) == sorted(want, key=str)
+
+
 def test_run_gives_the_last_stage(spark):
     rows = corpus_pipeline.run(spark, SF)
     assert rows.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]

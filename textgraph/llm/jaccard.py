@@ -334,7 +334,7 @@ def verify(pairs: DataFrame, classes: DataFrame, docs: DataFrame, n: int, num: i
 
 
 def similar(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """``(members, links, labels)``: ``(doc_id, n_shingles, class)`` of each document; the links ``(a, b,
+    """``(members, links, labels)``: ``(doc_id, th, n_shingles, class)`` of each document; the links ``(a, b,
     shared, of)`` between classes that were counted out; and ``(node, label)``, the components of linked classes.
 
     Two texts link when ``den`` times the size of their intersection reaches ``num`` times that
@@ -358,7 +358,7 @@ def similar(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) -> tuple
         more = verify(across(crowds, labels, classes, num, den), classes, docs, n, num, den)
         links = links.unionByName(more).distinct()
         labels = components(labels.select(F.col("node").alias("a"), F.col("label").alias("b")).unionByName(more.select("a", "b")))
-    return members.select("doc_id", "n_shingles", "class"), links, labels
+    return members.select("doc_id", "th", "n_shingles", "class"), links, labels
 
 
 def near_duplicates(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) -> DataFrame:
@@ -379,12 +379,32 @@ def op1_jaccard(spark, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), 3, 90, 100)
 
 
+def representatives(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) -> DataFrame:
+    """``(doc_id, th, alone)``: of each component the least id, null ids last, and of equal ids the least
+    hash of a text; and each document without words, which is ``alone``."""
+    members, _, labels = similar(docs, n, num, den)
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "th")).alias("least")
+    classes = members.where("n_shingles > 0").groupBy("class").agg(least)
+    named = classes.join(labels.withColumnRenamed("node", "class"), "class", "left").select("least", F.coalesce("label", "class").alias("label"))
+    first = named.groupBy("label").agg(F.min("least").alias("least")).select("least.doc_id", "least.th", F.lit(False).alias("alone"))
+    wordless = members.where("n_shingles = 0").select("doc_id", "th", F.lit(True).alias("alone")).distinct()
+    return first.unionByName(wordless)
+
+
 def one_of_each(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of five-word shingle sets alike by 0.8 or more, the document of least id."""
-    near = near_duplicates(docs.select("doc_id", "text"), 5, 80, 100).select(F.col("doc_id").alias("_id"), "component_id")
-    first = near.where(F.col("_id").eqNullSafe(F.col("component_id"))).select("_id").distinct()
-    kept = docs.join(first, F.col("doc_id").eqNullSafe(F.col("_id"))).drop("_id")
-    return kept.dropDuplicates(["doc_id"]).select(*docs.columns)
+    """Of each component of five-word shingle sets alike by 0.8 or more, one document, of least id.
+
+    Rows are told apart by id and text, so a null or repeated id joins no unlike texts. Of
+    documents without words only rows alike in all columns go.
+    """
+    kept = representatives(docs.select("doc_id", "text"))
+    kept = kept.select(F.col("doc_id").alias("_id"), F.col("th").alias("_kept"), "alone")
+    rows = docs.withColumn("_th", F.xxhash64(F.coalesce("text", F.lit(""))))
+    rows = rows.join(kept, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_th") == F.col("_kept")))
+    # A hash skips nulls, so it also takes which columns are null.
+    whole = F.xxhash64(*docs.columns, *(F.col(c).isNull() for c in docs.columns))
+    rows = rows.withColumn("_row", F.when(F.col("alone"), whole).otherwise(0))
+    return rows.dropDuplicates(["doc_id", "_th", "_row"]).select(*docs.columns)
 
 
 SQL = r"""
