@@ -222,6 +222,19 @@ def test_secret_spans(spark, docs):
     assert [k for _, k, _ in spans[0]] == [3] and 3 not in [k for _, k, _ in spans[1]]
 
 
+def test_secrets_in_assignments_and_around_base_spans():
+    value = "wJalrXUtnFEMI/K7MDENGbPxRfiCYzQ8vT3xLw0P"
+    mixed = "Zq8vT3xLw0PbN6rYkD2mHs" + "0123456789abcdef" + "GcWq7TzXp4LuVn9RjKeY2M"
+    texts = [f"{name}={value}" for name in ("AWS_SECRET_ACCESS_KEY", "PRIVATE_KEY", "auth", "--set=auth.key")]
+    texts += [f"private_key={value[:24]}={value[24:]}==", f"auth {mixed}", f"plain={value}"]
+    spans = secrets.scan(pa.array(texts), texts)
+    for text, found in zip(texts[:4], spans, strict=False):
+        assert (text.index(value), 3, len(text)) in found
+    assert (12, 3, len(texts[4])) in spans[4]
+    assert {(5, 3, len(texts[5])), (27, 2, 43)} <= {*spans[5]}
+    assert spans[6] == []
+
+
 def test_maximal_segments_are_those_of_brute_force():
     rng = np.random.default_rng(2)
     for _ in range(50):

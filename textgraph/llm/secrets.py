@@ -3,8 +3,10 @@
 The base kinds are leftmost non-overlapping matches of a pattern each: ``assign``
 (a keyword, a sign and a value of 12 or more), ``access`` (an access key of 18 or
 more) and ``hex`` (16 or more). The method adds ``novel``: a candidate of
-``LEAST_CANDIDATE`` or more characters, outside all base spans, with a sensitive
-word in the ``REACH`` code points before it. A zstandard compressor primed with a
+``LEAST_CANDIDATE`` or more characters with a sensitive word in the ``REACH`` code
+points before it. In ``NAME=value`` the value is a candidate too, and the name stands
+before it. What base spans cover in part is measured whole, and its span overlaps
+theirs; what they cover wholly is not measured. A zstandard compressor primed with a
 dictionary of common identifiers compresses the text around it without and with
 the candidate; what it adds, in bytes for each character, is its novelty, and one
 of ``NOVELTY`` or more is reported. Words, paths and names that the text or the
@@ -83,6 +85,33 @@ def novelty(text: str, start: int, end: int, compressor: zstandard.ZstdCompresso
     return added / (end - start)
 
 
+def value_starts(part: str, sensitive: re.Pattern) -> list[int]:
+    """Where a value can begin in a candidate: at its own start, behind its first and last
+    sign, and behind the first sign after each sensitive word; padding at the end is no sign."""
+    body = part.rstrip("=")
+    if "=" not in body:
+        return [0]
+    signs = {body.find("="), body.rfind("=")}
+    signs.update(body.find("=", m.end()) for m in sensitive.finditer(body))
+    return sorted({0, *(len(body) - len(body[i:].lstrip("=")) for i in signs if i >= 0)})
+
+
+def novel_span(text: str, start: int, end: int, base: list[tuple[int, int, int]], sensitive: re.Pattern, compressor: zstandard.ZstdCompressor) -> tuple[int, int] | None:
+    """The longest novel value of a candidate that base spans do not cover."""
+    near = sorted((a, b) for a, _, b in base if a < end and start < b)
+    for at in value_starts(text[start:end], sensitive):
+        at += start
+        if end - at < LEAST_CANDIDATE:
+            break
+        covered = at
+        for a, b in near:
+            if a <= covered:
+                covered = max(covered, b)
+        if covered < end and sensitive.search(text, max(0, at - REACH), at) and novelty(text, at, end, compressor) >= NOVELTY:
+            return at, end
+    return None
+
+
 def scan(texts: pa.Array, values: list[str]) -> list[list[tuple[int, int, int]]]:
     """All spans ``(start, kind, end)`` of each text, by start and kind."""
     assign, access = re.compile(ASSIGN, re.A | re.I), re.compile(ACCESS)
@@ -94,10 +123,9 @@ def scan(texts: pa.Array, values: list[str]) -> list[list[tuple[int, int, int]]]
         found += base_matches(text, assign, access)
         base = sorted(found)
         for m in candidate.finditer(text):
-            if any(a < m.end() and m.start() < b for a, _, b in base):
-                continue
-            if sensitive.search(text, max(0, m.start() - REACH), m.start()) and novelty(text, *m.span(), compressor) >= NOVELTY:
-                found.append((m.start(), 3, m.end()))
+            span = novel_span(text, *m.span(), base, sensitive, compressor)
+            if span is not None:
+                found.append((span[0], 3, span[1]))
         out.append(sorted(found))
     return out
 
