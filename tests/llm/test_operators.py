@@ -208,6 +208,24 @@ def test_mixing_keeps_to_the_weights(spark, docs):
     assert mixing.mix(docs, given).where("slot IS NULL").count() == docs.where("source IS NULL").count()
 
 
+def test_mixing_keeps_to_given_weights_over_many_periods(spark):
+    rng = np.random.default_rng(5)
+    for n in (5, 1500):
+        given = dict(zip((f"=s{i}" for i in range(n)), [300.0, 0.0001, *rng.integers(1, 9, n - 2).astype(float).tolist()], strict=True))
+        total = sum(given.values())
+        # No source runs dry in twelve periods.
+        sizes = {k: int(w / total * 12_288) + 3 for k, w in given.items()}
+        docs = spark.createDataFrame([(k[1:], i) for k, size in sizes.items() for i in range(size)], "source string, doc_id bigint")
+        weights = spark.createDataFrame(list(given.items()), "source_key string, weight double")
+        rows = mixing.mix(docs, weights, block=1).toPandas()
+        assert len(rows) == sum(sizes.values()) == rows["slot"].nunique()
+        assert sorted(rows["slot"])[:12_288] == list(range(12_288))
+        for source, part in rows.groupby("source"):
+            share, slots = given["=" + source] / total, np.sort(part["slot"].to_numpy())
+            done = np.arange(len(slots))
+            assert np.abs(done + 1 - share * (slots + 1)).max() < 2 and np.abs(done - share * slots).max() < 2
+
+
 def test_secret_spans(spark, docs):
     got = {str(r.doc_id): r for r in secrets.find_secrets(docs).collect()}
     text = TEXTS[11]

@@ -1,16 +1,20 @@
-"""Mixing sources to target weights by Pfair scheduling.
+"""Mixing sources to target weights by Pfair windows and a tree of exact shares.
 
 The documents of a source are cut into blocks of ``BLOCK`` documents, in a fixed
-random order. With a weight of ``quota`` slots in a period, block j of a source
-(from 1) is released at slot ``floor((j - 1) * period / quota)`` and due by slot
-``ceil(j * period / quota)``. Earliest deadline first fills every slot of a period
-and meets every deadline, so at any slot each source is less than one block from
-its weight. The schedule repeats with the period, so it is made once, for one
-period, and the slot of any block follows by arithmetic.
+random order. Block j (from 1) of a source with share w of all weights is released
+at slot ``floor((j - 1) / w)`` and due by slot ``ceil(j / w)``. Sources are the leaves
+of a Huffman tree. Of the first N slots of a node, one child has ``N * w``, rounded,
+and the other the rest, w being its share of the node. So the slot of any block
+follows by arithmetic on its path, in integers, and no slot is given twice.
+
+A rounding moves a node by half a block at most, and its child by its share of that.
+In a Huffman tree two shares in a row multiply to a half at most, so at any slot each
+source is less than two blocks from its weight, for ever and however many sources
+there are; and less than one block, inside all windows, with three sources or fewer.
 
 When a source runs dry its slots stay empty and the rest goes on in proportion.
-No document is left out. Sources are few: one row of the schedule's fold holds
-their quotas, and a period has about ``PERIOD`` slots, one for each source at least.
+No document is left out. Sources are few: the driver holds one row for each, and
+its weight as an integer of ``SCALE`` parts of the whole, one at least.
 
 Defined results: a null source is a source of its own; documents alike in all
 columns, and null ids, keep their number; an empty table gives an empty result.
@@ -19,6 +23,9 @@ Only DataFrame functions are used.
 
 from __future__ import annotations
 
+import heapq
+import json
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -27,6 +34,7 @@ from textgraph.llm.tables import table
 
 BLOCK = 16
 PERIOD = 1024
+SCALE = 1 << 48
 PIECES = 256
 ROWS_PER_PIECE = 50_000
 FLATTEN = 0.5
@@ -43,46 +51,42 @@ def flattened_weights(docs: DataFrame, power: float = FLATTEN) -> DataFrame:
 
 
 def quotas(weights: DataFrame, period: int = PERIOD) -> DataFrame:
-    """``(source_key, quota)``: slots of a source in a period, one at least."""
+    """``(source_key, quota)``: slots of a source in a period, not rounded."""
+    given = weights.where("weight > 0")
     total = F.sum("weight").over(Window.partitionBy())
-    quota = F.greatest(F.lit(1), F.round(F.col("weight") / total * period)).cast("int")
-    return weights.where("weight > 0").select("source_key", quota.alias("quota"))
+    return given.select("source_key", (F.col("weight") / total * period).alias("quota"))
+
+
+def paths(shares: dict[str, int]) -> dict[str, list[tuple[int, int, int]]]:
+    """By source ``(own, whole, first)`` of each node from its leaf up to below the root of a Huffman
+    tree: the weights of the node and its parent, and 1 for the child whose share is rounded."""
+    heap = [(weight, key, [key]) for key, weight in shares.items()]
+    heapq.heapify(heap)
+    out: dict[str, list[tuple[int, int, int]]] = {key: [] for key in shares}
+    while len(heap) > 1:
+        light, heavy = heapq.heappop(heap), heapq.heappop(heap)
+        whole = light[0] + heavy[0]
+        for (own, _, keys), first in ((light, 0), (heavy, 1)):
+            for key in keys:
+                out[key].append((own, whole, first))
+        few, many = sorted((light[2], heavy[2]), key=len)
+        many += few
+        heapq.heappush(heap, (whole, min(light[1], heavy[1]), many))
+    return out
 
 
 def schedule(quota: DataFrame) -> DataFrame:
-    """``(source_key, quota, period, nth, slot)``: the slots of one period, by earliest deadline first."""
-    one = quota.groupBy().agg(F.array_sort(F.collect_list(F.struct("source_key", "quota"))).alias("of"))
-    one = one.withColumn("period", F.aggregate("of", F.lit(0).cast("bigint"), lambda n, x: n + x["quota"]))
-
-    def due(state: Column, t: Column) -> Column:
-        """``(deadline, source)`` of the released block that is due first."""
-
-        def candidate(x: Column, i: Column) -> Column:
-            n, q, period = F.get(state["taken"], i), x["quota"], F.col("period")
-            open_ = (n < q) & (F.floor(n * period / q) <= t)
-            return F.when(open_, F.struct(F.ceil((n + 1) * period / q).alias("deadline"), i.alias("i")))
-
-        return F.array_min(F.transform("of", candidate))["i"]
-
-    def step(state: Column, t: Column) -> Column:
-        # A one-element array binds the choice to a name.
-        return F.get(
-            F.transform(
-                F.array(due(state, t)),
-                lambda pick: F.struct(
-                    F.transform(state["taken"], lambda n, i: n + F.when(i == pick, 1).otherwise(0)).alias("taken"),
-                    F.concat(state["order"], F.array(pick)).alias("order"),
-                ),
-            ),
-            F.lit(0),
-        )
-
-    start = F.struct(F.transform("of", lambda x: F.lit(0)).alias("taken"), F.array().cast("array<int>").alias("order"))
-    order = F.aggregate(F.sequence(F.lit(0).cast("bigint"), F.col("period") - 1), start, step, lambda s: s["order"])
-    slots = one.where("period > 0").select("of", "period", F.posexplode(order).alias("slot", "i"))
-    slots = slots.select(F.get("of", F.col("i")).alias("s"), "period", F.col("slot").cast("bigint").alias("slot"))
-    nth = F.row_number().over(Window.partitionBy("s.source_key").orderBy("slot")) - 1
-    return slots.select("s.source_key", "s.quota", "period", nth.cast("bigint").alias("nth"), "slot")
+    """``(source_key, own, whole, path)``: integer weights of each source and of all, and its path in the tree."""
+    given = {r["source_key"]: r["quota"] for r in quota.collect()}
+    total = sum(given.values())
+    shares = {key: max(1, round(q / total * SCALE)) for key, q in given.items()}
+    whole = sum(shares.values())
+    rows = [
+        {"source_key": key, "own": shares[key], "whole": whole, "path": [{"own": a, "whole": b, "first": c} for a, b, c in path]}
+        for key, path in paths(shares).items()
+    ]
+    schema = "array<struct<source_key:string,own:bigint,whole:bigint,path:array<struct<own:bigint,whole:bigint,first:int>>>>"
+    return quota.sparkSession.range(1).select(F.inline(F.from_json(F.lit(json.dumps(rows)), schema)))
 
 
 def numbered(docs: DataFrame, pieces: int) -> DataFrame:
@@ -116,19 +120,17 @@ def mix(docs: DataFrame, weights: DataFrame | None = None, block: int = BLOCK, p
     most = docs.groupBy("source").count().agg(F.max("count")).first()[0] or 0
     pieces = max(PIECES, -(-most // ROWS_PER_PIECE))
     plan = schedule(quotas(flattened_weights(docs) if weights is None else weights, period))
-    # As many rows as a period has slots.
-    slots = F.broadcast(plan.withColumnRenamed("source_key", "_key"))
-    quota = F.broadcast(plan.select(F.col("source_key").alias("_of"), F.col("quota").alias("_quota")).distinct())
+    plan = F.broadcast(plan.withColumnRenamed("source_key", "_key"))
     rows = numbered(docs, pieces).withColumn("block", F.floor(F.col("number") / block) + 1)
-    rows = rows.join(quota, F.col("source_key") == F.col("_of"), "left")
-    here = (F.col("source_key") == F.col("_key")) & (F.pmod(F.col("block") - 1, F.col("_quota")) == F.col("nth"))
-    j, q, p = F.col("block"), F.col("quota"), F.col("period")
-    return rows.join(slots, here, "left").select(
+    # Whole numbers of up to 38 digits. The jth slot of a node is the least N of its parent that gives it j.
+    step = "((2 * cast(n AS decimal(20, 0)) - 1) * x.whole - x.first) div (2 * cast(x.own AS decimal(20, 0))) + 1"
+    j, own = "cast(block AS decimal(20, 0))", "cast(own AS decimal(20, 0))"
+    return rows.join(plan, F.col("source_key") == F.col("_key"), "left").select(
         *docs.columns,
         "block",
-        F.floor((j - 1) * p / q).alias("release"),
-        F.ceil(j * p / q).alias("deadline"),
-        (F.floor((j - 1) / q) * p + F.col("slot")).alias("slot"),
+        F.expr(f"(({j} - 1) * whole) div {own}").alias("release"),
+        F.expr(f"({j} * whole + own - 1) div {own}").alias("deadline"),
+        F.expr(f"aggregate(path, block, (n, x) -> {step}) - 1").alias("slot"),
         F.pmod(F.col("number"), F.lit(block)).alias("place"),
     )
 
