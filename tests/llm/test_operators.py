@@ -272,6 +272,21 @@ def test_maximal_segments_are_those_of_brute_force():
         assert [t for *_, t in got] == pytest.approx([t for *_, t in best(0, 25)])
 
 
+def test_a_toxic_score_does_not_depend_on_its_block(spark):
+    keys, odds = (toxicity.token_hashes(pa.array(["vile"]))[0][0], *(np.zeros(0, np.uint64),) * 2), (np.array([9.0]), *(np.zeros(0),) * 2)
+    texts = ["vile", "vile", "", "vile vile", "vile it is vile", "vile it is vile"]
+    levels, first, *_ = toxicity.token_hashes(pa.array(texts))
+    score = toxicity.token_scores(levels, first, keys, odds)
+    assert score[:4].tolist() == [9.0, 9.0, 9.0, -toxicity.DRIFT]
+    for i, text in enumerate(texts):
+        alone, at, *_ = toxicity.token_hashes(pa.array([text]))
+        assert score[first[i] : first[i + 1]].tolist() == toxicity.token_scores(alone, at, keys, odds).tolist()
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").coalesce(1)
+    model = toxicity.ToxicModel(keys, odds, 1.0, 1.0, 0.0)
+    got = {r.doc_id: r.evidence for r in toxicity.score_rows(rows, model, "doc_id").collect()}
+    assert got[0] == got[1] > 0 and got[4] == got[5] > got[3] > 0
+
+
 SF = "/root/testdata/sf0.01"
 
 

@@ -6,6 +6,8 @@ is centred on the odds of its first ``PREFIXES`` bytes, so an inflection that
 training has not seen scores as its stem. In toxic texts a token counts once for
 each token before it, so copies of one text count once.
 
+Odds below ``LEAST_ODDS``, and negative ones, count as unknown.
+
 A linear scan (Ruzzo and Tompa) finds every maximal segment of a text. Its score
 S is held against the extreme-value law of chance segments of clean texts, by
 which ``lambda * S - ln(K n)`` is how far it stands out; a text's evidence is the
@@ -123,7 +125,8 @@ def chance_rate(clean: DataFrame, keys: tuple[np.ndarray, ...], odds: tuple[np.n
     ``mean(exp(lambda * s)) = 1`` over the scores s of the tokens of clean texts."""
 
     def count(block: pa.RecordBatch) -> pa.RecordBatch:
-        score, n = np.unique(np.round(token_scores(token_hashes(block.column("text"))[0], keys, odds), 2), return_counts=True)
+        levels, first, *_ = token_hashes(block.column("text"))
+        score, n = np.unique(np.round(token_scores(levels, first, keys, odds), 2), return_counts=True)
         return pa.record_batch([pa.array(score), pa.array(n, pa.int64())], ["score", "n"])
 
     # Scores lie in a range of some 20 and are rounded to 0.01.
@@ -147,15 +150,18 @@ def logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return float(w[0]), float(w[1])
 
 
-def token_scores(levels: list[np.ndarray], all_keys: tuple[np.ndarray, ...], all_odds: tuple[np.ndarray, ...]) -> np.ndarray:
+def token_scores(levels: list[np.ndarray], first: np.ndarray, all_keys: tuple[np.ndarray, ...], all_odds: tuple[np.ndarray, ...]) -> np.ndarray:
     """The log-odds of each token by its longest known form; -DRIFT where
-    none stands out, and for a token that repeats the one before it."""
+    none reaches ``LEAST_ODDS``, and for a token that repeats the one before it in its text."""
     score = np.full(len(levels[0]), -DRIFT)
     for keys, odds, got in reversed(list(zip(all_keys, all_odds, levels, strict=True))):
         if len(keys):
             at = np.minimum(np.searchsorted(keys, got), len(keys) - 1)
             score = np.where(keys[at] == got, odds[at], score)
-    score[1:][levels[0][1:] == levels[0][:-1]] = -DRIFT
+    again = np.zeros(len(score), bool)
+    again[1:] = levels[0][1:] == levels[0][:-1]
+    again[first[:-1][np.diff(first) > 0]] = False
+    score[again] = -DRIFT
     return np.where(score >= LEAST_ODDS, score, -DRIFT)
 
 
@@ -190,7 +196,7 @@ def score_rows(docs: DataFrame, model: ToxicModel, *keep: str) -> DataFrame:
     def work(block: pa.RecordBatch) -> pa.RecordBatch:
         text = block.column("text")
         levels, first, start, end, starts = token_hashes(text)
-        score = token_scores(levels, model.keys, model.odds)
+        score = token_scores(levels, first, model.keys, model.odds)
         hits = np.flatnonzero(score > 0)
         evidence = np.zeros(block.num_rows)
         passages: list[list[dict]] = [[] for _ in range(block.num_rows)]
