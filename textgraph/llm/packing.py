@@ -33,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from textgraph.llm.hashing import blocks
-from textgraph.llm.tables import BLOCK_BYTES, table
+from textgraph.llm.tables import table
 
 WINDOW = 2048
 END = 1
@@ -42,8 +42,12 @@ ANYWHERE = 32
 # Without a cut among so many tokens, there is one after each of so many.
 BARE, EVERY = 64, 32
 HORIZON = 8 * WINDOW
+BLOCK_BYTES = 6 << 20
 REMEMBERED = 800_000
 TASK_BITS = 36
+# Small letters, of which any number together are one word to the tokenizer.
+LETTER = "[a-zà-öø-ÿ]"
+CLOSING = r"[.!?…。！？][)\]\"'»”’]*\n?$|\n$"
 
 
 class Runs:
@@ -53,30 +57,48 @@ class Runs:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends_word[[i for piece, i in vocabulary.items() if piece.endswith("</w>")]] = True
         self.forget()
 
     def forget(self) -> None:
-        self.place: dict[str, int] = {}
+        self.known = pa.array([], pa.large_string())
         self.ids = np.zeros(0, np.uint32)
         self.first = np.zeros(1, np.int64)
         self.closes = np.zeros(0, bool)
 
+    def encode(self, runs: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of ``runs`` end to end, and how many each has."""
+        each = [e.ids for e in self.tokenizer.encode_batch_fast(runs, add_special_tokens=False)]
+        sizes = np.fromiter(map(len, each), np.int64, len(each))
+        return np.fromiter((i for x in each for i in x), np.uint32, int(sizes.sum())), sizes
+
+    def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """As ``encode``, for words of letters: many go in one text, as a token that ends a word tells them apart."""
+        ids, _ = self.encode([" ".join(words[i : i + 256]) for i in range(0, len(words), 256)])
+        ends = np.flatnonzero(self.ends_word[ids]) + 1
+        return ids, np.diff(ends, prepend=0)
+
+    def add(self, runs: pa.Array) -> None:
+        words = pc.match_substring_regex(runs, f"^{LETTER}+$")
+        for kind, encode in ((words, self.encode_words), (pc.invert(words), self.encode)):
+            given = runs.filter(kind)
+            ids, sizes = encode(given.to_pylist())
+            self.known = pa.concat_arrays([self.known, given])
+            self.ids = np.concatenate([self.ids, ids])
+            self.first = np.concatenate([self.first, self.first[-1] + np.cumsum(sizes)])
+            closing = pc.match_substring_regex(given, CLOSING)
+            self.closes = np.concatenate([self.closes, closing.to_numpy(zero_copy_only=False)])
+
     def places(self, runs: pa.Array) -> np.ndarray:
         """Where each of the distinct ``runs`` is kept."""
-        if len(self.place) + len(runs) > REMEMBERED:
+        if len(self.known) + len(runs) > REMEMBERED:
             self.forget()
-        words = runs.to_pylist()
-        new = [w for w in words if w not in self.place]
-        if new:
-            ids = [e.ids for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
-            sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-            self.ids = np.concatenate([self.ids, np.fromiter((i for x in ids for i in x), np.uint32, int(sizes.sum()))])
-            self.first = np.concatenate([self.first, self.first[-1] + np.cumsum(sizes)])
-            closing = pc.match_substring_regex(pa.array(new, pa.large_string()), r"[.!?…。！？][)\]\"'»”’]*\n?$|\n$")
-            self.closes = np.concatenate([self.closes, closing.to_numpy(zero_copy_only=False)])
-            for word in new:
-                self.place[word] = len(self.place)
-        return np.fromiter((self.place[w] for w in words), np.int64, len(words))
+        new = runs.filter(pc.is_null(pc.index_in(runs, value_set=self.known)))
+        if len(new):
+            self.add(new)
+        return pc.index_in(runs, value_set=self.known).to_numpy()
 
 
 @cache
@@ -93,9 +115,13 @@ def take_ranges(values: np.ndarray, first: np.ndarray, sizes: np.ndarray) -> np.
 def encoded(texts: pa.Array, runs: Runs, end: int = END) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """``(ids, sizes, sentences)``: the tokens of all texts, each with its end id, how many each
     text has, and the places in ``ids`` after a sentence."""
+    lines = pc.fill_null(texts.cast(pa.large_string()), "")
+    if not pc.any(pc.match_substring(lines, "<|")).as_py():
+        # The tokenizer lowers letters itself, but for its special tokens, and always cuts between a letter and a stop.
+        # Lowered last, on a fresh array: the kernel reads a slice's offsets as if they started at 0.
+        lines = pc.ascii_lower(pc.replace_substring_regex(lines, f"([A-Z]|{LETTER})([.,;:!?])", r"\1 \2"))
     # A line end stays with the run before it, where it closes a sentence.
-    lines = pc.replace_substring(pc.fill_null(texts.cast(pa.large_string()), ""), "\n", "\n ")
-    split = pc.split_pattern(lines, " ")
+    split = pc.split_pattern(pc.replace_substring(lines, "\n", "\n "), " ")
     coded = split.flatten().dictionary_encode()
     at = runs.places(coded.dictionary)[coded.indices.to_numpy()]
     many = np.diff(split.offsets.to_numpy())

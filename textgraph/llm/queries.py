@@ -8,19 +8,21 @@ from textgraph.llm.fingerprints import op4_fingerprints
 from textgraph.llm.lm import op5_lm
 from textgraph.llm.merkle import op13_merkle
 from textgraph.llm.mixing import op8_mixing
-from textgraph.llm import jaccard, merkle, search
+from textgraph.llm import jaccard, merkle, phrases, search
 from textgraph.llm.jaccard import op1_jaccard
 from textgraph.llm.packing import op12_packing
+from textgraph.llm.phrases import op11_phrases
 from textgraph.llm.search import op3_top_k
 from textgraph.llm.quality import op6_quality
 from textgraph.llm.secrets import op10_secrets
 from textgraph.llm.toxicity import op9_toxicity
 
-QUERIES = {q.__name__: q for q in (op1_jaccard, op2_bpe, op3_top_k, op4_fingerprints, op5_lm, op6_quality, op7_chat, op8_mixing, op9_toxicity, op10_secrets, op12_packing, op13_merkle)}
+QUERIES = {q.__name__: q for q in (op1_jaccard, op2_bpe, op3_top_k, op4_fingerprints, op5_lm, op6_quality, op7_chat, op8_mixing, op9_toxicity, op10_secrets, op11_phrases, op12_packing, op13_merkle)}
 
 SQL = {
     "op1_jaccard": jaccard.SQL,
     "op3_top_k": search.SQL,
+    "op11_phrases": phrases.SQL,
     "op13_merkle": merkle.SQL,
     "op7_chat": r"""
         WITH given AS (
