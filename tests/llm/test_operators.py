@@ -106,6 +106,18 @@ def test_bpe_is_that_of_the_library(spark, docs):
     got = bpe.encode_decode(docs, ranks, public.PATTERN).collect()
     want = sorted((str(r.doc_id), library.encode_ordinary(r.text or ""), (r.text or "").encode()) for r in docs.collect())
     assert sorted((str(r.doc_id), r.tokens, bytes(r.decoded)) for r in got) == want
+    # Words that blocks share, long random pieces, and other columns.
+    rng = np.random.default_rng(5)
+    long = ["".join(rng.choice(list("abcde éß"), int(n))).replace(" ", "") for n in rng.integers(60, 200, 30)]
+    texts = [f"Shared words, of Éire and über all {long[i % 30]} word{i % 7} x" for i in range(60)]
+    more = spark.createDataFrame([(i, t, 1) for i, t in enumerate(texts)], "doc_id int, text string, word int").repartition(4)
+    assert bpe.common_words(more, 5, 500).count() <= 5 and 0 < bpe.common_words(more, 40, 500).count() <= 40
+    for most in (0, 5, 1000):
+        coded = {r.doc_id: r for r in bpe.encode_decode(more, ranks, public.PATTERN, most, 500).collect()}
+        assert all(coded[i].tokens == library.encode_ordinary(t) and bytes(coded[i].decoded) == t.encode() for i, t in enumerate(texts))
+    assert bpe.encode_decode(docs.limit(0), ranks, public.PATTERN).count() == 0
+    with pytest.raises(ValueError):
+        bpe.Codec(ranks | {b"wide": 70_000})
 
 
 def test_top_k_with_ties_and_odd_vectors(spark):

@@ -1,8 +1,9 @@
 """Byte-level BPE: encoding by ranked merges, and decoding.
 
-A text is split by the tokenizer's pattern, and each piece is encoded by itself.
-Blocks of texts become one row each: the distinct pieces ("words"), and the pieces
-of each text as numbers of words. Spark's higher-order functions encode the words:
+A text is split by the tokenizer's pattern, and each piece is encoded by itself. The words
+that the most blocks of the table share, ``SHARED`` at most, are encoded once for all
+blocks and broadcast. Blocks of texts become one row each: their other distinct pieces ("words"),
+and the pieces of each text as numbers of words. Spark's higher-order functions encode the words:
 a fold over its bytes that merges, round by round, the adjacent pair of least rank,
 looked up in a literal map of ranks. Decoding joins the bytes of the tokens' pieces,
 from a literal array. Last, a block's rows are laid out again as one row per text.
@@ -12,7 +13,11 @@ lookup in a map column is a scan. Pieces stand as Latin-1 characters, one for ea
 byte, since JSON carries the literals. A word of more than ``LONG`` bytes merges all pairs of the least rank in one
 round, leftmost first, so it takes as many rounds as there are distinct merges.
 
-Null and empty texts have no tokens. No special tokens are made.
+The shared words only save work: a word of a block that is not among them is encoded there by
+the same columns, so results do not depend on which are shared.
+
+Defined results: null and empty texts have no tokens; no special tokens are made; null, tied and
+repeated ids are carried along; other columns take no part; an empty table has no rows.
 """
 
 from __future__ import annotations
@@ -20,15 +25,18 @@ from __future__ import annotations
 import base64
 import json
 from collections.abc import Iterator
+from dataclasses import dataclass
 from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from textgraph.llm.hashing import as_bytes, blocks
-from textgraph.llm.tables import table
+from textgraph.llm.tables import map_blocks, table
+from textgraph.scratch import cut_lineage
 
 # Odd numbers, each about as large as half the table of pairs.
 MODULI = (129_949, 134_857)
@@ -37,6 +45,10 @@ LONG = 64
 # An entry of a short word: the bits of its id, of its place, and the rank of a pair that has none.
 ID, PLACE, NONE = 0x1FFFF, 0x3F << 17, 0x1FFFF << 23
 BLOCK_BYTES = 3 << 20
+# At some 40 bytes a word with its ids, at most 20 MB.
+SHARED = 500_000
+SHARED_BYTES = 40
+WORDS_PER_ROW = 5000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -78,6 +90,8 @@ class Codec:
     """Columns that encode and decode words by one table of ranks; ids are ranks, below 65536."""
 
     def __init__(self, ranks: dict[bytes, int]):
+        if max(ranks.values()) >= 1 << 16 or any(bytes([i]) not in ranks for i in range(256)):
+            raise ValueError("ids must be below 65536 and every byte must have one")
         by_id = [""] * (max(ranks.values()) + 1)
         for piece, rank in ranks.items():
             by_id[rank] = piece.decode("latin-1")
@@ -189,24 +203,100 @@ class Codec:
 BLOCK = "ids array<{id}>, sizes binary, codes binary, words array<array<int>>"
 
 
-def pack(docs: DataFrame, pattern: str, size: int = BLOCK_BYTES) -> DataFrame:
-    """A row per block of texts: ids, pieces of each text, codes of all pieces, distinct words."""
+def byte_lists(words: pa.Array) -> pa.ListArray:
+    """Each word as a list of its bytes."""
+    data, at = as_bytes(words)
+    return pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(data.astype(np.int32)))
+
+
+def one_list(values: pa.Array) -> pa.ListArray:
+    """All values as the list of one row."""
+    return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
+
+
+def common_words(docs: DataFrame, most: int = SHARED, size: int = BLOCK_BYTES) -> DataFrame:
+    """``(word)``: words of letters after a space that more than one block holds, those of the most blocks; at most ``most``."""
+
+    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+        import pyarrow.compute as pc
+
+        texts = pc.fill_null(batch.column("text").cast(pa.large_string()), "")
+        runs = pc.split_pattern(texts, " ").flatten().dictionary_encode().dictionary
+        fit = pc.and_(pc.match_substring_regex(runs, "^[A-Za-zà-öø-ÿ]+$"), pc.less_equal(pc.binary_length(runs), SHARED_BYTES))
+        return pa.record_batch([runs.filter(fit).cast(pa.string())], ["word"])
+
+    held = cut_lineage(map_blocks(docs.select("text"), work, "word string", size).groupBy("word").agg(F.count("*").alias("blocks")).where("blocks > 1"))
+    # No more rows than a word has numbers of blocks; only the bar comes to the driver.
+    tally = held.groupBy("blocks").agg(F.count("*").alias("n"))
+    above = F.sum("n").over(Window.orderBy(F.desc("blocks")))
+    bar = tally.withColumn("above", above).where(F.col("above") <= most).agg(F.min("blocks")).first()[0]
+    return held.where(F.col("blocks") >= F.lit(bar)).select(F.concat(F.lit(" "), "word").alias("word"))
+
+
+@dataclass(frozen=True)
+class Words:
+    """Encoded words: their texts, the token ids of all end to end, and the bytes that these decode to."""
+
+    texts: pa.Array
+    offsets: np.ndarray
+    ids: np.ndarray
+    starts: np.ndarray
+    data: np.ndarray
+
+
+def coded_words(lists: pa.Array, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """``(offsets, ids, starts, data)`` of words given as lists of ids and as bytes."""
+    offsets = lists.offsets.to_numpy().astype(np.int64)
+    ids = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int32)
+    starts = np.zeros(1, np.int64)
+    if len(texts):
+        starts = np.frombuffer(texts.buffers()[1], np.int32, len(texts) + 1, texts.offset * 4).astype(np.int64)
+    data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[starts[0] : starts[-1]]
+    return offsets - offsets[0], ids, starts - starts[0], data
+
+
+def encode_shared(words: DataFrame, codec: Codec) -> Words:
+    """The common words, encoded by rows of ``WORDS_PER_ROW`` and brought to the driver."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(0, batch.num_rows, WORDS_PER_ROW):
+                some = batch.column("word").slice(i, WORDS_PER_ROW)
+                yield pa.record_batch([one_list(some), one_list(byte_lists(some))], ["texts", "words"])
+
+    rows = words.mapInArrow(work, "texts array<string>, words array<array<int>>")
+    rows = rows.select("texts", codec.encode_words(F.col("words")).alias("token_ids"))
+    got = rows.withColumn("decoded", codec.decode_words(F.col("token_ids"))).toArrow().combine_chunks()
+    if not got.num_rows:
+        none = np.zeros(0, np.int64)
+        return Words(pa.array([], pa.string()), np.zeros(1, np.int64), none.astype(np.int32), np.zeros(1, np.int64), none.astype(np.uint8))
+    texts, lists, data = (got.column(c).combine_chunks().flatten() for c in ("texts", "token_ids", "decoded"))
+    return Words(texts, *coded_words(lists, data))
+
+
+def pack(docs: DataFrame, pattern: str, shared, size: int = BLOCK_BYTES) -> DataFrame:
+    """A row per block of texts: ids, pieces of each text, codes of all pieces, distinct words.
+
+    Codes below the number of ``shared`` words (a broadcast) are theirs, and those from there on the block's own.
+    """
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import pyarrow.compute as pc
         import regex
 
         split = regex.compile(pattern)
+        known = shared.value.texts
         for block in blocks(batches, size):
             found = [split.findall(text) if text else [] for text in block.column("text").to_pylist()]
             sizes = np.array([len(x) for x in found], np.int32)
             coded = pa.array([p for x in found for p in x], pa.string()).dictionary_encode()
-            words, at = as_bytes(coded.dictionary)
-            words = pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(words.astype(np.int32)))
-            codes = coded.indices.to_numpy().astype(np.int32)
-            ids = pa.ListArray.from_arrays(pa.array([0, block.num_rows], pa.int32()), block.column("doc_id"))
-            cols = [ids, pa.array([sizes.tobytes()]), pa.array([codes.tobytes()]), pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words)]
-            yield pa.record_batch(cols, ["ids", "sizes", "codes", "words"])
+            at = pc.index_in(coded.dictionary, value_set=known)
+            own = pc.is_null(at)
+            number = pc.fill_null(at, 0).to_numpy() + np.where(own, len(known) - 1 + np.cumsum(own), 0)
+            codes = number[coded.indices.to_numpy()].astype(np.int32)
+            words = one_list(byte_lists(coded.dictionary.filter(own)))
+            yield pa.record_batch([one_list(block.column("doc_id")), pa.array([sizes.tobytes()]), pa.array([codes.tobytes()]), words], ["ids", "sizes", "codes", "words"])
 
     return docs.select("doc_id", "text").mapInArrow(work, BLOCK.format(id=id_type))
 
@@ -219,7 +309,7 @@ def take_lists(offsets: np.ndarray, values: np.ndarray, codes: np.ndarray) -> tu
     return values[at], sizes
 
 
-def unpack(packed: DataFrame) -> DataFrame:
+def unpack(packed: DataFrame, shared) -> DataFrame:
     """``(doc_id, tokens, decoded)`` of blocks with ``token_ids`` and ``decoded`` of each word."""
     id_type = packed.schema["ids"].dataType.elementType.simpleString()
 
@@ -227,20 +317,19 @@ def unpack(packed: DataFrame) -> DataFrame:
         running = np.concatenate([[0], np.cumsum(each)])
         return running[np.concatenate([[0], np.cumsum(sizes)])]
 
+    def behind(first: np.ndarray, then: np.ndarray) -> np.ndarray:
+        return np.concatenate([first, then[1:] + first[-1]])
+
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = shared.value
         for batch in batches:
             for i in range(batch.num_rows):
                 ids = batch.column("ids")[i].values
                 sizes = np.frombuffer(batch.column("sizes")[i].as_py(), np.int32)
                 codes = np.frombuffer(batch.column("codes")[i].as_py(), np.int32)
-                lists, texts = batch.column("token_ids")[i].values, batch.column("decoded")[i].values
-                offsets = lists.offsets.to_numpy().astype(np.int64)
-                tokens, each = take_lists(offsets - offsets[0], lists.flatten().to_numpy(zero_copy_only=False).astype(np.int32), codes)
-                where = np.zeros(1, np.int64)
-                if len(texts):
-                    where = np.frombuffer(texts.buffers()[1], np.int32, len(texts) + 1, texts.offset * 4).astype(np.int64)
-                data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[where[0] : where[-1]]
-                raw, wide = take_lists(where - where[0], data, codes)
+                offsets, tokens, starts, data = coded_words(batch.column("token_ids")[i].values, batch.column("decoded")[i].values)
+                tokens, each = take_lists(behind(known.offsets, offsets), np.concatenate([known.ids, tokens]), codes)
+                raw, wide = take_lists(behind(known.starts, starts), np.concatenate([known.data, data]), codes)
                 tokens_at, bytes_at = totals(sizes, each), totals(sizes, wide)
                 # Texts go out in parts, as a block's bytes are many.
                 of_tokens = pa.ListArray.from_arrays(pa.array(tokens_at, pa.int32()), pa.array(tokens, pa.int32()))
@@ -250,12 +339,18 @@ def unpack(packed: DataFrame) -> DataFrame:
     return packed.mapInArrow(work, f"doc_id {id_type}, tokens array<int>, decoded binary")
 
 
-def encode_decode(docs: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataFrame:
-    """``(doc_id, tokens, decoded)``: the token ids of each text, and the bytes that they decode to."""
+def encode_decode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, most: int = SHARED, size: int = BLOCK_BYTES) -> DataFrame:
+    """``(doc_id, tokens, decoded)``: the token ids of each text, and the bytes that they decode to.
+
+    Reads the texts twice: for the words that blocks share, which are then encoded, and to encode.
+    """
     codec = Codec(ranks)
-    words = pack(docs, pattern)
+    context = docs.sparkSession.sparkContext
+    # At most ``most`` words of SHARED_BYTES and their ids.
+    shared = context.broadcast(encode_shared(common_words(docs, most, size), codec))
+    words = pack(docs, pattern, shared, size)
     coded = words.select("ids", "sizes", "codes", codec.encode_words(F.col("words")).alias("token_ids"))
-    return unpack(coded.withColumn("decoded", codec.decode_words(F.col("token_ids"))))
+    return unpack(coded.withColumn("decoded", codec.decode_words(F.col("token_ids"))), shared)
 
 
 def digests(coded: DataFrame) -> DataFrame:

@@ -35,6 +35,7 @@ from pyspark.sql.window import Window
 
 from textgraph.llm.hashing import FOLD, PRIME, U64, as_bytes, mix, runs, span_hashes
 from textgraph.llm.tables import map_blocks, table
+from textgraph.operators.terms import is_small
 from textgraph.scratch import cut_lineage
 
 LONGEST = 4
@@ -47,6 +48,7 @@ SLICE_BITS = 1 << 18
 HOT_KEYS = 10_000
 HOT_FLOOR = 100_000
 BLOCK_BYTES = 4 << 20
+PIECES = 64
 
 # What ends a piece, and what besides parts words.
 _STOP = np.zeros(256, bool)
@@ -354,15 +356,19 @@ def collocations(docs: DataFrame, longest: int = LONGEST, least: int = LEAST, co
     spelled = scored.select("*", F.posexplode(F.expr("transform(sequence(0, octet_length(key) div 8 - 1), i -> substring(key, 8 * i + 1, 8))")).alias("at", "word_key"))
     spelled = spelled.join(words.select("lang", F.col("key").alias("word_key"), "word"), ["lang", "word_key"])
     spelled = spelled.groupBy("lang", "key", "a", "cut").agg(F.array_sort(F.collect_list(F.struct("at", "word"))).alias("spelled"))
-    sums = counts.where("word IS NULL").select("lang", F.col("f").alias("n"))
+    sums = cut_lineage(counts.where("word IS NULL").select("lang", F.col("f").alias("n")))
+    # Joined by shuffle, one language could hold all phrases.
+    sums = F.broadcast(sums) if is_small(sums) else sums
     rows = spelled.select("lang", F.array_join("spelled.word", " ").alias("phrase"), "a", "cut.l", "cut.r", "cut.score")
     return rows.join(sums, "lang").select("lang", "phrase", "a", "l", "r", "n", "score")
 
 
 def best(phrases: DataFrame, top: int = TOP) -> DataFrame:
-    """The first ``top`` phrases of each language, with their ``rank``; tasks pass on no more than so many."""
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    ranked = phrases.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
+    """The first ``top`` phrases of each language, with their ``rank``: first those of each of ``PIECES`` pieces of it."""
+    order = [F.desc("score"), F.desc("a"), F.col("phrase")]
+    pieces = phrases.withColumn("piece", F.pmod(F.xxhash64("phrase"), F.lit(PIECES)))
+    pieces = pieces.withColumn("rank", F.row_number().over(Window.partitionBy("lang", "piece").orderBy(*order))).where(F.col("rank") <= top)
+    ranked = pieces.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).where(F.col("rank") <= top)
     return ranked.select("lang", F.col("rank").cast("bigint").alias("rank"), "phrase", "a", "l", "r", "n", "score")
 
 
