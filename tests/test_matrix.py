@@ -3,8 +3,8 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from textgraph import cell_product, dedupe_cells, fill_cells, ieee_divide, normalize_rows, recommend, sparse_matmul
-from textgraph.operators.cells import pair_up
+from textgraph import cell_product, dedupe_cells, factored_product, fill_cells, ieee_divide, normalize_rows, recommend, sparse_matmul
+from textgraph.operators.cells import pair_up, product_row_sums
 from textgraph.sources import terms_of
 
 
@@ -23,6 +23,10 @@ def as_dict(df):
     return values
 
 
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
 def brute(a, b, ids):
     rows, cols = {r for r, _, _ in a}, {c for _, c, _ in b}
     dense = {(r, i): 0.0 for r in rows for i in ids} | {(i, c): 0.0 for i in ids for c in cols}
@@ -45,7 +49,7 @@ def test_product_with_and_without_hot_inner_index(spark, floor):
     a, b, ids = cells(spark, *A), cells(spark, *B), items(spark, *IDS)
     assert as_dict(cell_product(a, b, ids, floor)) == sparse
     assert as_dict(sparse_matmul(a, b, ids, dense=False, hot_floor=floor)) == sparse
-    assert as_dict(sparse_matmul(a, b, ids, hot_floor=floor)) == dense
+    assert as_dict(sparse_matmul(a, b, ids, dense=True, hot_floor=floor)) == dense
     assert as_dict(fill_cells(cell_product(a, b, ids, floor), a, b, ids)) == dense
 
 
@@ -60,23 +64,55 @@ def test_inner_index_hot_on_one_side(spark, a_hot):
 
 
 def test_item_domain(spark):
-    got = as_dict(sparse_matmul(cells(spark, ("r1", "k", 2)), cells(spark, ("k", "c1", 3)), items(spark, "c1")))
+    got = as_dict(sparse_matmul(cells(spark, ("r1", "k", 2)), cells(spark, ("k", "c1", 3)), items(spark, "c1"), dense=True))
     assert got == {("r1", "c1"): 0.0, ("c1", "c1"): 0.0}
 
 
 def test_rows_scaled_and_rows_of_zeros(spark):
     a, b, ids = cells(spark, ("i", "k", 2)), cells(spark, ("k", "j", 3)), items(spark, "i", "j")
-    got = as_dict(recommend(a, b, ids))
+    got = as_dict(recommend(a, b, ids, dense=True))
     assert got["i", "j"] == 1.0 and got["i", "i"] == 0.0
     assert math.isnan(got["j", "j"])
-    assert as_dict(recommend(a, b, ids, dense=False)) == {("i", "j"): 1.0}
+    assert as_dict(recommend(a, b, ids)) == {("i", "j"): 1.0}
+
+
+@pytest.mark.parametrize("floor", [100_000, 3])
+@pytest.mark.parametrize("dense", [False, True])
+def test_sums_from_factors_are_those_of_the_cells(spark, dense, floor):
+    """Rows outside the list, rows without products, and rows whose products cancel out."""
+    more = [("none", "k", 2), ("p4", "x", 1), ("p6", "y", 1), ("p6", "z", -1)]
+    a, b = A + more, B + [("y", "j", 2), ("z", "c1", 2), ("z", "p2", 2), ("z", "i", 0)]
+    ids = items(spark, *IDS)
+    sums = {r["row"]: r["row_sum"] for r in product_row_sums(cells(spark, *a), cells(spark, *b), ids).collect()}
+    sparse, _ = brute(a, b, IDS)
+    assert sums == {row: sum(v for (r, _), v in sparse.items() if r == row) for row in {r for r, _ in sparse}}
+    args = cells(spark, *a), cells(spark, *b), ids
+    want = as_dict(normalize_rows(sparse_matmul(*args, dense=dense, hot_floor=floor)))
+    assert as_dict(recommend(*args, dense=dense, hot_floor=floor)) == pytest.approx(want, nan_ok=True)
+
+
+def test_no_grid_of_pairs_unless_asked_for(spark):
+    args = cells(spark, *A), cells(spark, *B), items(spark, *IDS)
+    product = factored_product(*args)
+    # Cutting hot rows into pieces takes one sequence; a grid has two for each of its halves.
+    many = [plan(df).count("explode(sequence(") for df in (product.cells, recommend(*args), product.dense(), recommend(*args, dense=True))]
+    assert many[0] == 0 and many[1] == 1 and many[2] >= 2 and many[3] == many[1] + many[2], many
+    assert {r[0] for r in product.rows.collect()} == {r for r, _, _ in A} and {r[0] for r in product.cols.collect()} == {c for _, c, _ in B}
+    assert as_dict(product.cells) == brute(A, B, IDS)[0] and as_dict(product.dense()) == brute(A, B, IDS)[1]
+
+
+def test_the_product_streams_once(spark):
+    """The sum by cell is the only aggregate over products, and nothing of them is joined."""
+    text = plan(recommend(cells(spark, *A), cells(spark, *B), items(spark, *IDS)))
+    above = text[: text.index("(x#")]
+    assert above.count("HashAggregate") <= 2 and "Join" not in above
 
 
 @pytest.mark.parametrize("floor", [100_000, 1])
 def test_rows_sum_to_one_or_nan(spark, floor):
     _, dense = brute(A, B, IDS)
     a, b, ids = cells(spark, *A), cells(spark, *B), items(spark, *IDS)
-    shares = as_dict(normalize_rows(sparse_matmul(a, b, ids), floor))
+    shares = as_dict(normalize_rows(sparse_matmul(a, b, ids, dense=True), floor))
     assert shares.keys() == dense.keys()
     for row in {r for r, _ in shares}:
         total = sum(v for (r, _), v in shares.items() if r == row)
@@ -93,7 +129,7 @@ def test_duplicate_cells_leave_one(spark):
 def test_a_list_beyond_the_bound(spark, monkeypatch):
     sparse, dense = brute(A, B, IDS)
     monkeypatch.setattr("textgraph.operators.cells.is_small", lambda terms: False)
-    assert as_dict(sparse_matmul(cells(spark, *A), cells(spark, *B), items(spark, *IDS))) == dense
+    assert as_dict(sparse_matmul(cells(spark, *A), cells(spark, *B), items(spark, *IDS), dense=True)) == dense
 
 
 def test_pair_up_makes_every_pair_once(spark, rows):

@@ -38,15 +38,45 @@ def sum_cells(cells: DataFrame) -> DataFrame:
     return cells.groupBy("row", "col").agg(F.sum("val").alias("val"))
 
 
-def partial_products(a: DataFrame, b: DataFrame, items: DataFrame, hot_floor: int = HOT_PRODUCTS) -> DataFrame:
-    """``(row, col, val)``: one summand per inner index, for ``sum_cells``.
+def factors(a: DataFrame, b: DataFrame, items: DataFrame, small: bool | None = None) -> tuple[DataFrame, DataFrame]:
+    """``(row, k, x, ..)`` of ``a`` and ``(k, col, y)`` of ``b``, limited to rows and columns in ``items``.
+
+    Columns of ``a`` beside its cells stay.
+    """
+    small = is_small(items) if small is None else small
+    rest = [c for c in a.columns if c not in ("row", "col", "val")]
+    left = keep_terms(a, items, "row", small).select("row", F.col("col").alias("k"), F.col("val").alias("x"), *rest)
+    right = keep_terms(b, items, "col", small).select(F.col("row").alias("k"), "col", F.col("val").alias("y"))
+    return left, right
+
+
+def product_row_sums(a: DataFrame, b: DataFrame, items: DataFrame, small: bool | None = None) -> DataFrame:
+    """``(row, row_sum)`` of the product of ``a`` and ``b``, from its factors.
+
+    The sums of a · b by row are a · (b · 1): as many products as ``a`` has cells, and none of the
+    product itself. A row without products has no sum.
+    """
+    left, right = factors(a, b, items, small)
+    ones = right.groupBy("k").agg(F.sum("y").alias("total"))
+    return left.join(ones, "k").groupBy("row").agg(F.sum(F.col("x") * F.col("total")).alias("row_sum"))
+
+
+def attach_row_sums(a: DataFrame, sums: DataFrame, hot_floor: int = HOT_FLOOR) -> DataFrame:
+    """The cells of ``a``, each with the ``row_sum`` of its row in the product; 0 where the row has none."""
+    rows = a.groupBy("row").agg(F.count("val").alias("cells")).join(sums, "row", "left")
+    rows = rows.select("row", F.coalesce("row_sum", F.lit(0.0)).alias("row_sum"), "cells")
+    return attach_totals(a, rows, "row", "cells", hot_floor).select(*a.columns, "row_sum")
+
+
+def partial_products(a: DataFrame, b: DataFrame, items: DataFrame, hot_floor: int = HOT_PRODUCTS, small: bool | None = None) -> DataFrame:
+    """``(row, col, val, ..)``: one summand per inner index, for ``sum_cells``.
 
     An inner index is hot by the number of its products. Its cells are cut into
     a grid of pieces, in which those of ``a`` meet copies of those of ``b``.
+    Columns of ``a`` beside its cells stay with their products.
     """
-    small = is_small(items)
-    left = keep_terms(a, items, "row", small).select("row", F.col("col").alias("k"), F.col("val").alias("x"))
-    right = keep_terms(b, items, "col", small).select(F.col("row").alias("k"), "col", F.col("val").alias("y"))
+    left, right = factors(a, b, items, small)
+    rest = [c for c in left.columns if c not in ("row", "k", "x")]
 
     on = ["k"]
     hot = find_hot(_products(left, right), "k", "products", hot_floor)
@@ -67,7 +97,7 @@ def partial_products(a: DataFrame, b: DataFrame, items: DataFrame, hot_floor: in
     # Few bytes go in and many rows come out, so the number of tasks must not
     # follow the bytes, by which adaptive execution would merge partitions.
     left = left.repartition(_partitions(left), *on)
-    return left.join(right, on).select("row", "col", (F.col("x") * F.col("y")).alias("val"))
+    return left.join(right, on).select("row", "col", (F.col("x") * F.col("y")).alias("val"), *rest)
 
 
 def _products(left: DataFrame, right: DataFrame) -> DataFrame:
@@ -85,18 +115,33 @@ def _partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def zero_cells(a: DataFrame, b: DataFrame, items: DataFrame) -> DataFrame:
-    """Cells of value 0: (rows of a × items) and (items × columns of b)."""
+def key_sets(a: DataFrame, b: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``(row)`` of the rows of ``a`` and ``(col)`` of the columns of ``b``."""
     rows = a.where(F.col("val").isNotNull()).select("row").distinct()
-    cols = b.where(F.col("val").isNotNull()).select("col").distinct()
+    return rows, b.where(F.col("val").isNotNull()).select("col").distinct()
+
+
+def zeros_of(rows: DataFrame, cols: DataFrame, items: DataFrame, sums: DataFrame | None = None) -> DataFrame:
+    """Cells of value 0: (rows × items) and (items × columns), with the ``row_sum`` of their rows if ``sums`` are given."""
     ids = items.select(F.col(items.columns[0]).alias("item")).distinct()
+    of_items = ids.select(F.col("item").alias("row"))
+    if sums is not None:
+        # A sum joins a row before it is laid out, not each of its cells.
+        rows, of_items = (
+            keys.join(sums, "row", "left").select("row", F.coalesce("row_sum", F.lit(0.0)).alias("row_sum")) for keys in (rows, of_items)
+        )
     return (
         pair_up(rows, ids.withColumnRenamed("item", "col"))
-        .unionByName(pair_up(ids.withColumnRenamed("item", "row"), cols))
+        .unionByName(pair_up(of_items, cols))
         .withColumn("val", F.lit(0.0))
     )
 
 
+def zero_cells(a: DataFrame, b: DataFrame, items: DataFrame) -> DataFrame:
+    """Cells of value 0: (rows of a × items) and (items × columns of b)."""
+    return zeros_of(*key_sets(a, b), items)
+
+
 def fill_cells(product: DataFrame, a: DataFrame, b: DataFrame, items: DataFrame) -> DataFrame:
     """``product`` with a 0 in every cell of (rows of a × items) and (items ×
     columns of b) that has none: as many rows as those sets have cells."""
@@ -104,15 +149,15 @@ def fill_cells(product: DataFrame, a: DataFrame, b: DataFrame, items: DataFrame)
 
 
 def pair_up(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Every pair of a left and a right value, which is what a dense result is.
+    """Every pair of a left and a right row, which is what a dense result is.
 
-    Both one-column sides are cut into ``side`` strips and meet as the tiles of
+    Both sides are cut into ``side`` strips by their first column and meet as the tiles of
     a grid by an equi join, so that no side is held whole by any task.
     """
     side = math.ceil(math.sqrt(4 * _partitions(left)))
     strips = left.withColumn("i", piece_of(side, left.columns[0])).withColumn("j", every_piece(side))
     bands = right.withColumn("i", every_piece(side)).withColumn("j", piece_of(side, right.columns[0]))
-    return strips.repartition(_partitions(left), "i", "j").join(bands, ["i", "j"]).select(left.columns[0], right.columns[0])
+    return strips.repartition(_partitions(left), "i", "j").join(bands, ["i", "j"]).select(*left.columns, *right.columns)
 
 
 def normalize_rows(cells: DataFrame, hot_floor: int = HOT_FLOOR) -> DataFrame:
@@ -121,3 +166,8 @@ def normalize_rows(cells: DataFrame, hot_floor: int = HOT_FLOOR) -> DataFrame:
     share = ieee_divide(F.col("val"), F.col("row_sum"))
     return attach_totals(cells, sums, "row", "cells", hot_floor).select("row", "col", share.alias("val"))
 
+
+def scale_cells(summands: DataFrame) -> DataFrame:
+    """``(row, col, val)``: summands with the ``row_sum`` of their row, added up by cell and divided by it."""
+    sums = summands.groupBy("row", "col").agg(F.sum("val").alias("val"), F.max("row_sum").alias("row_sum"))
+    return sums.select("row", "col", ieee_divide(F.col("val"), F.col("row_sum")).alias("val"))

@@ -1,11 +1,12 @@
 from textgraph.plans.graph import pagerank, pagerank_links
-from textgraph.plans.recommend import recommend, sparse_matmul
+from textgraph.plans.recommend import factored_product, recommend, sparse_matmul
 from textgraph.plans.search import score_documents, search_documents
 from textgraph.plans.words import common_words, count_words
 
 __all__ = [
     "common_words",
     "count_words",
+    "factored_product",
     "pagerank",
     "pagerank_links",
     "recommend",

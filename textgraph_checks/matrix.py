@@ -70,11 +70,12 @@ def filled(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
-    "matmul_sparse": lambda spark, sf: sparse_matmul(*purchases(spark, sf), dense=False),
-    "matmul_dense": lambda spark, sf: sparse_matmul(*nations(spark, sf)),
+    "matmul_sparse": lambda spark, sf: sparse_matmul(*purchases(spark, sf)),
+    "matmul_dense": lambda spark, sf: sparse_matmul(*nations(spark, sf), dense=True),
     "cells_filled": filled,
-    "rows_normalized": lambda spark, sf: shares(normalize_rows(cut_lineage(sparse_matmul(*nations(spark, sf))))),
-    "recommend": lambda spark, sf: shares(recommend(*purchases(spark, sf), dense=False)),
+    "rows_normalized": lambda spark, sf: shares(normalize_rows(cut_lineage(sparse_matmul(*purchases(spark, sf))))),
+    "recommend": lambda spark, sf: shares(recommend(*purchases(spark, sf))),
+    "recommend_dense": lambda spark, sf: shares(recommend(*nations(spark, sf), dense=True)),
     "cells_deduped": lambda spark, sf: dedupe_cells(sold(spark, sf)),
 }
 
@@ -119,8 +120,9 @@ SQL = {
     "matmul_sparse": f"WITH {PURCHASES}, {PRODUCT} SELECT row, col, val FROM product",
     "matmul_dense": f"WITH {NATIONS}, {DENSE} SELECT row, col, val FROM dense",
     "cells_filled": f"WITH {NATIONS}, {DENSE} SELECT row, col, val FROM dense",
-    "rows_normalized": f"WITH {NATIONS}, {DENSE}, {scaled('dense')}",
+    "rows_normalized": f"WITH {PURCHASES}, {PRODUCT}, {scaled('product')}",
     "recommend": f"WITH {PURCHASES}, {PRODUCT}, {scaled('product')}",
+    "recommend_dense": f"WITH {NATIONS}, {DENSE}, {scaled('dense')}",
     "cells_deduped": """
 SELECT l_suppkey::VARCHAR AS row, l_partkey::VARCHAR AS col, max(l_quantity) AS val
 FROM lineitem GROUP BY l_suppkey, l_partkey""",
