@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import os
+import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -13,6 +14,8 @@ def local_session(cores: str | None = None) -> SparkSession:
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "12g")
+        .config("spark.checkpoint.dir", os.environ.get("TEXTGRAPH_SCRATCH") or tempfile.mkdtemp(prefix="textgraph-tests-"))
+        .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="textgraph-warehouse-"))
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()

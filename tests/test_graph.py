@@ -1,7 +1,10 @@
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
 from textgraph import (
+    TableScope,
     attach_links,
     dedupe_adjacency,
     links_of,
@@ -143,11 +146,62 @@ def test_hot_source_is_cut_into_pieces(spark):
     assert len(sizes) == 10 and max(sizes) < 200
 
 
-def test_a_step_shuffles_only_ranks(spark, monkeypatch):
+def final_plan(df):
+    df.collect()
+    text = df._jdf.queryExecution().executedPlan().toString()
+    return text[: text.index("== Initial Plan ==")] if "== Initial Plan ==" in text else text
+
+
+def test_a_step_shuffles_only_ranks(spark):
     """Within a plan the links are shuffled once, whatever the number of steps."""
-    monkeypatch.setattr("textgraph.plans.graph.cut_lineage", lambda df, path=None: df)
-    ranks = pagerank_links(links_of(adj(spark, **WEB)), 4)
-    ranks.collect()
-    text = ranks._jdf.queryExecution().executedPlan().toString()
-    final = text[: text.index("== Initial Plan ==")] if "== Initial Plan ==" in text else text
+    final = final_plan(pagerank_links(links_of(adj(spark, **WEB)), 4))
     assert final.count("Exchange hashpartitioning(src") - final.count("ReusedExchange [src") <= 1
+
+
+@pytest.mark.parametrize("floor", [100_000, 1])
+def test_plans_after_the_cut_shuffle_no_links(spark, floor):
+    """Links come from buckets: no exchange holds their targets, and each link stands there once."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        many = {**WEB, "d": ["hub"] * 300 + ["a"]}
+        with TableScope(spark) as scope:
+            ranks = pagerank(adj(spark, **many), 7, hot_floor=floor, scope=scope)
+            final = final_plan(ranks)
+            assert as_dict(ranks) == pytest.approx(brute(many, 7, 6))
+            assert "Bucketed: true" in final and "cnt" in final
+            for line in (x for x in final.splitlines() if "Exchange" in x):
+                assert "dst" not in line and "cnt" not in line
+            links = spark.table(scope.names[-1])
+            assert links.count() == sum(len({*t}) for t in many.values())
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_a_scope_removes_its_tables(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("textgraph.scratch.scratch_path", lambda spark: f"{tmp_path}/t{len(list(tmp_path.iterdir()))}-{time.time_ns()}")
+    graph = adj(spark, **WEB)
+    with TableScope(spark) as scope:
+        ranks = pagerank(graph, 50, scope=scope, unique=True)
+        # Lines, pages, links and the last ranks.
+        assert len(list(tmp_path.iterdir())) == len(scope.paths) == 4
+        assert as_dict(ranks) == pytest.approx(brute(WEB, 50, 6))
+        name = scope.names[0]
+        assert spark.catalog.tableExists(name)
+    assert not list(tmp_path.iterdir()) and not spark.catalog.tableExists(name)
+
+
+def test_saved_ranks_are_not_joined_back(spark, tmp_path):
+    last = pagerank(adj(spark, **WEB), 2, save_each=f"{tmp_path}/r")
+    assert "Join" not in final_plan(last) and spark.read.parquet(f"{tmp_path}/r0").columns == ["page", "rank", "out_degree"]
+
+
+def test_lines_are_chosen_without_sorting_all_lists(spark, rows):
+    """Lists that agree in their first bytes, empty and null ones, long and non-ASCII texts, null pages."""
+    lists = [None, [], [""], [None], ["a"], ["a", "b"], ["a\0"], ["abcdefgh"], ["abcdefgi"], ["abcdefg"], ["é"], ["漢字漢字"], ["z", "a"], ["z", "b"]]
+    given = [(f"p{i}{j}", x) for i, a in enumerate(lists) for j, b in enumerate(lists) for x in (a, b)]
+    given += [("alone", ["q"]), ("same", ["q"]), ("same", ["q"]), (None, ["a"]), (None, ["b"])]
+    graph = spark.createDataFrame(given, "page string, links array<string>")
+    best = rows(graph.groupBy("page").agg(F.max("links")).selectExpr("coalesce(page, '-')", "cast(`max(links)` AS string)"))
+    got = dedupe_adjacency(graph)
+    assert rows(got.selectExpr("coalesce(page, '-')", "cast(links AS string)")) == best
+    assert "SortAggregate" not in final_plan(got) and "SortAggregate" not in final_plan(pagerank(graph.where("page IS NOT NULL"), 2))

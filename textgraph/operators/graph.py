@@ -1,7 +1,7 @@
 """The parts of PageRank: pages, links, and one step.
 
 Shapes: an adjacency table ``(page, rank, links)`` or ``(page, links)`` with one
-line per page; links ``(src, dst)``, one row each; pages ``(page, out_degree,
+line per page; links ``(src, dst)``, one row each, or ``(src, dst, cnt)``, one row for so many; pages ``(page, out_degree,
 is_line)``; nodes ``(page, rank, out_degree)``.
 """
 
@@ -11,8 +11,11 @@ from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from textgraph.operators.skew import HOT_FLOOR, every_piece, find_hot, key_hash, or_one, piece_of
+from textgraph.operators.terms import is_small
+from textgraph.scratch import cut_lineage
 
 DAMPING = 0.85
 
@@ -27,13 +30,32 @@ def node_count(adj: DataFrame) -> DataFrame:
     return adj.agg(F.count("*").alias("n"))
 
 
+def list_order(links: Column) -> Column:
+    """A number of eight bytes that never falls where the list rises: its first seven bytes of text.
+
+    A longer list or text behind them is not told apart.
+    """
+    head = F.rpad(F.hex(F.substring(F.encode(F.get(links, F.lit(0)), "UTF-8"), 1, 7)), 14, "0")
+    number = F.coalesce(F.conv(head, 16, 10).cast("bigint"), F.lit(0))
+    return F.when(links.isNull(), F.lit(-2)).when(F.size(links) == 0, F.lit(-1)).otherwise(number).cast("bigint")
+
+
 def dedupe_adjacency(adj: DataFrame) -> DataFrame:
-    """One line per page: of several, the one with the greatest link list."""
-    rest = [c for c in adj.columns if c not in ("page", "links")]
-    line = F.max(F.struct("links", *rest)).alias("line")
-    return adj.groupBy("page").agg(line).select(
-        "page", *[F.col(f"line.{c}").alias(c) for c in adj.columns if c != "page"]
-    )
+    """One line per page: of several, the one with the greatest link list.
+
+    An aggregate over ``list_order`` finds the pages with more than one line, and their
+    greatest number. The other pages pass as they are, lists and all: only lines that share
+    a page and its number are shuffled and compared by their lists. Writes the pages found.
+    """
+    lines = adj.groupBy("page").agg(F.count("*").alias("lines"), F.max(list_order(F.col("links"))).alias("_top"))
+    repeated = cut_lineage(lines.where("lines > 1").select(F.col("page").alias("_page"), "_top"))
+    if is_small(repeated):
+        repeated = F.broadcast(repeated)
+    marked = adj.join(repeated, F.col("page").eqNullSafe(F.col("_page")), "left")
+    rest = [F.desc(c) for c in adj.columns if c not in ("page", "links")]
+    place = F.row_number().over(Window.partitionBy("page").orderBy(F.desc("links"), *rest))
+    greatest = marked.where(list_order(F.col("links")) == F.col("_top")).withColumn("_place", place).where("_place = 1")
+    return marked.where("_top IS NULL").select(*adj.columns).unionByName(greatest.select(*adj.columns))
 
 
 def links_of(adj: DataFrame) -> DataFrame:
@@ -41,6 +63,11 @@ def links_of(adj: DataFrame) -> DataFrame:
     return adj.select(F.col("page").alias("src"), F.explode("links").alias("dst"))
 
 
+def count_links(links: DataFrame) -> DataFrame:
+    """``(src, dst, cnt)``: each link once, with how often it stands."""
+    return links.groupBy("src", "dst").agg(F.count("*").alias("cnt"))
+
+
 def page_table(links: DataFrame, lines: DataFrame | None = None) -> DataFrame:
     """``(page, out_degree, is_line)`` of sources, targets and the pages of ``lines``.
 
@@ -67,13 +94,14 @@ def split_sources(links: DataFrame, hot: DataFrame | None) -> DataFrame:
     """Links with the ``piece`` of their source they belong to, if any is hot."""
     if hot is None:
         return links
-    return links.join(F.broadcast(hot), key_hash("src") == F.col("hash"), "left").select("src", "dst", piece_of(or_one(), "dst").alias("piece"))
+    cut = links.join(F.broadcast(hot), key_hash("src") == F.col("hash"), "left")
+    return cut.select(*links.columns, piece_of(or_one(), "dst").alias("piece"))
 
 
 def rank_contributions(nodes: DataFrame, links: DataFrame, hot: DataFrame | None = None) -> DataFrame:
     """``(page, credit)``: ``rank / out_degree`` of the source, for each link.
 
-    A repeated link counts each time; pages without links send nothing. With
+    A repeated link counts each time, and in counted links is one row of so many credits; pages without links send nothing. With
     ``hot``, links must come from ``split_sources``: a hot source sends to each
     of its pieces.
     """
@@ -85,7 +113,8 @@ def rank_contributions(nodes: DataFrame, links: DataFrame, hot: DataFrame | None
             "src", "credit", every_piece(or_one()).alias("piece")
         )
         on = ["src", "piece"]
-    return links.join(senders, on).select(F.col("dst").alias("page"), "credit")
+    credit = F.col("credit") * F.col("cnt") if "cnt" in links.columns else F.col("credit")
+    return links.join(senders, on).select(F.col("dst").alias("page"), credit.alias("credit"))
 
 
 def pagerank_step(

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from textgraph.operators.graph import (
     DAMPING,
+    count_links,
     dedupe_adjacency,
     hot_sources,
     links_of,
@@ -16,9 +17,9 @@ from textgraph.operators.graph import (
     split_sources,
 )
 from textgraph.operators.skew import HOT_FLOOR
-from textgraph.scratch import cut_lineage
+from textgraph.scratch import TableScope, cut_lineage
 
-# Steps planned as one query. All of them read the same shuffle of the links.
+# Steps planned as one query. All of them read the same shuffle of the links, or the same buckets.
 STEPS_PER_PLAN = 5
 
 
@@ -30,26 +31,30 @@ def pagerank(
     initial_rank: float | None = 1.0,
     save_each: str | None = None,
     hot_floor: int = HOT_FLOOR,
+    scope: TableScope | None = None,
+    unique: bool = False,
 ) -> DataFrame:
     """``(page, rank)`` of an adjacency table after ``iterations`` steps.
 
     N is ``n``, or else the number of lines. ``initial_rank=None`` starts from
-    the ``rank`` column of ``adj``. ``save_each`` writes the ranks of step i to
-    ``<save_each>i``.
+    the ``rank`` column of ``adj``. ``save_each`` writes the ranks of step i, with the
+    out-degrees, to ``<save_each>i``. ``scope`` owns the tables between the steps; without one
+    those that the result reads stay. ``unique`` tells that no page has two lines.
     """
+    scope = scope or TableScope(adj.sparkSession)
     # Taken once: as a subquery it would read the source again in each plan.
     n = node_count(adj).first()["n"] if n is None else n
-    lines = dedupe_adjacency(adj)
+    lines = adj if unique else dedupe_adjacency(adj)
     if iterations > STEPS_PER_PLAN or save_each is not None:
-        lines = cut_lineage(lines)
+        lines = scope.cut(lines)
     links = links_of(lines)
-    pages = cut_lineage(page_table(links, lines))
+    pages = scope.cut(page_table(links, lines))
     if initial_rank is None:
         given = pages.join(lines.select("page", "rank"), "page", "left")
         start = given.select("page", F.coalesce("rank", F.lit(0.0)).alias("rank"), "out_degree")
     else:
         start = pages.select("page", F.lit(float(initial_rank)).alias("rank"), "out_degree")
-    return _iterate(start, links, pages, iterations, n, damping, save_each, hot_floor)
+    return _iterate(start, links, pages, iterations, n, damping, save_each, hot_floor, scope)
 
 
 def pagerank_links(
@@ -61,6 +66,7 @@ def pagerank_links(
     lines: DataFrame | None = None,
     save_each: str | None = None,
     hot_floor: int = HOT_FLOOR,
+    scope: TableScope | None = None,
 ) -> DataFrame:
     """As ``pagerank``, from a table ``(src, dst)`` with one row per link.
 
@@ -68,12 +74,11 @@ def pagerank_links(
     as those without links. N is ``n``, or else the number of pages that have
     links or are named in ``lines``.
     """
-    if iterations > STEPS_PER_PLAN or save_each is not None:
-        links = cut_lineage(links.select("src", "dst"))
-    pages = cut_lineage(page_table(links, lines))
+    scope = scope or TableScope(links.sparkSession)
+    pages = scope.cut(page_table(links, lines))
     n = pages.agg(F.count_if("is_line")).scalar() if n is None else n
     start = pages.select("page", F.lit(float(initial_rank)).alias("rank"), "out_degree")
-    return _iterate(start, links, pages, iterations, n, damping, save_each, hot_floor)
+    return _iterate(start, links, pages, iterations, n, damping, save_each, hot_floor, scope)
 
 
 def _iterate(
@@ -85,16 +90,23 @@ def _iterate(
     damping: float,
     save_each: str | None,
     hot_floor: int,
+    scope: TableScope,
 ) -> DataFrame:
     if iterations < 1:
         raise ValueError("iterations must be at least 1")
     hot = hot_sources(pages, hot_floor)
-    links = split_sources(links, hot)
+    if iterations > STEPS_PER_PLAN or save_each is not None:
+        # Several plans read the links: each once, in buckets that no plan shuffles.
+        buckets = int(links.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        links = split_sources(count_links(links), hot)
+        links = scope.bucketed(links, ["src"] if hot is None else ["src", "piece"], buckets)
+    else:
+        links = split_sources(links, hot)
+    last = None
     for i in range(iterations):
         nodes = pagerank_step(nodes, links, n, damping, pages, hot)
         if save_each is not None:
-            saved = cut_lineage(nodes.select("page", "rank"), f"{save_each}{i}")
-            nodes = saved.join(pages.select("page", "out_degree"), "page")
+            nodes = cut_lineage(nodes, f"{save_each}{i}")
         elif (i + 1) % STEPS_PER_PLAN == 0 and i + 1 < iterations:
-            nodes = cut_lineage(nodes)
+            nodes, last = scope.cut_next(nodes, last)
     return nodes.select("page", "rank")

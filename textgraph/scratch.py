@@ -1,32 +1,26 @@
-"""Where intermediate tables go, and how an iterative plan is cut short."""
+"""Where intermediate tables go, how an iterative plan is cut short, and who removes its tables."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
-from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
-@cache
-def _local_folder() -> str:
-    return tempfile.mkdtemp(prefix="textgraph-")
-
-
 def scratch_path(spark: SparkSession) -> str:
     """A path nobody uses yet, in the shared folder the session names.
 
     Executors can only read a folder they all see, so a cluster must set
-    ``spark.checkpoint.dir``. A local session without it gets a temporary one.
+    ``spark.checkpoint.dir``. A local session without it has a folder of its own.
     """
     base = spark.conf.get(CHECKPOINT_DIR, None)
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError(f"set {CHECKPOINT_DIR} to a folder all executors share")
-        base = _local_folder()
+        base = f"{tempfile.gettempdir()}/textgraph-{spark.sparkContext.applicationId}"
     return f"{base.rstrip('/')}/textgraph-{uuid.uuid4().hex}"
 
 
@@ -35,3 +29,57 @@ def cut_lineage(df: DataFrame, path: str | None = None) -> DataFrame:
     path = path or scratch_path(df.sparkSession)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+class TableScope:
+    """The tables between the stages of a plan; it removes those that it wrote when it is closed.
+
+    A result that was not written or collected yet reads from them, so it must be used before:
+
+        with TableScope(spark) as scope:
+            pagerank(adj, 50, scope=scope).write.parquet(out)
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.paths: list[str] = []
+        self.names: list[str] = []
+
+    def __enter__(self) -> TableScope:
+        return self
+
+    def __exit__(self, *error) -> None:
+        self.close()
+
+    def cut(self, df: DataFrame) -> DataFrame:
+        """As ``cut_lineage``, in a table of this scope."""
+        self.paths.append(scratch_path(self.spark))
+        return cut_lineage(df, self.paths[-1])
+
+    def cut_next(self, df: DataFrame, before: str | None) -> tuple[DataFrame, str]:
+        """``df`` as a table and its path; the table of ``before``, which it was made from, goes."""
+        table = self.cut(df)
+        path = self.paths[-1]
+        if before is not None:
+            self.remove(before)
+        return table, path
+
+    def bucketed(self, df: DataFrame, keys: list[str], buckets: int) -> DataFrame:
+        """``df`` as a table in buckets by ``keys``, so that a join on them does not shuffle it again."""
+        self.paths.append(scratch_path(self.spark))
+        self.names.append(f"textgraph_{uuid.uuid4().hex}")
+        # One task for each bucket, and so one file.
+        dealt = df.repartition(buckets, *keys)
+        dealt.write.bucketBy(buckets, *keys).option("path", self.paths[-1]).saveAsTable(self.names[-1])
+        return self.spark.table(self.names[-1])
+
+    def remove(self, path: str) -> None:
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
+        self.paths.remove(path)
+
+    def close(self) -> None:
+        while self.names:
+            self.spark.sql(f"DROP TABLE IF EXISTS {self.names.pop()}")
+        for path in list(self.paths):
+            self.remove(path)

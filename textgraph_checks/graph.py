@@ -88,9 +88,15 @@ def three_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranks(pagerank_links(links(spark, sf_dir), 3))
 
 
+def seven_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Past the first cut, so the links are read from their buckets."""
+    return ranks(pagerank_links(links(spark, sf_dir), 7))
+
+
 def adjacency_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
     adj = adjacency(spark, sf_dir)
-    linked = attach_links(pagerank(adj, 2), dedupe_adjacency(adj))
+    lines = cut_lineage(dedupe_adjacency(adj))
+    linked = attach_links(pagerank(lines, 2, node_count(adj).first()["n"], unique=True), lines)
     return joined(linked).withColumn("rank", F.round("rank", 6))
 
 
@@ -107,6 +113,7 @@ QUERIES = {
     "rank_contributions": contributions,
     "pagerank_step": step,
     "pagerank_3": three_steps,
+    "pagerank_7": seven_steps,
     "pagerank_adjacency": adjacency_ranks,
     "pagerank_saved": saved,
     "adjacency_deduped": lambda spark, sf: joined(dedupe_adjacency(adjacency(spark, sf))),
@@ -147,6 +154,7 @@ SELECT page, 1.0::DOUBLE AS rank, array_to_string(links, ' ') AS links, (SELECT
 SELECT dst AS page, round(1.0::DOUBLE / d, 9) AS credit FROM links JOIN degree ON links.src = degree.src""",
     "pagerank_step": f"WITH {LINKS}, {START}, {steps(1, SOURCES)} SELECT page, round(rank, 6) AS rank FROM r1",
     "pagerank_3": f"WITH {LINKS}, {START}, {steps(3, SOURCES)} SELECT page, round(rank, 6) AS rank FROM r3",
+    "pagerank_7": f"WITH {LINKS}, {START}, {steps(7, SOURCES)} SELECT page, round(rank, 6) AS rank FROM r7",
     "pagerank_adjacency": f"""WITH {DEDUPED},
 links AS (SELECT page AS src, unnest(links) AS dst FROM deduped),
 r0 AS (SELECT page, 1.0::DOUBLE AS rank FROM (SELECT page FROM deduped UNION SELECT dst FROM links)),
