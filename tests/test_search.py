@@ -14,6 +14,7 @@ from textgraph import (
     top_k,
 )
 from textgraph.operators.weights import query_relevance
+from textgraph.plans.search import document_terms
 from textgraph.sources import terms_of
 
 DOCS = [
@@ -141,3 +142,54 @@ def test_top_k_padded(spark, rows):
 def test_top_k_needs_no_shuffle_to_one_key(spark):
     plan = top_k(scores(spark, 0.1))._jdf.queryExecution().executedPlan().toString()
     assert "TakeOrderedAndProject" in plan
+
+
+EMPTY = [*DOCS, ("none", ""), ("null", None), ("signs", " .,! "), ("d1", "pear"), ("none", "...")]
+
+
+def final_plan(df):
+    df.collect()
+    text = df._jdf.queryExecution().executedPlan().toString()
+    return text[: text.index("== Initial Plan ==")] if "== Initial Plan ==" in text else text
+
+
+def test_documents_without_words_count(spark, tmp_path):
+    """The stages equal the whole, and both equal the formula; a document in two rows is one."""
+    spark.createDataFrame(EMPTY, "doc_id string, text string").write.parquet(f"{tmp_path}/docs")
+    docs = spark.read.parquet(f"{tmp_path}/docs")
+    joined = {}
+    for d, text in EMPTY:
+        joined[d] = f"{joined.get(d, '')} {text or ''}"
+    joined["signs"] = joined["none"] = ""
+    _, norm = brute([*joined.items()], stop=("the",))
+    weights = tf_idf(document_terms(docs, terms_of(spark, ["the", ""]), marked=True), marked=True)
+    assert as_dict(l2_normalize(weights), "norm") == pytest.approx(norm, nan_ok=True)
+    query = terms_of(spark, ["apple", "fig", "pear", ""])
+    want = {}
+    for (d, w), v in norm.items():
+        if w in ("apple", "fig", "pear"):
+            want[d] = want.get(d, 0) + v
+    got = score_documents(docs, query, terms_of(spark, ["the", ""]))
+    assert {r["doc_id"]: r["relevance"] for r in got.collect()} == pytest.approx(want, nan_ok=True)
+
+
+def test_one_scan_and_hit_documents_alone(spark, tmp_path):
+    words = [f"w{i}" for i in range(40)]
+    rows = [(i, " ".join(words[(i + j) % 40] for j in range(5)) + (" rare" if i % 50 == 0 else "")) for i in range(400)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/docs")
+    docs = spark.read.parquet(f"{tmp_path}/docs")
+    query = terms_of(spark, ["rare"])
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        scores = score_documents(docs, query)
+        text = final_plan(scores)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert scores.count() == 8
+    # The same scan and shuffle serve the frequencies, N, the hits and the weights.
+    assert text.count("FileScan") == 1 and text.count("ReusedExchange") >= 2
+    # Read from the top: the frequencies are joined above the reduction to documents with a hit.
+    joins = [line for line in text.splitlines() if "Join [" in line]
+    of_frequencies = next(i for i, line in enumerate(joins) if "word" in line and "_key" in line)
+    of_documents = next(i for i, line in enumerate(joins) if "doc_id" in line and "_wanted" in line)
+    assert of_frequencies < of_documents

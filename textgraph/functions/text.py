@@ -12,6 +12,8 @@ DELIMITERS = r"[ .!?;\[\],'\r\n\f]+"
 # Word characters are the ASCII letters, digits and _. All else, letters beyond
 # ASCII included, is a cut point.
 NON_WORD = r"\W+"
+# Stands for its document in a table of marked words.
+MARK = ""
 
 
 def tokenize_delims(df: DataFrame, text: str, *keep: str) -> DataFrame:
@@ -24,10 +26,16 @@ def tokenize_delims(df: DataFrame, text: str, *keep: str) -> DataFrame:
     return tokens.where(F.col("token") != "").select(*keep, F.lower("token").alias("word"))
 
 
-def tokenize_words(df: DataFrame, text: str, *keep: str) -> DataFrame:
-    """One row ``(*keep, word)`` per run of ASCII word characters, lower-cased."""
-    words = df.select(*keep, F.explode(F.split(F.lower(F.col(text)), NON_WORD)).alias("word"))
-    return words.where(F.col("word") != "")
+def tokenize_words(df: DataFrame, text: str, *keep: str, marked: bool = False) -> DataFrame:
+    """One row ``(*keep, word)`` per run of ASCII word characters, lower-cased.
+
+    ``marked`` adds a row with the empty word ``MARK``, which no text holds, for each row of
+    ``df``, so that those without a word, or with a null text, can still be counted.
+    """
+    words = F.filter(F.split(F.lower(F.col(text)), NON_WORD), lambda word: word != "")
+    if marked:
+        words = F.concat(F.array(F.lit(MARK)), F.coalesce(words, F.array().cast("array<string>")))
+    return df.select(*keep, F.explode(words).alias("word"))
 
 
 def pack_key(df: DataFrame, sep: str, cols: list[str], name: str = "key") -> DataFrame:

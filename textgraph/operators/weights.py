@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from textgraph.functions.numbers import ieee_divide
+from textgraph.functions.text import MARK
 from textgraph.operators.counts import doc_freq
 from textgraph.operators.skew import HOT_FLOOR, attach_totals
 from textgraph.operators.terms import is_small, keep_terms
@@ -17,23 +18,54 @@ def document_count(df: DataFrame) -> Column:
     return df.agg(F.count_distinct("doc_id")).scalar()
 
 
-def tf_idf(tf: DataFrame, n_docs: int | Column | None = None, hot_floor: int = HOT_FLOOR) -> DataFrame:
+def marked_count(df: DataFrame) -> Column:
+    """The number of documents by the document frequency of their mark, as a subquery."""
+    # A filter would move below the counts, and make another shuffle of them.
+    return df.agg(F.max(F.when(F.col("word") == MARK, F.col("df")))).scalar()
+
+
+def tf_idf(
+    tf: DataFrame,
+    n_docs: int | Column | None = None,
+    hot_floor: int = HOT_FLOOR,
+    marked: bool = False,
+    of: DataFrame | None = None,
+) -> DataFrame:
     """``(doc_id, word, tf_idf)`` with ``(1 + ln tf) * ln(N / df)``.
 
-    N is ``n_docs``: give ``document_count`` of the documents, as search does.
-    Without it only documents with a word in ``tf`` count, which is the same
-    where none is empty. Nothing is smoothed: a word of all N documents weighs 0, and with a fixed N
-    below ``df`` the weight is negative.
+    N is ``n_docs``, or else the number of documents of ``tf``: with ``marked``, of
+    ``document_terms(.., marked=True)``, all documents, also those without a word. Nothing is
+    smoothed: a word of all N documents weighs 0, and with a fixed N below ``df`` the weight is
+    negative. With ``of``, which has one row ``(doc_id)`` for each document wanted, only those are
+    weighed; N and the frequencies stay those of all.
     """
+    freq = doc_freq(tf)
     if n_docs is None:
         # Reading tf makes this share the shuffle of tf, as in doc_freq.
-        n_docs = document_count(tf.where("tf > 0"))
+        n_docs = marked_count(freq) if marked else document_count(tf.where("tf > 0"))
     n = F.lit(n_docs) if isinstance(n_docs, int) else n_docs
-    weighed = attach_totals(tf, doc_freq(tf), "word", "df", hot_floor)
+    wanted = tf
+    if of is not None:
+        # Not a semi join or plain equality, which Spark would move below the counts of tf, so that
+        # their shuffle would not be that of the frequencies.
+        ids = of.select(F.col("doc_id").alias("_wanted"))
+        wanted = tf.join(ids, F.col("doc_id").eqNullSafe(F.col("_wanted"))).select(*tf.columns)
+    if marked:
+        wanted = wanted.where(F.when(F.col("word") == MARK, 0).otherwise(F.col("tf")) > 0)
+    weighed = attach_totals(wanted, freq, "word", "df", hot_floor)
     weight = (1 + F.ln("tf")) * F.ln(n / F.col("df"))
     return weighed.select("doc_id", "word", weight.alias("tf_idf"))
 
 
+def documents_with(tf: DataFrame, query: DataFrame, small: bool | None = None) -> DataFrame:
+    """``(doc_id)`` of the documents that hold a word of the query."""
+    words = query.select(F.col(query.columns[0]).alias("_word")).distinct()
+    if is_small(query) if small is None else small:
+        words = F.broadcast(words)
+    # Reading tf makes this share its shuffle, as in doc_freq.
+    return tf.where("tf > 0").join(words, F.col("word").eqNullSafe(F.col("_word"))).select("doc_id").distinct()
+
+
 def l2_normalize(tfidf: DataFrame, hot_floor: int = HOT_FLOOR) -> DataFrame:
     """``(doc_id, word, norm)``: each weight over the length of its document.
 

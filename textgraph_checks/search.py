@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from textgraph_checks.tables import QUERY_WORDS, RARE_WORDS, STOP, quoted, stop_words, texts
 from textgraph import doc_freq, l2_normalize, nan_to_null, relevance, search_documents, tf_idf
-from textgraph.operators.weights import document_count
 from textgraph.plans.search import document_terms
 from textgraph.scratch import cut_lineage
 from textgraph.sources import terms_of
@@ -40,7 +39,7 @@ def padded(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def weighed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tf_idf(terms(spark, sf_dir), document_count(docs(spark, sf_dir)))
+    return tf_idf(document_terms(docs(spark, sf_dir), stop_words(spark), marked=True), marked=True)
 
 
 def normalized(spark: SparkSession, sf_dir: str) -> DataFrame:
