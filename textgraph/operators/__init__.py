@@ -10,6 +10,7 @@ from textgraph.operators.graph import (
     prepare_graph,
     rank_contributions,
 )
+from textgraph.operators.order import order_report
 from textgraph.operators.terms import drop_terms, keep_terms
 from textgraph.operators.weights import l2_normalize, relevance, tf_idf, top_k
 
@@ -26,6 +27,7 @@ __all__ = [
     "links_of",
     "node_count",
     "normalize_rows",
+    "order_report",
     "page_table",
     "pagerank_step",
     "prepare_graph",

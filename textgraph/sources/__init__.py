@@ -1,7 +1,8 @@
-from textgraph.sources.sinks import read_table, write_table, write_tsv
+from textgraph.sources.sinks import read_table, write_folders, write_table, write_tsv
 from textgraph.sources.text import (
     read_adjacency,
     read_cells,
+    read_folders,
     read_id_list,
     read_key_values,
     read_lines,
@@ -13,6 +14,7 @@ from textgraph.sources.text import (
 __all__ = [
     "read_adjacency",
     "read_cells",
+    "read_folders",
     "read_id_list",
     "read_key_values",
     "read_lines",
@@ -20,6 +22,7 @@ __all__ = [
     "read_tagged",
     "read_terms",
     "terms_of",
+    "write_folders",
     "write_table",
     "write_tsv",
 ]

@@ -27,3 +27,13 @@ def write_table(df: DataFrame, path: str) -> None:
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
+
+
+def write_folders(df: DataFrame, path: str, name: str, text: str, single: bool = True) -> None:
+    """The text of each row as lines of a file in a folder ``<name>=<value>``.
+
+    ``single`` gives each folder one file, from one task; without it a folder has one from each
+    task that holds rows of it, which is the form where a name has many rows.
+    """
+    rows = df.select(F.col(name).cast("string").alias(name), text)
+    (rows.repartition(name) if single else rows).write.partitionBy(name).text(path)

@@ -19,6 +19,15 @@ def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return spark.read.text(path).select(file_name().alias("file"), "value")
 
 
+def read_folders(spark: SparkSession, path: str, name: str = "file") -> DataFrame:
+    """``(name, value)``: the lines of files that ``write_folders`` wrote, with the name of their folder.
+
+    The name is text as it was written. A condition on it chooses folders before any file is read.
+    """
+    lines = spark.read.schema(f"value string, `{name}` string").text(path)
+    return lines.select(name, "value")
+
+
 def read_key_values(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """``(key, value)``: lines cut at the first tab; without one the value is empty."""
     parts = F.split("value", "\t", 2)
@@ -55,13 +64,17 @@ def read_adjacency(spark: SparkSession, path: str | list[str], ranked: bool = Tr
     return lines.select(page.alias("page"), rank.alias("rank"), links.alias("links"))
 
 
-def read_cells(spark: SparkSession, path: str | list[str], file: str | None = None) -> DataFrame:
+def read_cells(spark: SparkSession, path: str | list[str], file: str | None = None, folder: str | None = None) -> DataFrame:
     """``(row, col, val)`` from lines ``row,col,val`` with commas or tabs.
 
     ``file`` keeps only the cells of the files of that base name, for a folder
-    that holds several matrices.
+    that holds several matrices; ``folder`` those of the matrix that ``write_folders``
+    wrote under that name.
     """
-    lines = read_lines(spark, path)
+    if folder is not None:
+        lines = read_folders(spark, path).where(F.col("file") == folder)
+    else:
+        lines = read_lines(spark, path)
     if file is not None:
         lines = lines.where(F.col("file") == file)
     parts = F.split("value", CELL_SEPARATOR)

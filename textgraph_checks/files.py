@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from textgraph_checks import graph, search, words
 from textgraph_checks.tables import table
 from textgraph import (
+    file_name,
     pack_key,
     prepare_graph,
     read_adjacency,
@@ -19,6 +20,7 @@ from textgraph import (
     read_tagged,
     read_terms,
     unpack_key,
+    write_folders,
     write_table,
     write_tsv,
 )
@@ -68,6 +70,28 @@ def cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_cells(spark, [commas, tabs])
 
 
+def cells_by_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two matrices written to folders of one path, of which one is read."""
+    path = scratch_path(spark)
+    fields = ["l_suppkey", "l_partkey", "l_quantity"]
+    sales = table(spark, sf_dir, "lineitem").select(*[F.col(c).cast("string").alias(c) for c in fields])
+    m1 = F.struct(F.lit("m1").alias("file"), F.concat_ws(",", *fields).alias("line"))
+    m2 = F.struct(F.lit("m2").alias("file"), F.concat_ws("\t", *reversed(fields)).alias("line"))
+    write_folders(sales.select(F.inline(F.array(m1, m2))), path, "file", "line", single=False)
+    return read_cells(spark, path, folder="m1")
+
+
+def file_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as a file each: its lines, its files by base name, and whether names are those that Spark reads from."""
+    path = scratch_path(spark)
+    write_folders(table(spark, sf_dir, "documents"), path, "doc_id", "text")
+    base = F.element_at(F.split(F.input_file_name(), "/"), -1)
+    lines = spark.read.schema("value string, doc_id string").text(path).select("doc_id", file_name().alias("file"), base.alias("base"))
+    return lines.groupBy("doc_id").agg(
+        F.count("*").alias("lines"), F.count_distinct("file").alias("files"), F.bool_and(F.col("file") == F.col("base")).alias("named")
+    )
+
+
 def terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark)
     table(spark, sf_dir, "documents").select("source").write.text(path)
@@ -108,6 +132,8 @@ QUERIES = {
     "src_adjacency": adjacency,
     "src_adjacency_raw": raw_adjacency,
     "src_cells": cells,
+    "src_cells_by_file": cells_by_file,
+    "src_file_names": file_names,
     "src_terms": terms,
     "src_id_list": id_list,
     "sink_tsv": tsv,
@@ -126,6 +152,10 @@ UNION ALL SELECT 'benchmark', unnest(string_split(text, chr(10))) FROM benchmark
 SELECT page, 1.0::DOUBLE AS rank, array_to_string(links, ' ') AS links FROM lines""",
     "src_adjacency_raw": f"WITH {graph.LINES} SELECT page, array_to_string(links, ' ') AS links FROM lines",
     "src_cells": f"{CELLS} UNION ALL {CELLS}",
+    "src_cells_by_file": CELLS,
+    "src_file_names": """
+SELECT doc_id::VARCHAR AS doc_id, len(string_split(coalesce(text, ''), chr(10))) AS lines, 1::BIGINT AS files, true AS named
+FROM documents""",
     "src_terms": "SELECT DISTINCT source AS word FROM documents",
     "src_id_list": """
 SELECT c_custkey::VARCHAR AS item FROM (

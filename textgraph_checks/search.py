@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textgraph_checks.tables import QUERY_WORDS, RARE_WORDS, STOP, quoted, stop_words, texts
-from textgraph import doc_freq, l2_normalize, nan_to_null, relevance, search_documents, tf_idf
+from textgraph_checks.tables import QUERY_WORDS, RARE_WORDS, STOP, quoted, stop_words, table, texts
+from textgraph import doc_freq, l2_normalize, nan_to_null, read_folders, relevance, search_documents, tf_idf, write_folders
 from textgraph.plans.search import document_terms
-from textgraph.scratch import cut_lineage
+from textgraph.scratch import cut_lineage, scratch_path
 from textgraph.sources import terms_of
 
 
@@ -46,6 +46,15 @@ def normalized(spark: SparkSession, sf_dir: str) -> DataFrame:
     return l2_normalize(cut_lineage(weighed(spark, sf_dir)))
 
 
+def top3_of_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The search over documents that are a file each; ids are the names of their folders."""
+    path = scratch_path(spark)
+    write_folders(table(spark, sf_dir, "documents"), path, "doc_id", "text")
+    files = read_folders(spark, path, "doc_id")
+    found = search_documents(files, terms_of(spark, QUERY_WORDS), stop_words(spark), text="value", digits=9)
+    return rounded(found, "relevance")
+
+
 QUERIES = {
     "term_freq": terms,
     "doc_freq": lambda spark, sf: doc_freq(terms(spark, sf)),
@@ -57,6 +66,7 @@ QUERIES = {
     ),
     "search_top3": top3,
     "search_padded": padded,
+    "search_files": top3_of_files,
 }
 
 
@@ -73,13 +83,13 @@ weights AS (SELECT doc_id, tf.word AS word, (1 + ln(tf)) * ln({n} / df) AS tf_id
             FROM tf JOIN freq ON tf.word = freq.word)"""
 
 
-def scores(n: str, words: list[str]) -> str:
+def scores(n: str, words: list[str], doc: str = "doc_id") -> str:
     return f"""{weights(n)},
 lengths AS (SELECT doc_id, sqrt(sum(tf_idf * tf_idf)) AS len FROM weights GROUP BY doc_id),
 norms AS (SELECT w.doc_id AS doc_id, word, CASE WHEN len > 0 THEN tf_idf / len END AS norm
           FROM weights w JOIN lengths l ON w.doc_id = l.doc_id),
 scores AS (SELECT doc_id, sum(norm) AS relevance FROM norms WHERE word IN ({quoted(words)}) GROUP BY doc_id),
-ranked AS (SELECT row_number() OVER (ORDER BY round(relevance, 9) DESC, doc_id) AS rank, doc_id, relevance
+ranked AS (SELECT row_number() OVER (ORDER BY round(relevance, 9) DESC, {doc}) AS rank, {doc} AS doc_id, relevance
            FROM scores WHERE relevance > 0)"""
 
 
@@ -92,6 +102,8 @@ SQL = {
     "l2_normalized": f"WITH {scores(ALL, QUERY_WORDS)} SELECT doc_id, word, round(norm, 6) AS norm FROM norms",
     "relevance": f"WITH {scores(ALL, QUERY_WORDS)} SELECT doc_id, round(relevance, 6) AS relevance FROM scores",
     "search_top3": f"""WITH {scores(ALL, QUERY_WORDS)}
+SELECT rank, doc_id, round(relevance, 6) AS relevance FROM ranked WHERE rank <= 3""",
+    "search_files": f"""WITH {scores(ALL, QUERY_WORDS, "doc_id::VARCHAR")}
 SELECT rank, doc_id, round(relevance, 6) AS relevance FROM ranked WHERE rank <= 3""",
     "search_padded": f"""WITH {scores(ALL, RARE_WORDS)}
 SELECT slot AS rank, coalesce(doc_id::VARCHAR, '') AS doc_id, coalesce(round(relevance, 6), 0.0::DOUBLE) AS relevance

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textgraph_checks.tables import STOP, stop_words, texts
-from textgraph import common_words, count_words, tokenize_words
+from textgraph import common_words, count_words, order_report, tokenize_words
 
 
 def word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -49,15 +49,21 @@ QUERIES = {
     "word_count_sorted": word_count_sorted,
     "common_words": common,
     "common_words_intersect": common_intersect,
+    "word_count_order": lambda spark, sf: order_report(word_count_sorted(spark, sf), {"word": False}),
+    "common_words_order": lambda spark, sf: order_report(common(spark, sf), {"cnt": True, "word": False}),
 }
-SQL = {
-    "word_count": DELIMITED,
-    "word_count_sorted": DELIMITED,
-    "common_words": f"""
+COMMON = f"""
 WITH a AS (SELECT word, count(*) AS n FROM ({words_of("documents")}) GROUP BY word),
      b AS (SELECT word, count(*) AS n FROM ({words_of("benchmark")}) GROUP BY word)
 SELECT least(a.n, b.n) AS cnt, a.word AS word FROM a JOIN b ON a.word = b.word WHERE a.word NOT IN ({STOP})
-""",
+"""
+IN_ORDER = "SELECT count(*) AS rows, 0::BIGINT AS out_of_order FROM"
+SQL = {
+    "word_count": DELIMITED,
+    "word_count_sorted": DELIMITED,
+    "common_words": COMMON,
+    "word_count_order": f"{IN_ORDER} ({DELIMITED})",
+    "common_words_order": f"{IN_ORDER} ({COMMON})",
     "common_words_intersect": f"""
 SELECT word, count(*) AS cnt FROM (({words_of("documents")}) INTERSECT ALL ({words_of("benchmark")})) GROUP BY word
 """,
