@@ -53,3 +53,29 @@ def test_run_gives_the_last_stage(spark):
     rows = corpus_pipeline.run(spark, SF)
     assert rows.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
     assert rows.count() == rows.select("doc_id").distinct().count() > 0
+
+
+CLASHES = [
+    "score", "evidence", "passages", "_id", "alone", "_th", "_row", "_kept", "class", "path", "_key", "_piece", "own", "whole", "block", "slot",
+    "place", "number", "release", "deadline", "source_key", "words", "n", "a.b",
+]
+
+
+@pytest.mark.parametrize("name", [name for name, _ in corpus_pipeline.STAGES])
+def test_stages_keep_columns_of_any_name(spark, name):
+    stage = dict(corpus_pipeline.STAGES)[name]
+    secret = 'password = "abcdef0123456789abcd" and more words than a few'
+    texts = [secret, None, "", "plain words here", "x" * 30_000]
+    rows = [(i, t, None, "s", str(len(t or "")), *[f"{c}{i}" for c in CLASHES]) for i, t in enumerate(texts)]
+    types = "doc_id bigint, text string, lang string, source string, n_chars string, " + ", ".join(f"`{c}` string" for c in CLASHES)
+    docs = spark.createDataFrame(rows, types)
+    out = stage(spark, docs, SF)
+    assert stage(spark, docs.limit(0), SF).count() == 0
+    if name == "bpe":
+        assert {r.doc_id for r in out.collect()} == {0, 1, 2, 3, 4}
+        return
+    assert out.columns == docs.columns
+    got = {r.doc_id: r for r in out.collect()}
+    assert got.keys() == {0, 1, 2, 3, 4} and all(got[i][c] == f"{c}{i}" for i in got for c in CLASHES)
+    if name == "secrets":
+        assert got[0].text != secret and got[0].n_chars == str(len(got[0].text)) and got[3].n_chars == "16" and got[1].text is None

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from textgraph.llm.components import components
 from textgraph.llm.hashing import U64, Empty, mix, shingle_sets
-from textgraph.llm.tables import map_blocks, table
+from textgraph.llm.tables import keeps_columns, map_blocks, table
 from textgraph.operators.terms import is_small
 from textgraph.scratch import cut_lineage
 
@@ -391,6 +391,7 @@ def representatives(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100)
     return first.unionByName(wordless)
 
 
+@keeps_columns
 def one_of_each(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each component of five-word shingle sets alike by 0.8 or more, one document, of least id.
 

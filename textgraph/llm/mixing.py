@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from textgraph.llm.tables import table
+from textgraph.llm.tables import keeps_columns, table
 
 BLOCK = 16
 PERIOD = 1024
@@ -141,6 +141,7 @@ def op8_mixing(spark, sf_dir: str) -> DataFrame:
     return mix(docs)
 
 
+@keeps_columns
 def in_mixed_order(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, all columns, in the order of their slots."""
     order = [F.col("slot").asc_nulls_last(), F.col("source"), F.col("block"), F.col("place")]

@@ -22,12 +22,13 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textgraph.llm.hashing import as_bytes, runs
-from textgraph.llm.tables import map_blocks, strings, table
+from textgraph.llm.tables import keeps_columns, map_blocks, strings, table
 
 KINDS = ("assign", "access", "hex", "novel")
 ASSIGN = r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -178,9 +179,8 @@ def redact(docs: DataFrame, mark: str = "[secret]") -> DataFrame:
         cols = {name: block.column(name) for name in block.schema.names}
         cols["text"] = pa.array(texts, pa.string())
         if "n_chars" in cols:
-            kept = cols["n_chars"].to_pylist()
-            sizes = [old if new is None else len(new) for new, old in zip(clean, kept, strict=True)]
-            cols["n_chars"] = pa.array(sizes, cols["n_chars"].type)
+            sizes = pa.array([None if new is None else len(new) for new in clean], pa.int64())
+            cols["n_chars"] = pc.coalesce(sizes.cast(cols["n_chars"].type), cols["n_chars"])
         return pa.record_batch(list(cols.values()), list(cols))
 
     return map_blocks(docs, work, docs.schema)
@@ -191,6 +191,7 @@ def op10_secrets(spark, sf_dir: str) -> DataFrame:
     return find_secrets(table(spark, sf_dir, "documents")).drop("found")
 
 
+@keeps_columns
 def redact_secrets(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, secrets in their texts replaced."""
     return redact(docs)

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textgraph.llm.hashing import FOLD, as_bytes, letter_spans, span_hashes
-from textgraph.llm.tables import fold, map_blocks, table
+from textgraph.llm.tables import fold, keeps_columns, map_blocks, table
 
 PREFIXES = (5, 7)
 PRIOR = 3.0
@@ -246,6 +246,7 @@ def op9_toxicity(spark, sf_dir: str) -> DataFrame:
     )
 
 
+@keeps_columns
 def drop_toxic(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that do not score ``THRESHOLD`` or more, all columns kept."""
     given = table(spark, sf_dir, "documents")
