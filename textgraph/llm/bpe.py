@@ -45,8 +45,8 @@ LONG = 64
 # An entry of a short word: the bits of its id, of its place, and the rank of a pair that has none.
 ID, PLACE, NONE = 0x1FFFF, 0x3F << 17, 0x1FFFF << 23
 BLOCK_BYTES = 2 << 20
-# At some 40 bytes a word with its ids, at most 20 MB.
-SHARED = 500_000
+# At some 40 bytes a word with its ids, at most 16 MB.
+SHARED = 400_000
 SHARED_BYTES = 40
 WORDS_PER_ROW = 5000
 
@@ -246,11 +246,11 @@ class Words:
 
 def coded_words(lists: pa.Array, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """``(offsets, ids, starts, data)`` of words given as lists of ids and as bytes."""
-    offsets = lists.offsets.to_numpy().astype(np.int64)
+    offsets = lists.offsets.to_numpy().astype(np.int32)
     ids = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int32)
-    starts = np.zeros(1, np.int64)
+    starts = np.zeros(1, np.int32)
     if len(texts):
-        starts = np.frombuffer(texts.buffers()[1], np.int32, len(texts) + 1, texts.offset * 4).astype(np.int64)
+        starts = np.frombuffer(texts.buffers()[1], np.int32, len(texts) + 1, texts.offset * 4)
     data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[starts[0] : starts[-1]]
     return offsets - offsets[0], ids, starts - starts[0], data
 
@@ -268,8 +268,8 @@ def encode_shared(words: DataFrame, codec: Codec) -> Words:
     rows = rows.select("texts", codec.encode_words(F.col("words")).alias("token_ids"))
     got = rows.withColumn("decoded", codec.decode_words(F.col("token_ids"))).toArrow().combine_chunks()
     if not got.num_rows:
-        none = np.zeros(0, np.int64)
-        return Words(pa.array([], pa.string()), np.zeros(1, np.int64), none.astype(np.int32), np.zeros(1, np.int64), none.astype(np.uint8))
+        none, start = np.zeros(0, np.int32), np.zeros(1, np.int32)
+        return Words(pa.array([], pa.string()), start, none, start, none.astype(np.uint8))
     texts, lists, data = (got.column(c).combine_chunks().flatten() for c in ("texts", "token_ids", "decoded"))
     return Words(texts, *coded_words(lists, data))
 
@@ -291,12 +291,14 @@ def pack(docs: DataFrame, pattern: str, shared, size: int = BLOCK_BYTES) -> Data
             found = [split.findall(text) if text else [] for text in block.column("text").to_pylist()]
             sizes = np.array([len(x) for x in found], np.int32)
             coded = pa.array([p for x in found for p in x], pa.string()).dictionary_encode()
+            del found
             at = pc.index_in(coded.dictionary, value_set=known)
             own = pc.is_null(at)
             number = pc.fill_null(at, 0).to_numpy() + np.where(own, len(known) - 1 + np.cumsum(own), 0)
             codes = number[coded.indices.to_numpy()].astype(np.int32)
             words = one_list(byte_lists(coded.dictionary.filter(own)))
             yield pa.record_batch([one_list(block.column("doc_id")), pa.array([sizes.tobytes()]), pa.array([codes.tobytes()]), words], ["ids", "sizes", "codes", "words"])
+            pa.default_memory_pool().release_unused()
 
     return docs.select("doc_id", "text").mapInArrow(work, BLOCK.format(id=id_type))
 
@@ -304,7 +306,7 @@ def pack(docs: DataFrame, pattern: str, shared, size: int = BLOCK_BYTES) -> Data
 def take_lists(offsets: np.ndarray, values: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The lists that ``codes`` name, end to end, and the length of each."""
     sizes = np.diff(offsets)[codes]
-    ends = np.cumsum(sizes)
+    ends = np.cumsum(sizes, dtype=np.int64)
     at = np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(offsets[:-1][codes] - (ends - sizes), sizes)
     return values[at], sizes
 
@@ -335,6 +337,7 @@ def unpack(packed: DataFrame, shared) -> DataFrame:
                 of_tokens = pa.ListArray.from_arrays(pa.array(tokens_at, pa.int32()), pa.array(tokens, pa.int32()))
                 of_bytes = pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(bytes_at.astype(np.int32)), pa.py_buffer(raw)])
                 yield pa.record_batch([ids, of_tokens, of_bytes], ["doc_id", "tokens", "decoded"])
+                pa.default_memory_pool().release_unused()
 
     return packed.mapInArrow(work, f"doc_id {id_type}, tokens array<int>, decoded binary")
 
