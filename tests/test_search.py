@@ -162,14 +162,14 @@ def test_documents_without_words_count(spark, tmp_path):
         joined[d] = f"{joined.get(d, '')} {text or ''}"
     joined["signs"] = joined["none"] = ""
     _, norm = brute([*joined.items()], stop=("the",))
-    weights = tf_idf(document_terms(docs, terms_of(spark, ["the", ""]), marked=True), marked=True)
+    weights = tf_idf(document_terms(docs, terms_of(spark, ["the", "", " "]), marked=True), marked=True)
     assert as_dict(l2_normalize(weights), "norm") == pytest.approx(norm, nan_ok=True)
-    query = terms_of(spark, ["apple", "fig", "pear", ""])
+    query = terms_of(spark, ["apple", "fig", "pear", "", " "])
     want = {}
     for (d, w), v in norm.items():
         if w in ("apple", "fig", "pear"):
             want[d] = want.get(d, 0) + v
-    got = score_documents(docs, query, terms_of(spark, ["the", ""]))
+    got = score_documents(docs, query, terms_of(spark, ["the", "", " "]))
     assert {r["doc_id"]: r["relevance"] for r in got.collect()} == pytest.approx(want, nan_ok=True)
 
 

@@ -13,7 +13,7 @@ DELIMITERS = r"[ .!?;\[\],'\r\n\f]+"
 # ASCII included, is a cut point.
 NON_WORD = r"\W+"
 # Stands for its document in a table of marked words.
-MARK = ""
+MARK = " "
 
 
 def tokenize_delims(df: DataFrame, text: str, *keep: str) -> DataFrame:
@@ -29,13 +29,13 @@ def tokenize_delims(df: DataFrame, text: str, *keep: str) -> DataFrame:
 def tokenize_words(df: DataFrame, text: str, *keep: str, marked: bool = False) -> DataFrame:
     """One row ``(*keep, word)`` per run of ASCII word characters, lower-cased.
 
-    ``marked`` adds a row with the empty word ``MARK``, which no text holds, for each row of
+    ``marked`` adds a row with the word ``MARK``, which no text holds, for each row of
     ``df``, so that those without a word, or with a null text, can still be counted.
     """
-    words = F.filter(F.split(F.lower(F.col(text)), NON_WORD), lambda word: word != "")
+    words = F.split(F.lower(F.col(text)), NON_WORD)
     if marked:
         words = F.concat(F.array(F.lit(MARK)), F.coalesce(words, F.array().cast("array<string>")))
-    return df.select(*keep, F.explode(words).alias("word"))
+    return df.select(*keep, F.explode(words).alias("word")).where(F.col("word") != "")
 
 
 def pack_key(df: DataFrame, sep: str, cols: list[str], name: str = "key") -> DataFrame:

@@ -17,7 +17,7 @@ from textgraph.operators.weights import (
 
 
 def without_mark(terms: DataFrame) -> DataFrame:
-    """A term list less the empty line, which is no word of any text."""
+    """A term list less a line that is ``MARK``, which is no word of any text."""
     return terms.where(F.col(terms.columns[0]) != MARK)
 
 
