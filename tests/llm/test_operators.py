@@ -57,14 +57,36 @@ def test_similar_sets_share_a_signature(num, n):
             a = np.unique(rng.integers(0, 1 << 60, size, dtype=np.uint64))
             b = np.unique(np.concatenate([rng.permutation(a)[rng.integers(0, size // 8 + 1) :], rng.integers(0, 1 << 60, rng.integers(0, size // 8 + 1), dtype=np.uint64)]))
             shared = len(np.intersect1d(a, b))
-            if len(b) and shared * 100 >= num * (len(a) + len(b) - shared):
+            if len(b) and shared * 100 >= num * (len(a) + len(b) - shared) and not np.array_equal(a, b):
                 sig, row = jaccard.signatures(np.concatenate([a, b]), np.array([0, len(a), len(a) + len(b)]), num, 100)
                 assert {*sig[row == 0].tolist()} & {*sig[row == 1].tolist()}
                 most = (100 - num) * (len(a) + len(b)) // (100 + num)
                 assert jaccard.sketch_distance(jaccard.parity_sketch(a), jaccard.parity_sketch(b)) <= most
 
 
-def test_jaccard_components_with_a_crowd(spark, docs):
+def test_small_sets_share_a_signature_with_those_one_shingle_larger():
+    rng = np.random.default_rng(11)
+    for size in range(4, 24):
+        for _ in range(200):
+            b = np.unique(rng.integers(0, 1 << 60, size + 1, dtype=np.uint64))
+            a = np.delete(b, rng.integers(0, len(b)))
+            if 100 * len(a) >= 80 * len(b):
+                sig, row = jaccard.signatures(np.concatenate([a, b]), np.array([0, len(a), len(a) + len(b)]), 80, 100)
+                assert {*sig[row == 0].tolist()} & {*sig[row == 1].tolist()}
+
+
+def test_sets_that_may_not_differ_are_no_candidates(spark):
+    assert len(jaccard.signatures(np.arange(1, 4, dtype=np.uint64), np.array([0, 1, 2, 3]), 80, 100)[0]) == 0
+    short = spark.range(20_000).select(F.col("id").alias("doc_id"), F.concat_ws(" ", F.lit("a"), F.lit("b"), "id").alias("text"))
+    assert jaccard.candidates(jaccard.sign(short, 3, 90, 100, 256)).isEmpty()
+    # Texts of four shingles each: some have all of them in one part.
+    few = spark.range(4_000).select(F.col("id").alias("doc_id"), F.expr("array_join(transform(sequence(1, 6), i -> concat(id, '-', i)), ' ')").alias("text"))
+    assert jaccard.candidates(jaccard.sign(few, 3, 80, 100, 256)).isEmpty()
+
+
+@pytest.mark.parametrize("block", [1024, 7])
+def test_jaccard_components_with_a_crowd(spark, docs, block, monkeypatch):
+    monkeypatch.setattr(jaccard, "CROWD_BLOCK", block)
     base = [f"v{i}" for i in range(120)]
     rows = [(100 + i, " ".join([*base[: i % 100], f"x{i}", *base[i % 100 + 1 :]])) for i in range(60)]
     both = docs.select("doc_id", "text").unionByName(spark.createDataFrame(rows, "doc_id bigint, text string"))

@@ -5,7 +5,10 @@ two similar ones are in one band or in neighbouring ones. In a band, two sets th
 reach the threshold differ in at most k shingles. Shingles are dealt by hash to n1
 partitions of n2 parts each; if n1 > k / (k2 + 1), some partition has at most k2
 differences, so the sets agree on some ``n2 - k2`` of its parts. Each such choice
-of parts is a signature, and similar sets share one.
+of parts is a signature, and similar sets share one. Where all chosen parts are empty,
+which says next to nothing, the signatures are the shingles of the partition, whole and
+without any one of them: with one difference, one of both sets is the other without a
+shingle. Bands in which similar sets are equal have no signatures, as equal sets are one class.
 
 Texts with equal sets are one class, by a hash of the set. Classes that share a
 signature are candidates. A parity sketch, whose distance never exceeds the number
@@ -13,7 +16,7 @@ of differences, rules most out; the sets of the rest are counted out exactly.
 Where many classes share a signature, only the first is paired with each at once.
 After the links so found are joined to components, classes of that signature are
 paired only across components, and sketches are compared before a pair is a row. So close copies cost what they number, not its
-square, and no component is missed.
+square, and no component is missed. A large crowd is cut into blocks, and each pair of blocks is a group of its own.
 
 Defined results: a text with fewer words than n has one shingle, its whole sequence;
 one without words (or null) has none and is linked with nothing. A component's id
@@ -41,6 +44,7 @@ BLOCK_BYTES = 3 << 20
 CHARS_PER_BUCKET = 1 << 20
 LEAST_BUCKETS = 256
 CROWD = 32
+CROWD_BLOCK = 1024
 PARTS, SPARE = 4, 1
 LOW48 = U64((1 << 48) - 1)
 _edges = Empty()
@@ -73,19 +77,26 @@ def signatures(sets: np.ndarray, first: np.ndarray, num: int, den: int, n2: int
     # A set is the smaller of a pair in its own band, and the larger in the one below.
     for shift in (0, 1):
         rows = np.flatnonzero(band >= shift)
+        rows = rows[most[band[rows] - shift] > 0]
         if not len(rows):
             continue
         at = band[rows] - shift
         n1 = most[at] // (k2 + 1) + 1
         offset = np.cumsum(n1) - n1
-        member = np.concatenate([np.arange(first[r], first[r + 1]) for r in rows.tolist()]) if shift and len(rows) < len(sizes) else np.arange(len(sets))
+        member = np.concatenate([np.arange(first[r], first[r + 1]) for r in rows.tolist()]) if len(rows) < len(sizes) else np.arange(len(sets))
         of = np.repeat(np.arange(len(rows)), sizes[rows])
         x = sets[member]
         q = mix(x + U64(0x51ED270B9F0AF731))
         part = ((q >> U64(32)) * n1[of].astype(U64)) >> U64(32)
         inner = ((q & U64(0xFFFFFFFF)) * U64(n2)) >> U64(32)
+        group = offset[of] + part.astype(np.int64)
+        cell = group * n2 + inner.astype(np.int64)
+        x = mix(x)
         sums = np.zeros(int(n1.sum()) * n2, U64)
-        np.add.at(sums, ((offset[of].astype(U64) + part) * U64(n2) + inner).astype(np.int64), mix(x))
+        np.add.at(sums, cell, x)
+        held = np.zeros(len(sums), bool)
+        held[cell] = True
+        held, whole = held.reshape(-1, n2), sums.reshape(-1, n2).sum(axis=1, dtype=U64)
         sums = mix(sums).reshape(-1, n2)
         row = np.repeat(np.arange(len(rows)), n1)
         place = np.arange(len(row)) - offset[row]
@@ -94,8 +105,15 @@ def signatures(sets: np.ndarray, first: np.ndarray, num: int, den: int, n2: int
             total = base + U64(c)
             for j in chosen:
                 total = total + mix(sums[:, j] + U64(j + 1))
-            out.append(mix(total))
-            owner.append(rows[row])
+            said = held[:, chosen].any(axis=1) | (k2 != 1)
+            out.append(mix(total[said]))
+            owner.append(rows[row[said]])
+        if k2 == 1:
+            thin = held.sum(axis=1) <= 1
+            without = thin[group]
+            base = mix(base + U64(0xFF))
+            out += [mix(base[thin] + mix(whole[thin])), mix(base[group[without]] + mix(whole[group[without]] - x[without]))]
+            owner += [rows[row[thin]], rows[of[without]]]
     if not out:
         return np.zeros(0, U64), np.zeros(0, np.int64)
     return np.concatenate(out), np.concatenate(owner)
@@ -244,8 +262,10 @@ def folded(sketches: list[bytes], size: int) -> np.ndarray:
     return np.ascontiguousarray(rows).view(np.uint64)
 
 
-def close_pairs(label: np.ndarray, n: np.ndarray, sketches: list[bytes], num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
-    """The places of all pairs unlike in label whose sizes and sketches allow the threshold."""
+def close_pairs(
+    label: np.ndarray, n: np.ndarray, sketches: list[bytes], num: int, den: int, side: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray]:
+    """The places of all pairs unlike in label (and in side, if given) whose sizes and sketches allow the threshold."""
     wide = np.array([len(x) for x in sketches])
     left, right = [], []
     for small in np.unique(wide).tolist():
@@ -257,6 +277,8 @@ def close_pairs(label: np.ndarray, n: np.ndarray, sketches: list[bytes], num: in
             b[at] = folded([sketches[i] for i in rest[at]], small)
         for i, row in zip(ours.tolist(), a, strict=True):
             ok = (label[rest] != label[i]) & ((wide[rest] > small) | (rest > i))
+            if side is not None:
+                ok &= side[rest] != side[i]
             ok &= np.minimum(n[rest], n[i]) * den >= num * np.maximum(n[rest], n[i])
             at = np.flatnonzero(ok)
             near = np.bitwise_count(b[at] ^ row).sum(axis=1) <= (den - num) * (n[rest[at]] + n[i]) // (den + num)
@@ -270,16 +292,20 @@ def across(crowds: DataFrame, labels: DataFrame, classes: DataFrame, num: int, d
     sizes and sketches do not rule them out."""
     labelled = crowds.join(labels.withColumnRenamed("node", "a"), "a", "left").select("crowd", "a", F.coalesce("label", "a").alias("label"))
     # A crowd within one component has no pair left.
-    open_ = labelled.groupBy("crowd").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("crowd")
+    open_ = labelled.groupBy("crowd").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("size"))
+    open_ = open_.where("low <> high").select("crowd", F.ceil(F.col("size") / CROWD_BLOCK).alias("blocks"))
     known = classes.select(F.col("class").alias("a"), "n", "sketch")
 
     def work(group: pa.Table) -> pa.Table:
-        member, label, n = (group.column(c).to_numpy() for c in ("a", "label", "n"))
-        a, b = close_pairs(label, n, group.column("sketch").to_pylist(), num, den)
+        member, label, n, own, i, j = (group.column(c).to_numpy() for c in ("a", "label", "n", "own", "i", "j"))
+        a, b = close_pairs(label, n, group.column("sketch").to_pylist(), num, den, own if i[0] != j[0] else None)
         a, b = distinct_pairs(member[a], member[b])
         return pa.table([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
-    return labelled.join(open_, "crowd").join(known, "a").groupBy("crowd").applyInArrow(work, "a bigint, b bigint")
+    dealt = labelled.join(open_, "crowd").withColumn("own", F.pmod(F.xxhash64("a"), "blocks"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
+    dealt = dealt.select("crowd", "a", "label", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+    return dealt.join(known, "a").groupBy("crowd", "i", "j").applyInArrow(work, "a bigint, b bigint")
 
 
 def verify(pairs: DataFrame, classes: DataFrame, docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
