@@ -223,6 +223,35 @@ def test_a_template_that_rewrites_history_is_found():
     assert chat.unescape(span[start:stop]) == "b [x]" and not plain.rewrites
 
 
+def only_from_users(turns):
+    if turns and turns[0][0] != "user":
+        raise ValueError("a conversation begins with its user")
+    return chat.render(turns)
+
+
+@pytest.mark.parametrize(
+    ("template", "n", "rewritten"),
+    [
+        (lambda turns: "<s>" + "".join(f"{i} {r}: {t}\n" for i, (r, t) in enumerate(turns)), 300, None),
+        (lambda turns: "".join(f"{r}: {t}\n" for r, t in turns[-300:]), 400, 300),
+        (lambda turns: "\n".join(t for _, t in turns), 600, None),
+        (only_from_users, 255 * 2, None),
+        (chat.render, 700, None),
+    ],
+)
+def test_long_conversations_are_those_of_the_whole_template(spark, template, n, rewritten):
+    turns = [("user" if i % 2 == 0 else "assistant", f"said {i}") for i in range(n)]
+    for window in (256, 255):
+        got = chat.located(turns, template, window)
+        assert [r for *_, r in got] == [rewritten is not None and i >= rewritten for i in range(n)]
+        if rewritten is None:
+            assert "".join(output for output, *_ in got) == template(turns)
+            assert [output[a:b] for output, a, b, _ in got] == [t for _, t in turns]
+    rows = spark.createDataFrame([(2.5, i, *turn) for i, turn in enumerate(turns)], "conv_id double, turn int, role string, text string")
+    formatted = sorted(chat.format_turns(rows, template).collect(), key=lambda r: r.position)
+    assert [(r.formatted, r.text_start, r.text_end, r.rewrites) for r in formatted] == chat.located(turns, template)
+
+
 def test_mixing_keeps_to_the_weights(spark, docs):
     many = spark.range(4000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 == 0, "x").when(F.col("id") % 10 == 1, None).otherwise("y").alias("source"))
     rows = mixing.mix(many, block=5, period=64).toPandas()

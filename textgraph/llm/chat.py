@@ -8,9 +8,12 @@ begins where the two outputs part. Rendering a turn once more with a mark for it
 text shows where in the span the text stands. So the loss mask needs no knowledge
 of the template.
 
-Rows are sorted by conversation and turn and stream through a task, so a
-conversation of any length needs the memory of ``WINDOW`` turns. Prefixes are
-rendered within windows of so many turns; a window begins anew after that.
+Rows are sorted by conversation and turn. A template takes a conversation whole, so one
+must fit in the memory of a task. Every prefix is rendered from the first turn on. In a
+conversation of more than ``WINDOW`` turns that takes time by the square of its length, so
+there the turns are first rendered in windows of that many, and the spans joined so far
+are compared with the true prefix at the end of each window. Only where all are equal do
+the windows stand; else, or where the template refuses a window, prefixes are rendered one by one.
 
 Defined results: a null text or role is empty; equal turn numbers go by role, then
 text, nulls first; a null conversation id is a conversation of its own.
@@ -25,6 +28,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from textgraph.llm.tables import table
 
@@ -70,18 +74,15 @@ def read_back(formatted: str) -> Turns:
 
 
 class Spans:
-    """Locates the turns of one conversation as they come."""
+    """Locates the turns of one conversation as they come; ``before`` is output that is there already."""
 
-    def __init__(self, template: Callable[[Turns], str], window: int = WINDOW):
-        self.template, self.window = template, window
+    def __init__(self, template: Callable[[Turns], str], before: str = ""):
+        self.template, self.before = template, before
         self.turns: Turns = []
-        self.before = ""
         self.rewrites = False
 
     def add(self, role: str, text: str) -> tuple[str, int, int]:
         """The output that the turn adds, and where its text begins and ends in that."""
-        if len(self.turns) >= self.window:
-            self.turns, self.before = [], self.template([])
         self.turns.append((role, text))
         output = self.template(self.turns)
         shared = len(self.before)
@@ -102,10 +103,44 @@ class Spans:
         return span, start, max(start, stop)
 
 
-def each_turn(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[object, str, str]]:
+def in_windows(turns: Turns, template: Callable[[Turns], str], window: int) -> list[tuple[str, int, int, bool]] | None:
+    """As ``located``, from renderings of a window's turns alone; None where they do not make up
+    the prefix that ends with each window, rendered from the first turn on."""
+    found, joined = [], ""
+    for at in range(0, len(turns), window):
+        try:
+            spans = Spans(template, template([]) if at else "")
+            part = [spans.add(*turn) for turn in turns[at : at + window]]
+        except Exception:  # a template may refuse what does not begin as a conversation does
+            return None
+        joined += "".join(output for output, _, _ in part)
+        if spans.rewrites or template(turns[: at + window]) != joined:
+            return None
+        found += [(*span, False) for span in part]
+    return found
+
+
+def located(turns: Turns, template: Callable[[Turns], str], window: int = WINDOW) -> list[tuple[str, int, int, bool]]:
+    """By turn the output that it adds, where its text begins and ends in that, and whether history was rewritten so far."""
+    found = in_windows(turns, template, window) if len(turns) > window else None
+    if found is None:
+        spans = Spans(template)
+        found = [(*spans.add(*turn), spans.rewrites) for turn in turns]
+    return found
+
+
+def conversations(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[object, Turns]]:
+    """``(conv_id, turns)`` of rows in order."""
+    now, turns = None, []
     for batch in batches:
         for conv, role, text in zip(*(batch.column(c).to_pylist() for c in ("conv_id", "role", "text")), strict=True):
-            yield conv, role or "", text or ""
+            if turns and conv != now:
+                yield now, turns
+                turns = []
+            now = conv
+            turns.append((role or "", text or ""))
+    if turns:
+        yield now, turns
 
 
 def by_conversation(turns: DataFrame, partitions: int | None = None) -> DataFrame:
@@ -120,31 +155,28 @@ def format_turns(turns: DataFrame, template: Callable[[Turns], str] = render, wi
     """``(conv_id, position, role, formatted, text_start, text_end, in_loss, rewrites)``: the
     output of each turn, and where its text stands in it. Assistant texts are in the loss."""
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows: list[tuple] = []
-        now, spans, position, size = None, None, 0, 0
-        for conv, role, text in each_turn(batches):
-            if spans is None or conv != now:
-                now, spans, position = conv, Spans(template, window), 0
-            output, start, stop = spans.add(role, text)
-            rows.append((conv, position, role, output, start, stop, role == "assistant", spans.rewrites))
-            position += 1
-            size += len(output)
-            if size > 1 << 20 or len(rows) >= 4096:
-                yield batch_of(rows)
-                rows, size = [], 0
-        if rows:
-            yield batch_of(rows)
-
+    id_type = turns.schema["conv_id"].dataType
+    kinds = [to_arrow_type(id_type), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.bool_(), pa.bool_()]
     names = ["conv_id", "position", "role", "formatted", "text_start", "text_end", "in_loss", "rewrites"]
-    kinds = [None, pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.bool_(), pa.bool_()]
-    id_type = turns.schema["conv_id"].dataType.simpleString()
-    kinds[0] = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[id_type]
 
     def batch_of(rows: list[tuple]) -> pa.RecordBatch:
         return pa.record_batch([pa.array(col, kind) for col, kind in zip(zip(*rows, strict=True), kinds, strict=True)], names)
 
-    schema = f"conv_id {id_type}, position bigint, role string, formatted string, text_start bigint, text_end bigint, in_loss boolean, rewrites boolean"
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows: list[tuple] = []
+        size = 0
+        for conv, said in conversations(batches):
+            for position, ((role, _), span) in enumerate(zip(said, located(said, template, window), strict=True)):
+                output, start, stop, rewrites = span
+                rows.append((conv, position, role, output, start, stop, role == "assistant", rewrites))
+                size += len(output)
+                if size > 1 << 20 or len(rows) >= 4096:
+                    yield batch_of(rows)
+                    rows, size = [], 0
+        if rows:
+            yield batch_of(rows)
+
+    schema = f"conv_id {id_type.simpleString()}, position bigint, role string, formatted string, text_start bigint, text_end bigint, in_loss boolean, rewrites boolean"
     return by_conversation(turns).mapInArrow(work, schema)
 
 
@@ -155,7 +187,7 @@ def digests(formatted: DataFrame) -> DataFrame:
     conversation in order, in one partition.
     """
     id_type = formatted.schema["conv_id"].dataType.simpleString()
-    kind = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[id_type]
+    kind = to_arrow_type(formatted.schema["conv_id"].dataType)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: list[list] = [[] for _ in range(7)]

@@ -289,23 +289,44 @@ def close_pairs(
 
 def across(crowds: DataFrame, labels: DataFrame, classes: DataFrame, num: int, den: int) -> DataFrame:
     """``(a, b)``: pairs of a crowd's members that lie in different components so far, and whose
-    sizes and sketches do not rule them out."""
-    labelled = crowds.join(labels.withColumnRenamed("node", "a"), "a", "left").select("crowd", "a", F.coalesce("label", "a").alias("label"))
-    # A crowd within one component has no pair left.
-    open_ = labelled.groupBy("crowd").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("size"))
-    open_ = open_.where("low <> high").select("crowd", F.ceil(F.col("size") / CROWD_BLOCK).alias("blocks"))
+    sizes and sketches do not rule them out.
+
+    Crowds of close copies have much the same members and so the same first one, by which they are
+    grouped: a member travels once with the names of its crowds, and a pair is found once.
+    """
+    members = crowds.groupBy(F.col("b").alias("first"), "a").agg(F.collect_set("crowd").alias("crowds"))
+    labelled = members.join(labels.withColumnRenamed("node", "a"), "a", "left").select("first", "a", "crowds", F.coalesce("label", "a").alias("label"))
+    # Crowds within one component have no pair left.
+    open_ = labelled.groupBy("first").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("size"))
+    open_ = open_.where("low <> high").select("first", F.ceil(F.col("size") / CROWD_BLOCK).alias("blocks"))
     known = classes.select(F.col("class").alias("a"), "n", "sketch")
 
     def work(group: pa.Table) -> pa.Table:
         member, label, n, own, i, j = (group.column(c).to_numpy() for c in ("a", "label", "n", "own", "i", "j"))
-        a, b = close_pairs(label, n, group.column("sketch").to_pylist(), num, den, own if i[0] != j[0] else None)
-        a, b = distinct_pairs(member[a], member[b])
+        side = own if i[0] != j[0] else None
+        sketches, names = group.column("sketch").to_pylist(), group.column("crowds").combine_chunks()
+        crowd, at = np.unique(names.flatten().to_numpy(), return_inverse=True)
+        at, row = at.reshape(-1), np.repeat(np.arange(len(member)), names.value_lengths().to_numpy())
+        order = np.argsort(at, kind="stable")
+        sizes = np.bincount(at, minlength=len(crowd))
+        # Whichever takes fewer comparisons: all members at once, or crowd by crowd.
+        if len(member) ** 2 <= (sizes**2).sum():
+            together = [np.arange(len(member))]
+        else:
+            together = np.split(row[order], np.cumsum(sizes)[:-1])
+        left, right = [], []
+        for who in together:
+            if len(np.unique(label[who])) > 1:
+                a, b = close_pairs(label[who], n[who], [sketches[k] for k in who.tolist()], num, den, None if side is None else side[who])
+                left.append(member[who[a]])
+                right.append(member[who[b]])
+        a, b = distinct_pairs(np.concatenate(left), np.concatenate(right)) if left else (member[:0], member[:0])
         return pa.table([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
-    dealt = labelled.join(open_, "crowd").withColumn("own", F.pmod(F.xxhash64("a"), "blocks"))
+    dealt = labelled.join(open_, "first").withColumn("own", F.pmod(F.xxhash64("a"), "blocks"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
-    dealt = dealt.select("crowd", "a", "label", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
-    return dealt.join(known, "a").groupBy("crowd", "i", "j").applyInArrow(work, "a bigint, b bigint")
+    dealt = dealt.select("first", "a", "crowds", "label", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+    return dealt.join(known, "a").groupBy("first", "i", "j").applyInArrow(work, "a bigint, b bigint")
 
 
 def verify(pairs: DataFrame, classes: DataFrame, docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
@@ -379,7 +400,7 @@ def similar(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) -> tuple
     found = cut_lineage(candidates(sign(docs, n, num, den, min(buckets, 1 << 16))))
     links = verify(found.where("a <> b").select("a", "b"), classes, docs, n, num, den)
     labels = components(links.select("a", "b"))
-    crowds = found.where("crowd IS NOT NULL").select("crowd", "a")
+    crowds = found.where("crowd IS NOT NULL").select("crowd", "a", "b")
     if not crowds.isEmpty():
         more = verify(across(crowds, labels, classes, num, den), classes, docs, n, num, den)
         links = links.unionByName(more).distinct()
