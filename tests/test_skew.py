@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import pytest
 from pyspark.sql import functions as F
 
 from textgraph import pagerank_step
 from textgraph.operators.cells import partial_products, sum_cells
-from textgraph.operators.skew import attach_totals, find_hot
+from textgraph.operators import skew
+from textgraph.operators.skew import attach_totals, cell_of, find_hot, find_hot_cells, product_sketch
 from textgraph.operators.terms import drop_terms, keep_terms
 
 LONG = "k" * 1200
@@ -31,6 +33,41 @@ def test_long_hot_inner_index(spark):
     assert len(got) == 25 * 20 and {r["val"] for r in got} == {6.0}
 
 
+def test_sketch_finds_the_hot_keys_of_exact_counts(spark, monkeypatch):
+    key = F.when(F.col("id") < 4000, "the").when(F.col("id") < 6000, "of").when(F.col("id") < 6400, None).otherwise(F.col("id").cast("string"))
+    left, right = spark.range(12_000).select(key.alias("k")), spark.range(3500, 9000).select(key.alias("k"))
+    counts = [{r.k: r["count"] for r in side.groupBy("k").count().collect()} for side in (left, right)]
+    products = {k: counts[0].get(k, 1) * counts[1].get(k, 1) for k in counts[0] | counts[1]}
+    cells = {r.k: r.cell for r in left.unionByName(right).select("k", cell_of("k").alias("cell")).distinct().collect()}
+    exact = {cells[k] for k, n in products.items() if n > 100_000}
+    sketch = product_sketch(left, right, "k")
+    assert {r.cell for r in find_hot_cells(sketch, 100_000).collect()} == exact and len(exact) == 3
+    assert find_hot_cells(sketch, 10**9) is None
+    assert sketch._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    # Few cells: keys share them, and a cell still holds all of each.
+    monkeypatch.setattr(skew, "SKETCH_CELLS", 64)
+    cells = {r.k: r.cell for r in left.unionByName(right).select("k", cell_of("k").alias("cell")).distinct().collect()}
+    got = {r.cell: r.products for r in product_sketch(left, right, "k").collect()}
+    assert len(got) <= 64 and all(got[cells[k]] >= n for k, n in products.items())
+    assert {cells[k] for k, n in products.items() if n > 100_000} <= {r.cell for r in find_hot_cells(product_sketch(left, right, "k"), 100_000).collect()}
+
+
+@pytest.mark.parametrize("cells", [1, 4, 1 << 20])
+def test_product_does_not_depend_on_the_sketch(spark, monkeypatch, cells):
+    monkeypatch.setattr(skew, "SKETCH_CELLS", cells)
+    a = spark.range(400).select((F.col("id") % 20).cast("string").alias("row"), (F.col("id") % 7 * (F.col("id") % 3)).cast("string").alias("col"), F.col("id").cast("double").alias("val")).dropDuplicates(["row", "col"])
+    b = a.select(F.col("col").alias("row"), F.col("row").alias("col"), "val")
+    items = spark.range(20).select(F.col("id").cast("string").alias("item"))
+    got = {(r.row, r.col): r.val for r in sum_cells(partial_products(a, b, items, hot_floor=5)).collect()}
+    cells_ = a.collect()
+    want: dict = {}
+    for x in cells_:
+        for y in cells_:
+            if x.col == y.col:
+                want[x.row, y.row] = want.get((x.row, y.row), 0) + x.val * y.val
+    assert got == want
+
+
 def test_long_list_and_one_hot_word(spark):
     word = F.when(F.col("id") % 10 != 0, "the").otherwise(F.col("id").cast("string"))
     tokens = spark.range(200).select(word.alias("word"))

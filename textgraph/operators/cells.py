@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textgraph.functions.numbers import ieee_divide
-from textgraph.operators.skew import HOT_FLOOR, attach_totals, every_piece, find_hot, key_hash, or_one, piece_of
+from textgraph.operators.skew import HOT_FLOOR, attach_totals, cell_of, every_piece, find_hot_cells, or_one, piece_of, product_sketch
 from textgraph.operators.terms import is_small, keep_terms
 
 # An inner index with fewer products than this is never hot.
@@ -71,22 +71,22 @@ def attach_row_sums(a: DataFrame, sums: DataFrame, hot_floor: int = HOT_FLOOR) -
 def partial_products(a: DataFrame, b: DataFrame, items: DataFrame, hot_floor: int = HOT_PRODUCTS, small: bool | None = None) -> DataFrame:
     """``(row, col, val, ..)``: one summand per inner index, for ``sum_cells``.
 
-    An inner index is hot by the number of its products. Its cells are cut into
-    a grid of pieces, in which those of ``a`` meet copies of those of ``b``.
+    An inner index is hot by the number of products in its counter of a sketch, which bounds
+    its own. Its cells are cut into a grid of pieces, in which those of ``a`` meet copies of those of ``b``.
     Columns of ``a`` beside its cells stay with their products.
     """
     left, right = factors(a, b, items, small)
     rest = [c for c in left.columns if c not in ("row", "k", "x")]
 
     on = ["k"]
-    hot = find_hot(_products(left, right), "k", "products", hot_floor)
+    hot = find_hot_cells(product_sketch(left, right, "k"), hot_floor)
     if hot is not None:
         # As many cuts on each side as make the pieces of both alike in size.
         even = F.ceil(F.sqrt(F.col("pieces") * F.col("xs") / F.col("ys"))).cast("bigint")
         a_pieces = F.least("pieces", "xs", F.greatest(even, F.lit(1).cast("bigint")))
-        grid = hot.withColumn("a", a_pieces).select("hash", "a", F.ceil(F.col("pieces") / F.col("a")).cast("bigint").alias("b"))
+        grid = hot.withColumn("a", a_pieces).select("cell", "a", F.ceil(F.col("pieces") / F.col("a")).cast("bigint").alias("b"))
         left, right = (
-            side.join(F.broadcast(grid), key_hash("k") == F.col("hash"), "left")
+            side.join(F.broadcast(grid), cell_of("k") == F.col("cell"), "left")
             .withColumn("a", or_one("a"))
             .withColumn("b", or_one("b"))
             for side in (left, right)
@@ -100,17 +100,6 @@ def partial_products(a: DataFrame, b: DataFrame, items: DataFrame, hot_floor: in
     return left.join(right, on).select("row", "col", (F.col("x") * F.col("y")).alias("val"), *rest)
 
 
-def _products(left: DataFrame, right: DataFrame) -> DataFrame:
-    """``(k, xs, ys, products)``: cells of both sides and their products by inner index.
-
-    An index that one side lacks counts once there: its cells are shuffled too.
-    """
-    xs = left.groupBy("k").agg(F.count("x").alias("xs"))
-    ys = right.groupBy("k").agg(F.count("y").alias("ys"))
-    counts = xs.join(ys, "k", "full").select("k", or_one("xs").alias("xs"), or_one("ys").alias("ys"))
-    return counts.withColumn("products", F.col("xs").cast("double") * F.col("ys"))
-
-
 def _partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 HOT_KEYS = 10_000
 HOT_FLOOR = 100_000
+SKETCH_CELLS = 1 << 20
 
 
 def key_hash(key: str) -> Column:
@@ -24,6 +25,39 @@ def key_hash(key: str) -> Column:
     return F.xxhash64(key)
 
 
+def cell_of(key: str) -> Column:
+    """The cell of a key in a sketch of ``SKETCH_CELLS`` counters."""
+    return F.pmod(key_hash(key), F.lit(SKETCH_CELLS))
+
+
+def product_sketch(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """``(cell, xs, ys, products)``: rows of both sides and an upper bound of their joined rows, by cell of the key.
+
+    Counters of a fixed number add up, so a task hands on at most ``SKETCH_CELLS`` rows, however
+    many keys there are, and one shuffle takes both sides. A cell holds at least the joined rows of
+    each of its keys, so none of a cell that is not hot is hot. It holds more by (rows of other keys
+    in the cell on one side) x (rows on the other), on average one part in ``SKETCH_CELLS`` of all rows of a side
+    for each row of the other. A side without rows of a cell counts as one: the other is shuffled too.
+    """
+    sides = [(left, 1, 0), (right, 0, 1)]
+    rows = [df.select(cell_of(key).alias("cell"), F.lit(x).cast("bigint").alias("x"), F.lit(y).cast("bigint").alias("y")) for df, x, y in sides]
+    counts = rows[0].unionByName(rows[1]).groupBy("cell").agg(F.sum("x").alias("xs"), F.sum("y").alias("ys"))
+    least = [F.greatest(F.col(c), F.lit(1).cast("bigint")).alias(c) for c in ("xs", "ys")]
+    return counts.select("cell", *least).withColumn("products", F.col("xs").cast("double") * F.col("ys"))
+
+
+def find_hot_cells(sketch: DataFrame, floor: int) -> DataFrame | None:
+    """``(cell, xs, ys, products, pieces)`` of the hot cells of ``product_sketch``, or None if there are none.
+
+    Each has more than one part in ``HOT_KEYS`` of all products, so there are fewer of them. Runs one aggregate.
+    """
+    size = sketch.agg(F.sum("products").alias("total"), F.max("products").alias("most")).first()
+    bar = max(float(floor), (size["total"] or 0) / HOT_KEYS)
+    if (size["most"] or 0) <= bar:
+        return None
+    return sketch.where(F.col("products") > bar).withColumn("pieces", F.ceil(F.col("products") / F.lit(bar)).cast("bigint"))
+
+
 def find_hot(counts: DataFrame, key: str, n: str, floor: int = HOT_FLOOR) -> DataFrame | None:
     """``(hash, pieces)`` and the columns of ``counts`` but the key for its hot rows, or None if there are none.
 
