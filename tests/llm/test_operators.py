@@ -252,41 +252,84 @@ def test_long_conversations_are_those_of_the_whole_template(spark, template, n,
     assert [(r.formatted, r.text_start, r.text_end, r.rewrites) for r in formatted] == chat.located(turns, template)
 
 
+def laid_out(rows, shares, block, upto):
+    """Asserts that all slots are taken once, in their windows and by less than one block off, to the last row of any source."""
+    whole = sum(shares.values())
+    blocks = rows.drop_duplicates(["source_key", "block"])
+    assert blocks["slot"].nunique() == len(blocks) and {*range(upto)} <= {*blocks["slot"]}
+    for key, part in blocks.groupby("source_key"):
+        part, own = part.sort_values("block"), shares[key]
+        assert part["block"].tolist() == list(range(1, len(part) + 1)) and part["slot"].is_monotonic_increasing
+        for j, slot, release, deadline in zip(part["block"].tolist(), part["slot"].tolist(), part["release"].tolist(), part["deadline"].tolist(), strict=True):
+            assert (release, deadline) == ((j - 1) * whole // own, -(-j * whole // own)) and release <= slot < deadline
+            # Just before and after its slot.
+            assert abs((j - 1) * whole - own * slot) < whole and abs(j * whole - own * (slot + 1)) < whole
+    sizes = rows.groupby(["source_key", "block"]).size()
+    assert sizes.max() <= block
+
+
+def keyed(rows):
+    return rows.assign(source_key=["null" if s is None else f"={s}" for s in rows["source"]])
+
+
 def test_mixing_keeps_to_the_weights(spark, docs):
     many = spark.range(4000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 == 0, "x").when(F.col("id") % 10 == 1, None).otherwise("y").alias("source"))
-    rows = mixing.mix(many, block=5, period=64).toPandas()
-    assert len(rows) == 4000 and (rows["slot"] >= rows["release"]).all() and (rows["slot"] < rows["deadline"]).all()
-    blocks = rows.drop_duplicates("slot")
-    assert len(blocks) == len(rows.fillna("-").drop_duplicates(["source", "block"]))
-    quota = {r.source_key: r.quota for r in mixing.quotas(mixing.flattened_weights(many), 64).collect()}
-    dry = blocks.fillna("-").groupby("source")["slot"].max().min()
-    for source, part in blocks[blocks["slot"] <= dry].fillna("-").groupby("source"):
-        share = quota["null" if source == "-" else f"={source}"] / sum(quota.values())
-        slots = np.sort(part["slot"].to_numpy())
-        n = np.arange(1, len(slots) + 1)
-        assert np.abs(n - share * (slots + 1)).max() < 1 and np.abs(n - 1 - share * slots).max() < 1
+    rows = keyed(mixing.mix(many, block=5, period=64).toPandas())
+    assert len(rows) == 4000 == rows["doc_id"].nunique()
+    shares = mixing.integer_shares({r.source_key: r.weight for r in mixing.flattened_weights(many).collect()})
+    laid_out(rows, shares, 5, int(rows.groupby("source_key")["slot"].max().min()))
     assert mixing.mix(docs.drop("score")).count() == docs.count()
     assert mixing.mix(docs.limit(0)).count() == 0
-    given = spark.createDataFrame([("=a", 3.0), ("=b", 1.0)], "source_key string, weight double")
-    assert mixing.mix(docs, given).where("slot IS NULL").count() == docs.where("source IS NULL").count()
+    given = spark.createDataFrame([("=a", 3.0), ("=b", 0.5), ("=b", 0.5), (None, 1.0), ("null", None), ("=c", -1.0)], "source_key string, weight double")
+    some = mixing.mix(docs, given)
+    assert some.where("slot IS NULL").count() == docs.where("source IS NULL").count() and some.count() == docs.count()
+    assert mixing.mix(docs, given.limit(0)).where("slot IS NULL AND release IS NULL").count() == docs.count()
+    names = ["row", "order", "id", "whole", "piece", "n", "before", "within", "source_key", "number", "own", "_key", "i"]
+    clashing = mixing.mix(docs.select("*", *[F.col("doc_id").alias(c) for c in names]))
+    assert clashing.columns == [*docs.columns, *names, *mixing.RESULT]
+    assert clashing.where("`within` <=> doc_id AND own <=> doc_id AND source_key <=> doc_id").count() == docs.count()
+    with pytest.raises(ValueError, match="slot"):
+        mixing.mix(docs.withColumn("slot", F.lit(1)))
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_mixing_takes_the_earliest_deadline(spark, seed):
+    rng = np.random.default_rng(seed)
+    given = {f"={i:02}": float(w) for i, w in enumerate([0.02, 90.0, *rng.integers(1, 60, 28)])}
+    shares = mixing.integer_shares(given)
+    whole, keys = sum(shares.values()), list(shares)
+    period = 2 + -(-whole // min(shares.values()))
+    slots = mixing.schedule(spark, shares, {k: 2 * period * s // whole + 1 for k, s in shares.items()}, 1).orderBy("slot").collect()
+    assert len(slots) >= 2 * period and [r.slot for r in slots] == list(range(len(slots)))
+    for first in range(0, len(slots) - period + 1, period):
+        part = slots[first : first + period]
+        last = dict.fromkeys(keys, 0)
+        for r in slots[: first + period]:
+            last[r.source_key] = r.block
+        done = {k: 0 for k in keys}
+        for r in slots[:first]:
+            done[r.source_key] = r.block
+        for r in part:
+            # Brute force: of the blocks of this period that are released, the one of the earliest deadline in it.
+            best = min(
+                (min(-(-(done[k] + 1) * whole // shares[k]), first + period), k) for k in keys if done[k] < last[k] and done[k] * whole // shares[k] <= r.slot
+            )
+            assert (r.source_key, r.block) == (best[1], done[best[1]] + 1)
+            done[r.source_key] += 1
 
 
 def test_mixing_keeps_to_given_weights_over_many_periods(spark):
     rng = np.random.default_rng(5)
     for n in (5, 1500):
-        given = dict(zip((f"=s{i}" for i in range(n)), [300.0, 0.0001, *rng.integers(1, 9, n - 2).astype(float).tolist()], strict=True))
+        given = dict(zip((f"=s{i}" for i in range(n)), [300.0, 0.0001 if n == 5 else 0.5, *rng.integers(1, 9, n - 2).astype(float).tolist()], strict=True))
         total = sum(given.values())
-        # No source runs dry in twelve periods.
+        # No source runs dry in 12,288 slots.
         sizes = {k: int(w / total * 12_288) + 3 for k, w in given.items()}
         docs = spark.createDataFrame([(k[1:], i) for k, size in sizes.items() for i in range(size)], "source string, doc_id bigint")
         weights = spark.createDataFrame(list(given.items()), "source_key string, weight double")
-        rows = mixing.mix(docs, weights, block=1).toPandas()
-        assert len(rows) == sum(sizes.values()) == rows["slot"].nunique()
-        assert sorted(rows["slot"])[:12_288] == list(range(12_288))
-        for source, part in rows.groupby("source"):
-            share, slots = given["=" + source] / total, np.sort(part["slot"].to_numpy())
-            done = np.arange(len(slots))
-            assert np.abs(done + 1 - share * (slots + 1)).max() < 2 and np.abs(done - share * slots).max() < 2
+        rows = keyed(mixing.mix(docs, weights, block=1).toPandas())
+        assert len(rows) == sum(sizes.values())
+        laid_out(rows, mixing.integer_shares(given), 1, 12_288)
 
 
 def test_secret_spans(spark, docs):
