@@ -56,6 +56,13 @@ def as_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[starts[0] : starts[-1]], starts - starts[0]
 
 
+def code_points(data: np.ndarray) -> np.ndarray:
+    """How many code points begin before each byte (n + 1 numbers): at each byte that does not continue one."""
+    points = np.zeros(len(data) + 1, np.int64)
+    np.cumsum((data & 0xC0) != 0x80, out=points[1:])
+    return points
+
+
 def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """A hash of the bytes of each span, by one running sum over all bytes."""
     sums = np.zeros(len(data) + 1, U64)

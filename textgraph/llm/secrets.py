@@ -27,7 +27,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textgraph.llm.hashing import as_bytes, runs
+from textgraph.llm.hashing import as_bytes, code_points, runs
 from textgraph.llm.tables import keeps_columns, map_blocks, strings, table
 
 KINDS = ("assign", "access", "hex", "novel")
@@ -72,9 +72,11 @@ def hex_runs(texts: pa.Array) -> list[list[tuple[int, int, int]]]:
     start, end = start[long], end[long]
     row = np.searchsorted(starts, start, side="right") - 1
     out: list[list[tuple[int, int, int]]] = [[] for _ in range(len(texts))]
-    for i, a, b in zip(row.tolist(), start.tolist(), end.tolist(), strict=True):
-        before = int(((data[starts[i] : a] & 0xC0) != 0x80).sum())
-        out[i].append((before, 2, before + b - a))
+    if len(start):
+        points = code_points(data)
+        before = points[start] - points[starts[row]]
+        for i, a, size in zip(row.tolist(), before.tolist(), (end - start).tolist(), strict=True):
+            out[i].append((a, 2, a + size))
     return out
 
 
@@ -97,9 +99,8 @@ def value_starts(part: str, sensitive: re.Pattern) -> list[int]:
     return sorted({0, *(len(body) - len(body[i:].lstrip("=")) for i in signs if i >= 0)})
 
 
-def novel_span(text: str, start: int, end: int, base: list[tuple[int, int, int]], sensitive: re.Pattern, compressor: zstandard.ZstdCompressor) -> tuple[int, int] | None:
-    """The longest novel value of a candidate that base spans do not cover."""
-    near = sorted((a, b) for a, _, b in base if a < end and start < b)
+def novel_span(text: str, start: int, end: int, near: list[tuple[int, int]], sensitive: re.Pattern, compressor: zstandard.ZstdCompressor) -> tuple[int, int] | None:
+    """The longest novel value of a candidate that base spans, of which ``near`` has those that meet it, do not cover."""
     for at in value_starts(text[start:end], sensitive):
         at += start
         if end - at < LEAST_CANDIDATE:
@@ -122,9 +123,16 @@ def scan(texts: pa.Array, values: list[str]) -> list[list[tuple[int, int, int]]]
     out = []
     for text, found in zip(values, hex_runs(texts), strict=True):
         found += base_matches(text, assign, access)
-        base = sorted(found)
+        base = sorted((a, b) for a, _, b in found)
+        near: list[tuple[int, int]] = []
+        read = 0
+        # Candidates rise and do not overlap, so one sweep over the base spans meets them all.
         for m in candidate.finditer(text):
-            span = novel_span(text, *m.span(), base, sensitive, compressor)
+            while read < len(base) and base[read][0] < m.end():
+                near.append(base[read])
+                read += 1
+            near = [x for x in near if x[1] > m.start()]
+            span = novel_span(text, *m.span(), near, sensitive, compressor)
             if span is not None:
                 found.append((span[0], 3, span[1]))
         out.append(sorted(found))

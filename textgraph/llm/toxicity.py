@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textgraph.llm.hashing import FOLD, as_bytes, letter_spans, span_hashes
+from textgraph.llm.hashing import FOLD, as_bytes, code_points, letter_spans, span_hashes
 from textgraph.llm.tables import fold, keeps_columns, map_blocks, table
 
 PREFIXES = (5, 7)
@@ -202,7 +202,7 @@ def score_rows(docs: DataFrame, model: ToxicModel, *keep: str) -> DataFrame:
         passages: list[list[dict]] = [[] for _ in range(block.num_rows)]
         rows = np.searchsorted(first, hits, side="right") - 1
         edges = np.flatnonzero(np.diff(rows, prepend=-1, append=block.num_rows))
-        data = as_bytes(text)[0] if len(hits) else None
+        points = code_points(as_bytes(text)[0]) if len(hits) else None
         for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
             row = int(rows[a])
             base, n = int(first[row]), int(first[row + 1] - first[row])
@@ -210,10 +210,8 @@ def score_rows(docs: DataFrame, model: ToxicModel, *keep: str) -> DataFrame:
                 excess = model.rate * total - np.log(K * n)
                 if excess > 0:
                     evidence[row] += excess
-                    # A code point begins at each byte that does not continue one.
-                    begin = (data[starts[row] : start[base + x]] & 0xC0) != 0x80
-                    inner = (data[start[base + x] : end[base + y]] & 0xC0) != 0x80
-                    passages[row].append({"start": int(begin.sum()), "end": int(begin.sum() + inner.sum()), "excess": float(excess)})
+                    begin, stop = points[[start[base + x], end[base + y]]] - points[starts[row]]
+                    passages[row].append({"start": int(begin), "end": int(stop), "excess": float(excess)})
         if np.isinf(model.shift):
             p = np.zeros(block.num_rows)
         else:
