@@ -3,8 +3,9 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
+import textgraph.operators.cells as cells_module
 from textgraph import cell_product, dedupe_cells, factored_product, fill_cells, ieee_divide, normalize_rows, recommend, sparse_matmul
-from textgraph.operators.cells import pair_up, product_row_sums
+from textgraph.operators.cells import pair_up, partial_products, product_row_sums
 from textgraph.sources import terms_of
 
 
@@ -149,3 +150,32 @@ def test_ieee_division(spark):
     spark.conf.set("spark.sql.ansi.enabled", "true")
     null = spark.sql("SELECT CAST(NULL AS DOUBLE) x, 1.0D y").select(ieee_divide(F.col("x"), F.col("y")).alias("q"))
     assert null.first()["q"] is None
+
+
+def wide(spark, n: int = 40):
+    """``n`` x ``n`` cells on each side with few products to a cell."""
+    rows = [(f"p{i}", f"k{i * 7 % n}", 1.0 + i) for i in range(n)] + [(f"p{i}", f"k{i * 3 % n}", 2.0) for i in range(n)]
+    cols = [(k, r, v) for r, k, v in rows]
+    return rows, cols, [f"p{i}" for i in range(n)]
+
+
+def test_many_products_are_dealt_before_they_are_added(spark, monkeypatch):
+    """No aggregate below the shuffle of products, which would only fill its memory; as many tasks as keep few in each."""
+    a, b, ids = wide(spark)
+    args = dedupe_cells(cells(spark, *a)), dedupe_cells(cells(spark, *b)), items(spark, *ids)
+    want = as_dict(cell_product(*args))
+    monkeypatch.setattr(cells_module, "TASK_PRODUCTS", 20)
+    got = cell_product(*args)
+    assert as_dict(got) == want == brute([(r, k, v) for (r, k), v in as_dict(args[0]).items()], [(k, c, v) for (k, c), v in as_dict(args[1]).items()], ids)[0]
+    assert partial_products(*args).rdd.getNumPartitions() > 4
+    text = plan(got)
+    assert "REPARTITION_BY_NUM" in text[: text.index("(x#")]
+
+
+def test_dense_products_are_added_before_the_shuffle(spark, monkeypatch):
+    monkeypatch.setattr(cells_module, "TASK_PRODUCTS", 5)
+    full = [(f"p{i}", f"k{k}", 1.0) for i in range(3) for k in range(40)]
+    args = cells(spark, *full), cells(spark, *[(k, r, v) for r, k, v in full]), items(spark, "p0", "p1", "p2")
+    text = plan(cell_product(*args))
+    assert "REPARTITION_BY_NUM" not in text[: text.index("(x#")]
+    assert set(as_dict(cell_product(*args)).values()) == {40.0}

@@ -12,11 +12,26 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textgraph.functions.numbers import ieee_divide
-from textgraph.operators.skew import HOT_FLOOR, attach_totals, cell_of, every_piece, find_hot_cells, or_one, piece_of, product_sketch
+from textgraph.operators.skew import (
+    HOT_FLOOR,
+    attach_totals,
+    cell_of,
+    every_piece,
+    expected_products,
+    find_hot_cells,
+    or_one,
+    piece_of,
+    product_sketch,
+    sketch_size,
+)
 from textgraph.operators.terms import is_small, keep_terms
 
 # An inner index with fewer products than this is never hot.
 HOT_PRODUCTS = 1_000_000
+# So many products a task makes and adds up; the cells of as many fit in its memory.
+TASK_PRODUCTS = 2_000_000
+# Below so many products to a possible cell, adding up before the shuffle would not make them fewer.
+FEW_PRODUCTS = 4
 
 
 def dedupe_cells(cells: DataFrame) -> DataFrame:
@@ -68,18 +83,36 @@ def attach_row_sums(a: DataFrame, sums: DataFrame, hot_floor: int = HOT_FLOOR) -
     return attach_totals(a, rows, "row", "cells", hot_floor).select(*a.columns, "row_sum")
 
 
-def partial_products(a: DataFrame, b: DataFrame, items: DataFrame, hot_floor: int = HOT_PRODUCTS, small: bool | None = None) -> DataFrame:
+def partial_products(
+    a: DataFrame,
+    b: DataFrame,
+    items: DataFrame,
+    hot_floor: int = HOT_PRODUCTS,
+    small: bool | None = None,
+    deal: bool = True,
+) -> DataFrame:
     """``(row, col, val, ..)``: one summand per inner index, for ``sum_cells``.
 
     An inner index is hot by the number of products in its counter of a sketch, which bounds
     its own. Its cells are cut into a grid of pieces, in which those of ``a`` meet copies of those of ``b``.
     Columns of ``a`` beside its cells stay with their products.
+
+    Where cells repeat little, an aggregate before the shuffle only fills its memory and spills. There
+    ``deal`` sends each product to the task of its cell, with as many tasks as keep
+    ``TASK_PRODUCTS`` in each, and the sum by cell needs no shuffle of its own.
     """
     left, right = factors(a, b, items, small)
     rest = [c for c in left.columns if c not in ("row", "k", "x")]
 
     on = ["k"]
-    hot = find_hot_cells(product_sketch(left, right, "k"), hot_floor)
+    sketch = product_sketch(left, right, "k")
+    size = sketch_size(sketch)
+    hot = find_hot_cells(sketch, hot_floor, size)
+    products = expected_products(size)
+    tasks = _partitions(left)
+    deal = deal and products > TASK_PRODUCTS and products < FEW_PRODUCTS * possible_cells(left, right)
+    if deal:
+        tasks = max(tasks, math.ceil(products / TASK_PRODUCTS))
     if hot is not None:
         # As many cuts on each side as make the pieces of both alike in size.
         even = F.ceil(F.sqrt(F.col("pieces") * F.col("xs") / F.col("ys"))).cast("bigint")
@@ -96,8 +129,15 @@ def partial_products(a: DataFrame, b: DataFrame, items: DataFrame, hot_floor: in
         on = ["k", "i", "j"]
     # Few bytes go in and many rows come out, so the number of tasks must not
     # follow the bytes, by which adaptive execution would merge partitions.
-    left = left.repartition(_partitions(left), *on)
-    return left.join(right, on).select("row", "col", (F.col("x") * F.col("y")).alias("val"), *rest)
+    left = left.repartition(tasks, *on)
+    summands = left.join(right, on).select("row", "col", (F.col("x") * F.col("y")).alias("val"), *rest)
+    return summands.repartition(tasks, "row", "col") if deal else summands
+
+
+def possible_cells(left: DataFrame, right: DataFrame) -> int:
+    """About how many cells (rows of ``left``) x (columns of ``right``) are. Runs two aggregates."""
+    counts = [df.agg(F.approx_count_distinct(c)).first()[0] for df, c in ((left, "row"), (right, "col"))]
+    return counts[0] * counts[1]
 
 
 def _partitions(df: DataFrame) -> int:
