@@ -179,3 +179,13 @@ def test_dense_products_are_added_before_the_shuffle(spark, monkeypatch):
     text = plan(cell_product(*args))
     assert "REPARTITION_BY_NUM" not in text[: text.index("(x#")]
     assert set(as_dict(cell_product(*args)).values()) == {40.0}
+
+
+def test_shares_shuffle_no_cell_where_rows_are_few(spark):
+    rows = [("a", "x", 1.0), ("a", "y", 3.0), (None, "x", 2.0), (None, "y", 2.0), ("z", "x", 0.0)]
+    table = spark.createDataFrame(rows, "row string, col string, val double")
+    got = normalize_rows(table)
+    assert "Exchange hashpartitioning" not in plan(got)
+    shares = as_dict(got)
+    assert math.isnan(shares.pop(("z", "x")))
+    assert shares == {("a", "x"): 0.25, ("a", "y"): 0.75, (None, "x"): 0.5, (None, "y"): 0.5}

@@ -25,6 +25,7 @@ from textgraph.operators.skew import (
     sketch_size,
 )
 from textgraph.operators.terms import is_small, keep_terms
+from textgraph.scratch import cut_lineage
 
 # An inner index with fewer products than this is never hot.
 HOT_PRODUCTS = 1_000_000
@@ -190,9 +191,16 @@ def pair_up(left: DataFrame, right: DataFrame) -> DataFrame:
 
 
 def normalize_rows(cells: DataFrame, hot_floor: int = HOT_FLOOR) -> DataFrame:
-    """Each value over the sum of its row; NaN in a row of zeros."""
-    sums = cells.groupBy("row").agg(F.sum("val").alias("row_sum"), F.count("val").alias("cells"))
+    """Each value over the sum of its row; NaN in a row of zeros.
+
+    The sums are written. Where they are few enough to broadcast, no cell is shuffled.
+    """
+    sums = cut_lineage(cells.groupBy("row").agg(F.sum("val").alias("row_sum"), F.count("val").alias("cells")))
     share = ieee_divide(F.col("val"), F.col("row_sum"))
+    if is_small(sums):
+        rows = F.broadcast(sums.select(F.col("row").alias("_row"), "row_sum"))
+        shares = cells.join(rows, F.col("row").eqNullSafe(F.col("_row")), "left")
+        return shares.select("row", "col", share.alias("val"))
     return attach_totals(cells, sums, "row", "cells", hot_floor).select("row", "col", share.alias("val"))
 
 
