@@ -189,3 +189,16 @@ def test_shares_shuffle_no_cell_where_rows_are_few(spark):
     shares = as_dict(got)
     assert math.isnan(shares.pop(("z", "x")))
     assert shares == {("a", "x"): 0.25, ("a", "y"): 0.75, (None, "x"): 0.5, (None, "y"): 0.5}
+
+
+def test_products_of_a_recommendation_are_dealt(spark, monkeypatch):
+    a, b, ids = wide(spark)
+    args = cells(spark, *a), cells(spark, *b), items(spark, *ids)
+    want = as_dict(recommend(*args))
+    monkeypatch.setattr(cells_module, "TASK_PRODUCTS", 20)
+    got = recommend(*args)
+    text = plan(got)
+    assert "REPARTITION_BY_NUM" in text[: text.index("(x#")]
+    assert as_dict(got) == pytest.approx(want)
+    # With zeros, which are shuffled by cell, the products are not dealt beforehand.
+    assert as_dict(recommend(*args, dense=True)) == pytest.approx(as_dict(normalize_rows(sparse_matmul(*args, dense=True))), nan_ok=True)

@@ -68,7 +68,8 @@ def recommend(m1: DataFrame, m2: DataFrame, items: DataFrame, dense: bool = Fals
     a, b = cut_lineage(dedupe_cells(m1)), cut_lineage(dedupe_cells(m2))
     small = is_small(items)
     sums = cut_lineage(product_row_sums(a, b, items, small))
-    summands = partial_products(attach_row_sums(a, sums), b, items, hot_floor, small)
+    # With zeros to come, the sum by cell shuffles them all.
+    summands = partial_products(attach_row_sums(a, sums), b, items, hot_floor, small, deal=not dense)
     if dense:
         summands = summands.unionByName(zeros_of(*key_sets(a, b), items, sums))
     return scale_cells(summands)
