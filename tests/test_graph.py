@@ -205,3 +205,26 @@ def test_lines_are_chosen_without_sorting_all_lists(spark, rows):
     got = dedupe_adjacency(graph)
     assert rows(got.selectExpr("coalesce(page, '-')", "cast(links AS string)")) == best
     assert "SortAggregate" not in final_plan(got) and "SortAggregate" not in final_plan(pagerank(graph.where("page IS NOT NULL"), 2))
+
+
+@pytest.mark.parametrize("floor", [100_000, 2])
+def test_links_are_shuffled_once_into_their_buckets(spark, monkeypatch, floor):
+    dealt = []
+    bucketed = TableScope.bucketed
+
+    def seen(scope, df, keys, buckets):
+        dealt.append(df.repartition(buckets, *keys)._jdf.queryExecution().executedPlan().toString())
+        return bucketed(scope, df, keys, buckets)
+
+    monkeypatch.setattr(TableScope, "bucketed", seen)
+    rows = [("a", "b"), ("a", "b"), ("a", "c"), ("a", "d"), ("b", "a"), ("c", "a")]
+    table = spark.createDataFrame(rows, "src string, dst string")
+    got = {r["page"]: r["rank"] for r in pagerank_links(table, 7, hot_floor=floor).collect()}
+    assert [text.count("Exchange hashpartitioning(src") for text in dealt] == [1]
+    ranks = dict.fromkeys("abcd", 1.0)
+    for _ in range(7):
+        sent = dict.fromkeys("abcd", 0.0)
+        for src, dst in rows:
+            sent[dst] += ranks[src] / sum(s == src for s, _ in rows)
+        ranks = {page: 0.85 * sent[page] + 0.15 / 3 for page in ranks}
+    assert got == pytest.approx(ranks)

@@ -63,9 +63,9 @@ def links_of(adj: DataFrame) -> DataFrame:
     return adj.select(F.col("page").alias("src"), F.explode("links").alias("dst"))
 
 
-def count_links(links: DataFrame) -> DataFrame:
-    """``(src, dst, cnt)``: each link once, with how often it stands."""
-    return links.groupBy("src", "dst").agg(F.count("*").alias("cnt"))
+def count_links(links: DataFrame, *keep: str) -> DataFrame:
+    """``(src, dst, *keep, cnt)``: each link once, with how often it stands. Columns to ``keep`` follow from the link."""
+    return links.groupBy("src", "dst", *keep).agg(F.count("*").alias("cnt"))
 
 
 def page_table(links: DataFrame, lines: DataFrame | None = None) -> DataFrame:

@@ -98,8 +98,10 @@ def _iterate(
     if iterations > STEPS_PER_PLAN or save_each is not None:
         # Several plans read the links: each once, in buckets that no plan shuffles.
         buckets = int(links.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        links = split_sources(count_links(links), hot)
-        links = scope.bucketed(links, ["src"] if hot is None else ["src", "piece"], buckets)
+        keys = ["src"] if hot is None else ["src", "piece"]
+        # Dealt once: equal links are counted in the bucket that they are written to.
+        links = split_sources(links, hot).repartition(buckets, *keys)
+        links = scope.bucketed(count_links(links, *keys[1:]), keys, buckets)
     else:
         links = split_sources(links, hot)
     last = None
