@@ -17,6 +17,7 @@ from textgraph import (
     rank_contributions,
 )
 from textgraph.operators.graph import hot_sources, split_sources
+from textgraph_checks.tables import spread
 
 
 def adj(spark, **lines):
@@ -228,3 +229,12 @@ def test_links_are_shuffled_once_into_their_buckets(spark, monkeypatch, floor):
             sent[dst] += ranks[src] / sum(s == src for s, _ in rows)
         ranks = {page: 0.85 * sent[page] + 0.15 / 3 for page in ranks}
     assert got == pytest.approx(ranks)
+
+
+def test_a_table_of_many_files_is_not_dealt_again(spark, tmp_path):
+    cores = spark.sparkContext.defaultParallelism
+    for files, exchanges in ((1, 1), (cores, 0)):
+        spark.range(100).repartition(files).write.parquet(f"{tmp_path}/{files}")
+        table = spread(spark.read.parquet(f"{tmp_path}/{files}"))
+        assert table._jdf.queryExecution().executedPlan().toString().count("Exchange") == exchanges
+        assert sorted(r["id"] for r in table.collect()) == list(range(100))
