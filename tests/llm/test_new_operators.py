@@ -8,6 +8,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -71,6 +72,23 @@ def test_a_long_text_and_none(spark):
     assert phrases.best(phrases.collocations(table(spark, []))).count() == 0
 
 
+def test_a_partial_stripe_is_ids_and_entries_alone(spark):
+    docs = table(spark, [(i, "a b c d", "en", "s") for i in range(8)])
+    sieve, none = np.full(phrases.SIEVE_BITS // 8, 255, np.uint8), np.zeros(0, np.uint64)
+    rows = phrases.partial_stripes(docs, 2, sieve, (none, none)).toPandas()
+    assert list(rows.columns) == ["prefix_id", "part", "stripe"] and {len(x) for x in rows["stripe"]} == {phrases.ENTRY.itemsize} == {12}
+
+
+def test_stripes_add_up_beyond_32_bits():
+    entry = np.array([(7, 2**32 - 1)], phrases.ENTRY)
+    batch = pa.record_batch([pa.array([5]), pa.array([0]), phrases.packed(entry, np.array([0, 1]))], ["prefix_id", "part", "stripe"])
+    held = None
+    for _ in range(3):
+        done, held = phrases.merged(batch, held, 30)
+        assert done.num_rows == 0
+    assert held[:2] == (5, 0) and held[2].tolist() == [7] and held[3].tolist() == [3 * (2**32 - 1)]
+
+
 def test_large_counts_do_not_overflow(spark):
     rows = spark.createDataFrame([(1 << 61, 1 << 62, 1 << 62)], "a bigint, l bigint, r bigint")
     score = f"cast(a AS decimal(20, 0)) * {phrases.SCALE} div (cast(l AS decimal(20, 0)) + r)"

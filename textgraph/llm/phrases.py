@@ -182,7 +182,9 @@ def hot_prefixes(frequent: DataFrame, words: int, floor: int) -> tuple[np.ndarra
     return ids[order], parts[order]
 
 
-PARTIAL = "prefix_id bigint, part bigint, lang string, prefix binary, next binary, many binary"
+# What a stripe holds for each next word; a block has fewer words than a count can tell.
+ENTRY = np.dtype([("next", "<u8"), ("many", "<u4")])
+PARTIAL = "prefix_id bigint, part bigint, stripe binary"
 
 
 def partial_stripes(docs: DataFrame, words: int, sieve: np.ndarray, hot: tuple[np.ndarray, np.ndarray]) -> DataFrame:
@@ -210,96 +212,103 @@ def partial_stripes(docs: DataFrame, words: int, sieve: np.ndarray, hot: tuple[n
         prefix = ids[at]
         following = np.where(on[at], h[np.minimum(at + words, n - 1)], U64(0))
         _, first, many = np.unique(longer(prefix, following), return_index=True, return_counts=True)
-        prefix, following, at = prefix[first], following[first], at[first]
+        prefix, following = prefix[first], following[first]
         part = np.zeros(len(prefix), U64)
         if len(hot_ids):
             where = np.minimum(np.searchsorted(hot_ids, prefix), len(hot_ids) - 1)
             cut = hot_ids[where] == prefix
             part[cut] = following[cut] % hot_parts[where[cut]]
         order = np.lexsort((part, prefix))
-        prefix, following, at, part, many = prefix[order], following[order], at[order], part[order], many[order]
+        prefix, part = prefix[order], part[order]
+        stripe = np.empty(len(prefix), ENTRY)
+        stripe["next"], stripe["many"] = following[order], many[order]
         new = np.flatnonzero(np.concatenate([np.ones(min(1, len(prefix)), bool), (prefix[1:] != prefix[:-1]) | (part[1:] != part[:-1])]))
-        offsets = np.append(new, len(prefix))
-        of_words = np.stack([h[at[new] + i] for i in range(words)], axis=1) if len(new) else np.zeros((0, words), U64)
-        cols = [
-            pa.array(prefix[new].view(np.int64)), pa.array(part[new].astype(np.int64)), langs.take(pa.array(lang[at[new]])).cast(pa.string()),
-            binaries(of_words), packed(following, offsets), packed(many.astype(np.int64), offsets),
-        ]
-        return pa.record_batch(cols, ["prefix_id", "part", "lang", "prefix", "next", "many"])
+        cols = [pa.array(prefix[new].view(np.int64)), pa.array(part[new].astype(np.int64)), packed(stripe, np.append(new, len(prefix)))]
+        return pa.record_batch(cols, ["prefix_id", "part", "stripe"])
 
     return map_blocks(docs.select("lang", "text"), work, PARTIAL, BLOCK_BYTES)
 
 
-def packed(values: np.ndarray, offsets: np.ndarray) -> pa.Array:
-    """Lists of 64-bit values as bytes."""
-    return pa.Array.from_buffers(pa.binary(), len(offsets) - 1, [None, pa.py_buffer((offsets * 8).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(values))])
+def packed(entries: np.ndarray, offsets: np.ndarray) -> pa.Array:
+    """Lists of entries as bytes."""
+    return pa.Array.from_buffers(pa.binary(), len(offsets) - 1, [None, pa.py_buffer((offsets * ENTRY.itemsize).astype(np.int32)), pa.py_buffer(entries.tobytes())])
 
 
-STRIPES = "lang string, prefix binary, total bigint, next array<binary>, f array<bigint>"
+def unpacked(lists: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The entries of all lists end to end, and the length of each list."""
+    lists = lists.cast(pa.large_binary())
+    starts = np.frombuffer(lists.buffers()[1], np.int64, len(lists) + 1, lists.offset * 8)
+    data = np.frombuffer(lists.buffers()[2] or b"", np.uint8)[starts[0] : starts[-1]]
+    return data.view(ENTRY), np.diff(starts) // ENTRY.itemsize
 
 
-def merge_stripes(partial: DataFrame, least: int) -> DataFrame:
+STRIPES = "prefix_id bigint, total bigint, next array<binary>, f array<bigint>"
+# A stripe in the making: its prefix and part, and its words with their counts so far.
+Open = tuple[int, int, np.ndarray, np.ndarray]
+
+
+def merge_stripes(partial: DataFrame, frequent: DataFrame, words: int, least: int) -> DataFrame:
     """``(lang, prefix, total, next, f)``: stripes merged by word, then less the words counted under ``least``.
 
     A prefix that was cut has a row for each part. Rows come sorted, so a task holds a batch
-    of them and the stripe that it ends in.
+    of them and the stripe that it ends in. They carry the id of their prefix alone: its language and words
+    come from the ``frequent`` phrases once it is merged, and one that passed the sieve wrongly has none.
     """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: pa.Table | None = None
+        held: Open | None = None
         for batch in batches:
             if not batch.num_rows:
                 continue
-            rows = pa.Table.from_batches([batch])
-            rows = rows if held is None else pa.concat_tables([held, rows])
-            done, held = merged(rows, least)
-            yield from done.to_batches()
+            done, held = merged(batch, held, least)
+            yield done
         if held is not None:
-            yield closed(held, least)
+            yield finished(np.array(held[:1]), np.zeros(len(held[2]), np.int64), held[2], held[3], least)
 
     key = ["prefix_id", "part"]
-    return partial.repartition(*key).sortWithinPartitions(*key).mapInArrow(work, STRIPES)
+    stripes = partial.repartition(*key).sortWithinPartitions(*key).mapInArrow(work, STRIPES)
+    return stripes.join(identified(frequent, words), "prefix_id").select("lang", "prefix", "total", "next", "f")
 
 
-def entries(rows: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """``(first, key, word, many)``: the first row of each stripe, and its merged entries with the number of the stripe."""
-    ids, part = rows.column("prefix_id").to_numpy(), rows.column("part").to_numpy()
-    new = np.concatenate([[True], (ids[1:] != ids[:-1]) | (part[1:] != part[:-1])])
-    nexts = rows.column("next").to_pylist()
-    word = np.frombuffer(b"".join(nexts), U64)
-    many = np.frombuffer(b"".join(rows.column("many").to_pylist()), np.int64)
-    key = np.repeat(np.cumsum(new) - 1, [len(x) // 8 for x in nexts])
-    order = np.lexsort((word, key))
-    key, word, many = key[order], word[order], many[order]
-    lead = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (word[1:] != word[:-1])]))
-    return np.flatnonzero(new), key[lead], word[lead], np.add.reduceat(many, lead)
+def identified(frequent: DataFrame, words: int) -> DataFrame:
+    """``(prefix_id, lang, prefix)`` of phrases of so many words."""
 
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = phrase_ids(batch.column("lang"), batch.column("key"), words)
+            yield pa.record_batch([pa.array(ids.view(np.int64)), batch.column("lang"), batch.column("key")], ["prefix_id", "lang", "prefix"])
 
-def merged(rows: pa.Table, least: int) -> tuple[pa.Table, pa.Table]:
-    """The finished stripes of ``rows``, and the last one, which may go on, as one row."""
-    first, key, word, many = entries(rows)
-    last = len(first) - 1
-    stay = key == last
-    open_ = rows.slice(int(first[-1]), 1)
-    for name, values in (("next", word[stay]), ("many", many[stay])):
-        open_ = open_.set_column(open_.column_names.index(name), name, pa.array([values.tobytes()], pa.binary()))
-    return pa.Table.from_batches([finished(rows, first[:-1], key[~stay], word[~stay], many[~stay], least)]), open_
+    return frequent.select("lang", "key").mapInArrow(work, "prefix_id bigint, lang string, prefix binary")
 
 
-def closed(rows: pa.Table, least: int) -> pa.RecordBatch:
-    return finished(rows, *entries(rows), least)
+def merged(batch: pa.RecordBatch, held: Open | None, least: int) -> tuple[pa.RecordBatch, Open]:
+    """The finished stripes of ``held`` and a batch, and the last one, which may go on."""
+    ids, part = batch.column("prefix_id").to_numpy(), batch.column("part").to_numpy()
+    stripe, sizes = unpacked(batch.column("stripe"))
+    word, many = stripe["next"].astype(U64), stripe["many"].astype(np.int64)
+    if held is not None:
+        ids, part = np.append(held[0], ids), np.append(held[1], part)
+        word, many, sizes = np.concatenate([held[2], word]), np.concatenate([held[3], many]), np.append(len(held[2]), sizes)
+    new = np.concatenate([[True], (ids[1:] != ids[:-1]) | (part[1:] != part[:-1])])
+    key = np.repeat(np.cumsum(new) - 1, sizes)
+    order = np.lexsort((word, key))
+    key, word, many = key[order], word[order], many[order]
+    lead = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (word[1:] != word[:-1])]))
+    key, word, many = key[lead], word[lead], np.add.reduceat(many, lead)
+    first = np.flatnonzero(new)
+    stay = key == len(first) - 1
+    open_ = int(ids[-1]), int(part[-1]), word[stay], many[stay]
+    return finished(ids[first[:-1]], key[~stay], word[~stay], many[~stay], least), open_
 
 
-def finished(rows: pa.Table, first: np.ndarray, key: np.ndarray, word: np.ndarray, many: np.ndarray, least: int) -> pa.RecordBatch:
-    total = np.zeros(len(first), np.int64)
+def finished(ids: np.ndarray, key: np.ndarray, word: np.ndarray, many: np.ndarray, least: int) -> pa.RecordBatch:
+    total = np.zeros(len(ids), np.int64)
     np.add.at(total, key, many)
     kept = (many >= least) & (word != 0)
     key, word, many = key[kept], word[kept], many[kept]
-    offsets = pa.array(np.searchsorted(key, np.arange(len(first) + 1)), pa.int32())
-    take = rows.select(["lang", "prefix"]).take(pa.array(first)).combine_chunks()
-    lang, prefix = (take.column(c).combine_chunks() if len(first) else pa.array([], t) for c, t in (("lang", pa.string()), ("prefix", pa.binary())))
-    cols = [lang, prefix, pa.array(total), pa.ListArray.from_arrays(offsets, binaries(word[:, None])), pa.ListArray.from_arrays(offsets, pa.array(many))]
-    return pa.record_batch(cols, ["lang", "prefix", "total", "next", "f"])
+    offsets = pa.array(np.searchsorted(key, np.arange(len(ids) + 1)), pa.int32())
+    cols = [pa.array(ids, pa.int64()), pa.array(total), pa.ListArray.from_arrays(offsets, binaries(word[:, None])), pa.ListArray.from_arrays(offsets, pa.array(many))]
+    return pa.record_batch(cols, ["prefix_id", "total", "next", "f"])
 
 
 def extensions(stripes: DataFrame) -> DataFrame:
@@ -337,7 +346,7 @@ def collocations(docs: DataFrame, longest: int = LONGEST, least: int = LEAST, co
         if size > 1 and not frequent.limit(1).count():
             break
         sieve, hot = sieve_of(frequent, size), hot_prefixes(frequent, size, hot_floor)
-        made.append(cut_lineage(merge_stripes(partial_stripes(docs, size, sieve, hot), least)))
+        made.append(cut_lineage(merge_stripes(partial_stripes(docs, size, sieve, hot), frequent, size, least)))
         frequent = extensions(made[-1])
     union = lambda frames: reduce(DataFrame.unionByName, frames)
     found, known = union([extensions(s) for s in made]), union([totals(s) for s in made])
