@@ -52,3 +52,8 @@ def test_one_matrix_of_several_is_read(spark, tmp_path, rows):
     cells = read_cells(spark, f"{tmp_path}/cells", folder="m1")
     assert rows(cells) == [("r", "c", 1.0), ("r", "d", 3.0)]
     assert "PartitionFilters: [isnotnull(file" in cells._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_folder_holds_one_file_and_nothing_beside_it(spark, tmp_path):
+    write_folders(spark.createDataFrame([("a", "x"), ("b", "y\nz"), ("c", None)], "doc string, text string"), f"{tmp_path}/docs", "doc", "text")
+    assert [len(list(f.iterdir())) for f in (tmp_path / "docs").glob("doc=*")] == [1, 1, 1]

@@ -29,6 +29,11 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+# A local folder gets no checksum file beside each file, which would be a second file with its own mode to set.
+# Other file systems are written to as ever.
+PLAIN_FILES = {"fs.file.impl": "org.apache.hadoop.fs.RawLocalFileSystem", "fs.file.impl.disable.cache": "true"}
+
+
 def write_folders(df: DataFrame, path: str, name: str, text: str, single: bool = True) -> None:
     """The text of each row as lines of a file in a folder ``<name>=<value>``.
 
@@ -36,4 +41,4 @@ def write_folders(df: DataFrame, path: str, name: str, text: str, single: bool =
     task that holds rows of it, which is the form where a name has many rows.
     """
     rows = df.select(F.col(name).cast("string").alias(name), text)
-    (rows.repartition(name) if single else rows).write.partitionBy(name).text(path)
+    (rows.repartition(name) if single else rows).write.options(**PLAIN_FILES).partitionBy(name).text(path)
