@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -25,6 +27,21 @@ def test_long_hot_key_is_cut(spark):
     assert all(r["n"] == (300 if r["key"] == LONG else 1) for r in got)
 
 
+def test_totals_meet_rows_by_one_number(spark):
+    key = F.when(F.col("id") % 7 > 0, F.concat(F.lit("w"), (F.col("id") % 7).cast("string")))
+    rows = spark.range(70).select("id", key.alias("key")).repartition(3)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = attach_totals(rows, rows.groupBy("key").agg(F.count("id").alias("n")), "key", "n", floor=4)
+        plan = joined._jdf.queryExecution().sparkPlan().toString()
+        got = joined.collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert len(got) == 70 and {r["n"] for r in got} == {10} and None in {r["key"] for r in got}
+    assert re.search(r"SortMergeJoin \[xxhash64\([^\]]*\)\], \[xxhash64\([^\]]*\)\]", plan)
+
+
 def test_long_hot_inner_index(spark):
     a = spark.range(30).select(F.col("id").cast("string").alias("row"), F.lit(LONG).alias("col"), F.lit(2.0).alias("val"))
     b = spark.range(20).select(F.lit(LONG).alias("row"), F.col("id").cast("string").alias("col"), F.lit(3.0).alias("val"))
