@@ -438,3 +438,16 @@ def test_learning_without_labels(spark, docs):
     assert toxicity.score_rows(docs, model, "doc_id").where("score <> 0").count() == 0
     got = quality.score_rows(docs, quality.fit(docs, none, F.lit(True)))
     assert got.where("score <> 0.5").count() == 0 and got.count() == docs.count()
+
+
+def test_hashes_of_a_block_take_one_array_of_its_bytes():
+    import tracemalloc
+
+    data, ends = np.full((1 << 20) + 9, 97, np.uint8), np.array([5, 9])
+    first = hashing.span_hashes(data, ends - 5, ends)
+    assert all(len(p) <= 1.2 * len(data) for p in (hashing.powers(hashing.PRIME, len(data)), hashing.powers(hashing.INVERSE, len(data))) if len(p) < 1 << 21)
+    tracemalloc.start()
+    again = hashing.span_hashes(data, ends - 5, ends)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert first.tolist() == again.tolist() and peak < 12 * len(data)

@@ -40,7 +40,9 @@ from textgraph.llm.tables import keeps_columns, map_blocks, table
 from textgraph.operators.terms import is_small
 from textgraph.scratch import cut_lineage
 
-BLOCK_BYTES = 3 << 20
+# Rows by themselves take small blocks; signatures of one block are a blob for each bucket.
+ROWS_BYTES = 1 << 20
+BLOCK_BYTES = 2 << 20
 CHARS_PER_BUCKET = 1 << 20
 LEAST_BUCKETS = 256
 CROWD = 32
@@ -167,7 +169,7 @@ def mark(docs: DataFrame, n: int) -> DataFrame:
 
     id_type = docs.schema["doc_id"].dataType.simpleString()
     rows = docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("th"), "text")
-    return map_blocks(rows, work, f"doc_id {id_type}, th bigint, n_shingles bigint, class bigint, sketch binary", BLOCK_BYTES)
+    return map_blocks(rows, work, f"doc_id {id_type}, th bigint, n_shingles bigint, class bigint, sketch binary", ROWS_BYTES)
 
 
 def sign(docs: DataFrame, n: int, num: int, den: int, buckets: int) -> DataFrame:
@@ -361,7 +363,7 @@ def verify(pairs: DataFrame, classes: DataFrame, docs: DataFrame, n: int, num: i
         values = [sets[a:b].tobytes() for a, b in zip(first[:-1], first[1:], strict=True)]
         return pa.record_batch([block.column("class"), pa.array(values, pa.binary())], ["class", "items"])
 
-    sets = cut_lineage(map_blocks(texts.select("class", "text"), expand, "class bigint, items binary").groupBy("class").agg(F.first("items").alias("items")))
+    sets = cut_lineage(map_blocks(texts.select("class", "text"), expand, "class bigint, items binary", ROWS_BYTES).groupBy("class").agg(F.first("items").alias("items")))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -32,6 +32,9 @@ def map_blocks(
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches, size, text):
             yield work(block)
+            # A worker stays for later stages, and so would what it does not use any more.
+            del block
+            pa.default_memory_pool().release_unused()
 
     return df.mapInArrow(task, schema)
 

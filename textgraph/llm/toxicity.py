@@ -36,6 +36,8 @@ LEAST_ODDS = 2.0
 DRIFT = 0.05
 SAMPLE_ROWS = 20_000
 MODEL_TOKENS = 200_000
+# Rows are scored by themselves, so a small block will do.
+SCORED_BYTES = 1 << 20
 K = 1.0
 
 
@@ -221,7 +223,7 @@ def score_rows(docs: DataFrame, model: ToxicModel, *keep: str) -> DataFrame:
         return pa.record_batch([*kept, pa.array(evidence), pa.array(p), pa.array(passages, span)], [*keep, "evidence", "score", "passages"])
 
     schema = ", ".join([*(f"`{c}` {fields[c]}" for c in keep), "evidence double, score double, passages array<struct<start:bigint,end:bigint,excess:double>>"])
-    return map_blocks(docs.select(*dict.fromkeys([*keep, "text"])), work, schema)
+    return map_blocks(docs.select(*dict.fromkeys([*keep, "text"])), work, schema, SCORED_BYTES)
 
 
 HELD_OUT_FOLD, FOLDS, THRESHOLD = 1, 3, 0.7
