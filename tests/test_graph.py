@@ -16,7 +16,7 @@ from textgraph import (
     prepare_graph,
     rank_contributions,
 )
-from textgraph.operators.graph import hot_sources, split_sources
+from textgraph.operators.graph import fit_in_hashes, hot_sources, split_sources
 from textgraph_checks.tables import spread
 
 
@@ -159,6 +159,28 @@ def test_a_step_shuffles_only_ranks(spark):
     assert final.count("Exchange hashpartitioning(src") - final.count("ReusedExchange [src") <= 1
 
 
+@pytest.mark.parametrize("floor", [100_000, 1])
+@pytest.mark.parametrize("fits", [True, False])
+def test_links_that_stream_past_pages_are_not_sorted(spark, floor, fits, monkeypatch):
+    """Where the pages fit in hash tables no step sorts; elsewhere joins can spill."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        if not fits:
+            monkeypatch.setattr("textgraph.plans.graph.fit_in_hashes", lambda pages: fit_in_hashes(pages, 1))
+        ranks = pagerank_links(links_of(adj(spark, **WEB)), 3, hot_floor=floor)
+        final = final_plan(ranks)
+        assert ("ShuffledHashJoin" in final, "SortMergeJoin" in final, "Sort [src" in final) == (fits, not fits, not fits)
+        assert as_dict(ranks) == pytest.approx(brute({k: v for k, v in WEB.items() if v}, 3, 5))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_pages_of_long_or_no_names_in_hashes(spark):
+    pages = spark.createDataFrame([("a" * 1000,), (None,)], "page string")
+    # Two pages of some 100 bytes each and a name of 1,000, in 4 partitions.
+    assert fit_in_hashes(pages, 300) and not fit_in_hashes(pages, 299) and fit_in_hashes(pages.limit(0), 0)
+
+
 @pytest.mark.parametrize("floor", [100_000, 1])
 def test_plans_after_the_cut_shuffle_no_links(spark, floor):
     """Links come from buckets: no exchange holds their targets, and each link stands there once."""

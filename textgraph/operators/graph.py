@@ -18,6 +18,9 @@ from textgraph.operators.terms import is_small
 from textgraph.scratch import cut_lineage
 
 DAMPING = 0.85
+# A hash table of pages takes about so many bytes a page besides its name, and may take so many a partition.
+PAGE_BYTES = 100
+HASHED_BYTES = 128 << 20
 
 
 def prepare_graph(adj: DataFrame, initial_rank: float = 1.0) -> DataFrame:
@@ -98,12 +101,24 @@ def split_sources(links: DataFrame, hot: DataFrame | None) -> DataFrame:
     return cut.select(*links.columns, piece_of(or_one(), "dst").alias("piece"))
 
 
-def rank_contributions(nodes: DataFrame, links: DataFrame, hot: DataFrame | None = None) -> DataFrame:
+def fit_in_hashes(pages: DataFrame, most: int = HASHED_BYTES) -> bool:
+    """Whether the pages of one shuffle partition make a hash table of ``most`` bytes at most. Runs one aggregate over the pages."""
+    size = F.lit(PAGE_BYTES) + F.coalesce(F.octet_length(F.col("page").cast("string")), F.lit(0))
+    partitions = int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return (pages.agg(F.sum(size.cast("bigint"))).first()[0] or 0) <= most * partitions
+
+
+def hashed_if(df: DataFrame, hashed: bool) -> DataFrame:
+    """A table of one row a page that the other side of its join streams past, so that neither is sorted."""
+    return df.hint("shuffle_hash") if hashed else df
+
+
+def rank_contributions(nodes: DataFrame, links: DataFrame, hot: DataFrame | None = None, hashed: bool = False) -> DataFrame:
     """``(page, credit)``: ``rank / out_degree`` of the source, for each link.
 
     A repeated link counts each time, and in counted links is one row of so many credits; pages without links send nothing. With
     ``hot``, links must come from ``split_sources``: a hot source sends to each
-    of its pieces.
+    of its pieces. ``hashed`` tells that the nodes ``fit_in_hashes``: then the links are not sorted.
     """
     share = (F.col("rank") / F.col("out_degree")).alias("credit")
     senders = nodes.where("out_degree > 0").select(F.col("page").alias("src"), share)
@@ -114,7 +129,7 @@ def rank_contributions(nodes: DataFrame, links: DataFrame, hot: DataFrame | None
         )
         on = ["src", "piece"]
     credit = F.col("credit") * F.col("cnt") if "cnt" in links.columns else F.col("credit")
-    return links.join(senders, on).select(F.col("dst").alias("page"), credit.alias("credit"))
+    return links.join(hashed_if(senders, hashed), on).select(F.col("dst").alias("page"), credit.alias("credit"))
 
 
 def pagerank_step(
@@ -124,22 +139,23 @@ def pagerank_step(
     damping: float = DAMPING,
     pages: DataFrame | None = None,
     hot: DataFrame | None = None,
+    hashed: bool = False,
 ) -> DataFrame:
     """Nodes after one step: ``damping * S + (1 - damping) / n``.
 
     S is the credit a page receives, 0 for a page nobody links to. ``pages``
     has every page of the result and its out-degree; by default those are the
     pages of ``nodes`` and the targets of links, which have none of their own.
-    Rank of pages without links is not handed back.
+    Rank of pages without links is not handed back. ``hashed``: as in ``rank_contributions``.
     """
     total = n if isinstance(n, Column) else F.lit(n)
-    received = rank_contributions(nodes, links, hot).groupBy("page").agg(F.sum("credit").alias("credit"))
+    received = rank_contributions(nodes, links, hot, hashed).groupBy("page").agg(F.sum("credit").alias("credit"))
     base = F.lit(float(1 - Decimal(str(damping)))) / total
     rank = F.lit(damping) * F.coalesce("credit", F.lit(0.0)) + base
     if pages is None:
         every = nodes.select("page", "out_degree").join(received, "page", "full")
     else:
-        every = pages.select("page", "out_degree").join(received, "page", "left")
+        every = pages.select("page", "out_degree").join(hashed_if(received, hashed), "page", "left")
     return every.select("page", rank.alias("rank"), F.coalesce("out_degree", F.lit(0)).alias("out_degree"))
 
 

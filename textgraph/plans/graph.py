@@ -9,6 +9,7 @@ from textgraph.operators.graph import (
     DAMPING,
     count_links,
     dedupe_adjacency,
+    fit_in_hashes,
     hot_sources,
     links_of,
     node_count,
@@ -95,6 +96,7 @@ def _iterate(
     if iterations < 1:
         raise ValueError("iterations must be at least 1")
     hot = hot_sources(pages, hot_floor)
+    hashed = fit_in_hashes(pages)
     if iterations > STEPS_PER_PLAN or save_each is not None:
         # Several plans read the links: each once, in buckets that no plan shuffles.
         buckets = int(links.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -106,7 +108,7 @@ def _iterate(
         links = split_sources(links, hot)
     last = None
     for i in range(iterations):
-        nodes = pagerank_step(nodes, links, n, damping, pages, hot)
+        nodes = pagerank_step(nodes, links, n, damping, pages, hot, hashed)
         if save_each is not None:
             nodes = cut_lineage(nodes, f"{save_each}{i}")
         elif (i + 1) % STEPS_PER_PLAN == 0 and i + 1 < iterations:
