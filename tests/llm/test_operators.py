@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+import sys
 import time
 import zlib
 from collections import Counter
@@ -143,6 +144,61 @@ def test_bpe_is_that_of_the_library(spark, docs):
         bpe.Codec(ranks | {b"wide": 70_000})
 
 
+def test_pieces_of_segments_are_those_of_the_text():
+    import public_tokenizers as public
+    import regex
+
+    assert public.PATTERN == bpe.SPACED
+    split = regex.compile(public.PATTERN)
+    rng = np.random.default_rng(3)
+    signs = [" ", "  ", "\n", "\t", "\r", "\x0b", "\x1c", "\x85", "\xa0", "\u2003", "\u3000", "a", "Z", "é", "×", "ж", "日", "😀", "7", "٣", "'", "'s", "'ll", ".", "\x00", "\x7f", "\u0301"]
+    texts = ["", " ", "  ", None, "a ", "a  ", " b", "a b", "a \n b"] + ["".join(rng.choice(signs, rng.integers(1, 40))) for _ in range(3000)]
+    want = [split.findall(x or "") for x in texts]
+    for spaced in (True, False):
+        sizes, codes, words = bpe.split_pieces(pa.array(texts).slice(0), split, spaced)
+        assert sizes.tolist() == [len(x) for x in want]
+        assert words.take(pa.array(codes)).to_pylist() == [p for x in want for p in x]
+    assert len(words) == len(set(words.to_pylist()))
+    sizes, codes, words = bpe.split_pieces(pa.array(texts).slice(5, 4), split, True)
+    assert words.take(pa.array(codes)).to_pylist() == [p for x in want[5:9] for p in x]
+    assert [len(x) for x in bpe.split_pieces(pa.array([], pa.string()), split, True)] == [0, 0, 0]
+
+
+def test_a_pattern_is_matched_once_in_each_distinct_segment():
+    import public_tokenizers as public
+    import regex
+
+    class Counted:
+        seen = 0
+
+        def findall(self, text):
+            Counted.seen += len(text)
+            return regex.findall(public.PATTERN, text)
+
+    bpe.split_pieces(pa.array(["so many words, so many times; " * 100] * 50), Counted(), True)
+    assert Counted.seen < 100
+
+
+def test_texts_of_a_block_go_out_in_parts(spark, docs, monkeypatch):
+    import public_tokenizers as public
+
+    ranks = bpe.read_ranks(public.path("byte_bpe_50k.tiktoken"))
+    whole = {r.doc_id: r for r in bpe.encode_decode(docs, ranks, public.PATTERN).collect()}
+    monkeypatch.setattr(bpe, "PIECES", 7)
+    assert {r.doc_id: r for r in bpe.encode_decode(docs, ranks, public.PATTERN).collect()} == whole
+
+
+@pytest.mark.skipif(sys.platform != "linux", reason="reads /proc")
+def test_freed_memory_is_given_back():
+    resident = lambda: int(open("/proc/self/statm").read().split()[1]) * 4096
+    # Small arrays between the large ones keep the heap from shrinking by itself.
+    held = [(np.ones(12_000), np.ones(300)) for _ in range(1500)]
+    held = [small for _, small in held]
+    before = resident()
+    hashing.give_back()
+    assert before - resident() > 100 << 20 and len(held) == 1500
+
+
 def test_top_k_with_ties_and_odd_vectors(spark):
     rng = np.random.default_rng(1)
     rows = [(i, [float(x) for x in rng.integers(-3, 4, 4) / 8]) for i in range(300)]

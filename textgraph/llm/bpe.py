@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from textgraph.llm.hashing import as_bytes, blocks
+from textgraph.llm.hashing import as_bytes, blocks, give_back
 from textgraph.llm.tables import map_blocks, table
 from textgraph.scratch import cut_lineage
 
@@ -44,7 +44,15 @@ MODULI = (129_949, 134_857)
 LONG = 64
 # An entry of a short word: the bits of its id, of its place, and the rank of a pair that has none.
 ID, PLACE, NONE = 0x1FFFF, 0x3F << 17, 0x1FFFF << 23
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 8 << 20
+# Pieces of so many segments are Python strings at once, and texts of so many pieces go out together.
+SEGMENTS, PIECES = 10_000, 1 << 18
+# The pattern whose matches are cut apart by ``segments``, and the bytes behind a space that it cuts before:
+# the first ones of code points below U+0800 that are no white space.
+SPACED = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+LETTERS = "^ ?[A-Za-zà-öø-ÿ]+$"
+_BEGINS = np.zeros(256, bool)
+_BEGINS[0x21:0x7F] = _BEGINS[0xC3:0xE0] = True
 # At some 40 bytes a word with its ids, at most 16 MB.
 SHARED = 400_000
 SHARED_BYTES = 40
@@ -274,6 +282,49 @@ def encode_shared(words: DataFrame, codec: Codec) -> Words:
     return Words(texts, *coded_words(lists, data))
 
 
+def segments(data: np.ndarray, starts: np.ndarray, spaced: bool) -> tuple[np.ndarray, np.ndarray]:
+    """``(at, first)``: where the segments of all texts start, and the end; text i has those from ``first[i]`` to ``first[i + 1]``.
+
+    A text is one segment, or if ``spaced`` cut before each space that something else than white space follows. ``SPACED`` matches
+    in segments what it matches in the text: it begins a match at such a space, which is no end of ``\\s+(?!\\S)``, and looks no further back.
+    """
+    cut = np.zeros(len(data), bool)
+    full = np.diff(starts) > 0
+    if spaced:
+        cut[:-1] = (data[:-1] == 0x20) & _BEGINS[data[1:]]
+        cut[starts[1:][full] - 1] = False
+    cut[starts[:-1][full]] = True
+    at = np.flatnonzero(cut)
+    return np.append(at, len(data)), np.searchsorted(at, starts)
+
+
+def split_pieces(texts: pa.Array, split, spaced: bool) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """``(sizes, codes, words)``: pieces of each text, the word that each piece is, and the distinct words.
+
+    The pattern is matched once in each distinct segment of the texts.
+    """
+    import pyarrow.compute as pc
+
+    data, starts = as_bytes(texts)
+    at, first = segments(data, starts, spaced)
+    coded = pa.Array.from_buffers(pa.string(), len(at) - 1, [None, pa.py_buffer(at.astype(np.int32)), pa.py_buffer(data)]).dictionary_encode()
+    # Most segments are a word of letters, which is a piece by itself; they go before the others.
+    whole = pc.match_substring_regex(coded.dictionary, LETTERS) if spaced else pa.repeat(False, len(coded.dictionary))
+    rest = coded.dictionary.filter(pc.invert(whole))
+    chunks = [coded.dictionary.filter(whole)]
+    counts = [np.zeros(1, np.int64), np.ones(len(chunks[0]), np.int64)]
+    for i in range(0, len(rest), SEGMENTS):
+        found = [split.findall(x) for x in rest.slice(i, SEGMENTS).to_pylist()]
+        counts.append(np.array([len(x) for x in found], np.int64))
+        chunks.append(pa.array([p for x in found for p in x], pa.string()))
+    pieces = pa.chunked_array(chunks, pa.string()).combine_chunks().dictionary_encode()
+    whole = whole.to_numpy(zero_copy_only=False)
+    place = np.where(whole, np.cumsum(whole), len(chunks[0]) + np.cumsum(~whole)) - 1
+    codes, each = take_lists(np.cumsum(np.concatenate(counts)), pieces.indices.to_numpy(), place[coded.indices.to_numpy()])
+    ends = np.concatenate([[0], np.cumsum(each, dtype=np.int64)])
+    return np.diff(ends[first]).astype(np.int32), codes, pieces.dictionary
+
+
 def pack(docs: DataFrame, pattern: str, shared, size: int = BLOCK_BYTES) -> DataFrame:
     """A row per block of texts: ids, pieces of each text, codes of all pieces, distinct words.
 
@@ -288,17 +339,15 @@ def pack(docs: DataFrame, pattern: str, shared, size: int = BLOCK_BYTES) -> Data
         split = regex.compile(pattern)
         known = shared.value.texts
         for block in blocks(batches, size):
-            found = [split.findall(text) if text else [] for text in block.column("text").to_pylist()]
-            sizes = np.array([len(x) for x in found], np.int32)
-            coded = pa.array([p for x in found for p in x], pa.string()).dictionary_encode()
-            del found
-            at = pc.index_in(coded.dictionary, value_set=known)
+            sizes, codes, words = split_pieces(block.column("text"), split, pattern == SPACED)
+            at = pc.index_in(words, value_set=known)
             own = pc.is_null(at)
             number = pc.fill_null(at, 0).to_numpy() + np.where(own, len(known) - 1 + np.cumsum(own), 0)
-            codes = number[coded.indices.to_numpy()].astype(np.int32)
-            words = one_list(byte_lists(coded.dictionary.filter(own)))
+            codes = number.astype(np.int32)[codes]
+            words = one_list(byte_lists(words.filter(own)))
             yield pa.record_batch([one_list(block.column("doc_id")), pa.array([sizes.tobytes()]), pa.array([codes.tobytes()]), words], ["ids", "sizes", "codes", "words"])
-            pa.default_memory_pool().release_unused()
+            del block, sizes, codes, words, at, own, number
+            give_back()
 
     return docs.select("doc_id", "text").mapInArrow(work, BLOCK.format(id=id_type))
 
@@ -330,14 +379,23 @@ def unpack(packed: DataFrame, shared) -> DataFrame:
                 sizes = np.frombuffer(batch.column("sizes")[i].as_py(), np.int32)
                 codes = np.frombuffer(batch.column("codes")[i].as_py(), np.int32)
                 offsets, tokens, starts, data = coded_words(batch.column("token_ids")[i].values, batch.column("decoded")[i].values)
-                tokens, each = take_lists(behind(known.offsets, offsets), np.concatenate([known.ids, tokens]), codes)
-                raw, wide = take_lists(behind(known.starts, starts), np.concatenate([known.data, data]), codes)
-                tokens_at, bytes_at = totals(sizes, each), totals(sizes, wide)
+                offsets, tokens = behind(known.offsets, offsets), np.concatenate([known.ids, tokens])
+                starts, data = behind(known.starts, starts), np.concatenate([known.data, data])
                 # Texts go out in parts, as a block's bytes are many.
-                of_tokens = pa.ListArray.from_arrays(pa.array(tokens_at, pa.int32()), pa.array(tokens, pa.int32()))
-                of_bytes = pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(bytes_at.astype(np.int32)), pa.py_buffer(raw)])
-                yield pa.record_batch([ids, of_tokens, of_bytes], ["doc_id", "tokens", "decoded"])
-                pa.default_memory_pool().release_unused()
+                ends = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
+                a = 0
+                while a < len(sizes):
+                    b = max(a + 1, int(np.searchsorted(ends, ends[a] + PIECES, side="right")) - 1)
+                    some = codes[ends[a] : ends[b]]
+                    of, each = take_lists(offsets, tokens, some)
+                    raw, wide = take_lists(starts, data, some)
+                    tokens_at, bytes_at = totals(sizes[a:b], each), totals(sizes[a:b], wide)
+                    of_tokens = pa.ListArray.from_arrays(pa.array(tokens_at, pa.int32()), pa.array(of, pa.int32()))
+                    of_bytes = pa.Array.from_buffers(pa.binary(), b - a, [None, pa.py_buffer(bytes_at.astype(np.int32)), pa.py_buffer(raw)])
+                    yield pa.record_batch([ids.slice(a, b - a), of_tokens, of_bytes], ["doc_id", "tokens", "decoded"])
+                    a = b
+                del ids, sizes, codes, offsets, tokens, starts, data, ends, some, of, each, raw, wide, of_tokens, of_bytes
+                give_back()
 
     return packed.mapInArrow(work, f"doc_id {id_type}, tokens array<int>, decoded binary")
 
@@ -358,7 +416,7 @@ def encode_decode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, most:
 
 def digests(coded: DataFrame) -> DataFrame:
     """``(doc_id, n_tokens, ids_sha256, decoded_sha256)``."""
-    line = F.array_join(F.transform("tokens", lambda t: t.cast("string")), " ")
+    line = F.concat_ws(" ", F.col("tokens").cast("array<string>"))
     return coded.select(
         "doc_id",
         F.size("tokens").cast("bigint").alias("n_tokens"),

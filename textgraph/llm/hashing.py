@@ -7,6 +7,8 @@ chance of about 2**-64.
 
 from __future__ import annotations
 
+import ctypes
+import sys
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -171,5 +173,14 @@ def blocks(batches: Iterable[pa.RecordBatch], chars: int, text: str = "text") ->
         yield joined(held)
 
 
+def give_back() -> None:
+    """Return memory that this process has freed to the system: a worker stays for later stages, and so would what it freed."""
+    pa.default_memory_pool().release_unused()
+    # Only the C library of Linux has it; elsewhere freed memory stays.
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None) if sys.platform == "linux" else None
+    if trim is not None:
+        trim(0)
+
+
 def joined(held: list[pa.RecordBatch]) -> pa.RecordBatch:
     return held[0] if len(held) == 1 else pa.Table.from_batches(held).combine_chunks().to_batches()[0]

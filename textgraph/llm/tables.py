@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textgraph.llm.hashing import blocks
+from textgraph.llm.hashing import blocks, give_back
 
 BLOCK_BYTES = 2 << 20
 
@@ -32,9 +32,8 @@ def map_blocks(
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches, size, text):
             yield work(block)
-            # A worker stays for later stages, and so would what it does not use any more.
             del block
-            pa.default_memory_pool().release_unused()
+            give_back()
 
     return df.mapInArrow(task, schema)
 
