@@ -188,6 +188,16 @@ def test_texts_of_a_block_go_out_in_parts(spark, docs, monkeypatch):
     assert {r.doc_id: r for r in bpe.encode_decode(docs, ranks, public.PATTERN).collect()} == whole
 
 
+def test_bpe_plans_do_not_hold_the_tables(spark, docs, capsys):
+    """The driver keeps a description of each plan that ran, and so of all that stands in it."""
+    import public_tokenizers as public
+
+    coded = bpe.encode_decode(docs, bpe.read_ranks(public.path("byte_bpe_50k.tiktoken")), public.PATTERN)
+    capsys.readouterr()
+    coded.explain(True)
+    assert 0 < len(capsys.readouterr().out) < 200_000
+
+
 @pytest.mark.skipif(sys.platform != "linux", reason="reads /proc")
 def test_freed_memory_is_given_back():
     resident = lambda: int(open("/proc/self/statm").read().split()[1]) * 4096

@@ -5,12 +5,13 @@ that the most blocks of the table share, ``SHARED`` at most, are encoded once fo
 blocks and broadcast. Blocks of texts become one row each: their other distinct pieces ("words"),
 and the pieces of each text as numbers of words. Spark's higher-order functions encode the words:
 a fold over its bytes that merges, round by round, the adjacent pair of least rank,
-looked up in a literal map of ranks. Decoding joins the bytes of the tokens' pieces,
-from a literal array. Last, a block's rows are laid out again as one row per text.
+looked up in a map of ranks. Decoding joins the bytes of the tokens' pieces, from an
+array. Last, a block's rows are laid out again as one row per text.
 
-The map of ranks is a literal array with two places for each pair of tokens, as a
-lookup in a map column is a scan. Pieces stand as Latin-1 characters, one for each
-byte, since JSON carries the literals. A word of more than ``LONG`` bytes merges all pairs of the least rank in one
+The map of ranks is an array with two places for each pair of tokens, as a lookup in a
+map column is a scan. Pieces stand as Latin-1 characters, one for each byte. These tables
+are scalar subqueries over one row: as literals they would be in each description of a plan,
+of which the driver keeps many. A word of more than ``LONG`` bytes merges all pairs of the least rank in one
 round, leftmost first, so it takes as many rounds as there are distinct merges.
 
 The shared words only save work: a word of a block that is not among them is encoded there by
@@ -23,7 +24,6 @@ repeated ids are carried along; other columns take no part; an empty table has n
 from __future__ import annotations
 
 import base64
-import json
 from collections.abc import Iterator
 from dataclasses import dataclass
 from pathlib import Path
@@ -103,23 +103,31 @@ class Codec:
         by_id = [""] * (max(ranks.values()) + 1)
         for piece, rank in ranks.items():
             by_id[rank] = piece.decode("latin-1")
-        # Folded to literals when the plan is made.
-        self.slots = F.from_json(F.lit(json.dumps(pair_table(ranks).tolist(), separators=(",", ":"))), "array<bigint>")
-        self.bytes = F.from_json(F.lit(json.dumps([ranks[bytes([i])] for i in range(256)])), "array<bigint>")
         both = [ranks.get(bytes([i, j])) for i in range(256) for j in range(256)]
-        self.pairs = F.from_json(F.lit(json.dumps([NONE if r is None else r << 23 for r in both])), "array<bigint>")
-        self.pieces = F.from_json(F.lit(json.dumps(by_id)), "array<string>")
-
-    # ``t`` below is one struct of the tables, so a plan holds each literal once.
+        self.tables = {
+            "slots": pa.array(pair_table(ranks)),
+            "bytes": pa.array([ranks[bytes([i])] for i in range(256)], pa.int64()),
+            "pairs": pa.array([NONE if r is None else r << 23 for r in both], pa.int64()),
+            "pieces": pa.array(by_id, pa.string()),
+        }
+
+    def code(self, rows: DataFrame, *keep: str) -> DataFrame:
+        """``(*keep, token_ids, decoded)`` of rows with lists of ``words``, each an array of its bytes."""
+        row = rows.sparkSession.createDataFrame(pa.table({name: one_list(values) for name, values in self.tables.items()}))
+        # Spark takes no subquery in a higher-order function, but one in a column that is read once it puts there itself.
+        merges, pieces = ([row.select(name).scalar().alias(name) for name in names] for names in (("slots", "bytes", "pairs"), ("pieces",)))
+        coded = rows.select(*keep, "words", *merges).select(*keep, self.encode_words(F.col("words")).alias("token_ids"))
+        return coded.select(*keep, "token_ids", *pieces).select(*keep, "token_ids", self.decode_words(F.col("token_ids")).alias("decoded"))
+
+    # ``t`` below is one struct of the tables, or the table of pieces.
 
     def encode_words(self, words: Column) -> Column:
         """The token ids of words, each an array of its bytes."""
-        tables = F.struct(self.slots.alias("slots"), self.bytes.alias("bytes"), self.pairs.alias("pairs"))
-        return let(tables, lambda t: F.transform(words, lambda w: self.encode(w, t)))
+        return let(F.struct("slots", "bytes", "pairs"), lambda t: F.transform(words, lambda w: self.encode(w, t)))
 
     def decode_words(self, words: Column) -> Column:
         """The bytes of words of token ids."""
-        return let(self.pieces, lambda t: F.transform(words, lambda ids: F.encode(self.decode(ids, t), "ISO-8859-1")))
+        return let(F.col("pieces"), lambda t: F.transform(words, lambda ids: F.encode(self.decode(ids, t), "ISO-8859-1")))
 
     def rank(self, left: Column, right: Column, t: Column) -> Column:
         """The rank of two parts together; null where there is none, or one part is null."""
@@ -273,8 +281,7 @@ def encode_shared(words: DataFrame, codec: Codec) -> Words:
                 yield pa.record_batch([one_list(some), one_list(byte_lists(some))], ["texts", "words"])
 
     rows = words.mapInArrow(work, "texts array<string>, words array<array<int>>")
-    rows = rows.select("texts", codec.encode_words(F.col("words")).alias("token_ids"))
-    got = rows.withColumn("decoded", codec.decode_words(F.col("token_ids"))).toArrow().combine_chunks()
+    got = codec.code(rows, "texts").toArrow().combine_chunks()
     if not got.num_rows:
         none, start = np.zeros(0, np.int32), np.zeros(1, np.int32)
         return Words(pa.array([], pa.string()), start, none, start, none.astype(np.uint8))
@@ -410,8 +417,9 @@ def encode_decode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, most:
     # At most ``most`` words of SHARED_BYTES and their ids.
     shared = context.broadcast(encode_shared(common_words(docs, most, size), codec))
     words = pack(docs, pattern, shared, size)
-    coded = words.select("ids", "sizes", "codes", codec.encode_words(F.col("words")).alias("token_ids"))
-    return unpack(coded.withColumn("decoded", codec.decode_words(F.col("token_ids"))), shared)
+    # The driver's Python stays too.
+    give_back()
+    return unpack(codec.code(words, "ids", "sizes", "codes"), shared)
 
 
 def digests(coded: DataFrame) -> DataFrame:
