@@ -1,4 +1,5 @@
 import math
+import sys
 
 import pytest
 from pyspark.sql import functions as F
@@ -6,7 +7,9 @@ from pyspark.sql import functions as F
 import textgraph.operators.cells as cells_module
 from textgraph import cell_product, dedupe_cells, factored_product, fill_cells, ieee_divide, normalize_rows, recommend, sparse_matmul
 from textgraph.operators.cells import pair_up, partial_products, product_row_sums
+from textgraph.scratch import cut_lineage
 from textgraph.sources import terms_of
+from textgraph_checks.matrix import purchases
 
 
 def cells(spark, *values):
@@ -202,3 +205,54 @@ def test_products_of_a_recommendation_are_dealt(spark, monkeypatch):
     assert as_dict(got) == pytest.approx(want)
     # With zeros, which are shuffled by cell, the products are not dealt beforehand.
     assert as_dict(recommend(*args, dense=True)) == pytest.approx(as_dict(normalize_rows(sparse_matmul(*args, dense=True))), nan_ok=True)
+
+
+@pytest.mark.parametrize("listed", [True, False])
+@pytest.mark.parametrize("floor", [100_000, 3])
+def test_products_of_a_cell_travel_as_arrays(spark, monkeypatch, floor, listed):
+    """One row for each cell of the left side crosses the shuffle, not one for each product, with hot rows and lists beyond the bound too."""
+    a, b, ids = wide(spark)
+    # A row and an inner index with many products.
+    a, b = a + [("p0", f"k{i}", 3.0) for i in range(1, 40)], b + [("k5", f"p{i}", 0.5) for i in range(40)]
+    monkeypatch.setattr(cells_module, "TASK_PRODUCTS", 20)
+    monkeypatch.setattr(cells_module, "PACKED_CELLS", 3)
+    if not listed:
+        monkeypatch.setattr(cells_module, "is_small", lambda terms: False)
+        monkeypatch.setattr(sys.modules["textgraph.plans.recommend"], "is_small", lambda terms: False)
+    args = cut_lineage(dedupe_cells(cells(spark, *a))), cut_lineage(dedupe_cells(cells(spark, *b))), items(spark, *ids)
+    got = cell_product(*args, floor)
+    text = plan(got)
+    assert text.index("posexplode(") < text.index("REPARTITION_BY_NUM") < text.index("(x#")
+    assert ("piece#" in text) == (floor == 3)
+    # The sum by cell needs no shuffle between the dealt rows and itself.
+    assert text[: text.index("posexplode(")].count("Exchange hashpartitioning") == 0
+    a, b = ([(r, c, v) for (r, c), v in as_dict(df).items()] for df in args[:2])
+    assert as_dict(got) == brute(a, b, ids)[0]
+    want = as_dict(normalize_rows(got))
+    assert as_dict(recommend(*args, hot_floor=floor)) == pytest.approx(want)
+
+
+def test_cells_with_null_values_and_keys_are_multiplied_alike(spark, monkeypatch):
+    a = [("p0", "k", None), ("p0", "m", 2.0), (None, "k", 1.0), ("p1", None, 1.0), ("p1", "k", 4.0)]
+    b = [("k", "p0", 3.0), ("k", "p1", None), (None, "p0", 1.0), ("m", "p0", 5.0), ("k", None, 1.0)]
+    schema = "row string, col string, val double"
+    args = spark.createDataFrame(a, schema), spark.createDataFrame(b, schema), terms_of(spark, ["p0", "p1"], "item")
+    want = as_dict(cell_product(*args))
+    monkeypatch.setattr(cells_module, "TASK_PRODUCTS", 1)
+    assert "posexplode(" in plan(cell_product(*args))
+    assert as_dict(cell_product(*args)) == want == {("p0", "p0"): 10.0, ("p0", "p1"): None, ("p1", "p0"): 12.0, ("p1", "p1"): None}
+
+
+def test_purchases_are_dealt_once_by_cell(spark, tmp_path):
+    tables = {
+        "orders": ([(1, 7), (2, 8), (3, None)], "o_orderkey long, o_custkey long"),
+        "lineitem": ([(1, 5, 2.0), (1, 5, 3.0), (2, None, 1.0), (3, 5, 1.0), (9, 5, 1.0)], "l_orderkey long, l_partkey long, l_quantity double"),
+        "customer": ([(7,), (8,)], "c_custkey long"),
+    }
+    for name, (values, schema) in tables.items():
+        spark.createDataFrame(values, schema).coalesce(1).write.parquet(f"{tmp_path}/{name}.parquet")
+    a, b, ids = purchases(spark, str(tmp_path))
+    assert plan(dedupe_cells(a)).count("hashpartitioning(row#") == 1 and "hashpartitioning(o_custkey" not in plan(dedupe_cells(a))
+    assert as_dict(a) == {("7", "5"): 5.0, ("8", None): 1.0, (None, "5"): 1.0}
+    assert as_dict(b) == {("5", "7"): 2.0, (None, "8"): 1.0, ("5", None): 1.0}
+    assert {r["item"] for r in ids.collect()} == {"7", "8"}

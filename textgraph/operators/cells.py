@@ -10,6 +10,7 @@ import math
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from textgraph.functions.numbers import ieee_divide
 from textgraph.operators.skew import (
@@ -19,6 +20,7 @@ from textgraph.operators.skew import (
     every_piece,
     expected_products,
     find_hot_cells,
+    find_hot_rows,
     or_one,
     piece_of,
     product_sketch,
@@ -33,6 +35,8 @@ HOT_PRODUCTS = 1_000_000
 TASK_PRODUCTS = 2_000_000
 # Below so many products to a possible cell, adding up before the shuffle would not make them fewer.
 FEW_PRODUCTS = 4
+# So many cells of an inner index travel together at most.
+PACKED_CELLS = 4096
 
 
 def dedupe_cells(cells: DataFrame) -> DataFrame:
@@ -51,7 +55,12 @@ def cell_product(a: DataFrame, b: DataFrame, items: DataFrame, hot_floor: int =
 
 def sum_cells(cells: DataFrame) -> DataFrame:
     """One row per cell with the sum of its values."""
-    return cells.groupBy("row", "col").agg(F.sum("val").alias("val"))
+    return cells.groupBy(cell_keys(cells)).agg(F.sum("val").alias("val")).select("row", "col", "val")
+
+
+def cell_keys(cells: DataFrame) -> list[str]:
+    """The columns to group cells by: with the ``piece`` of a row cut by its columns, where it has one, so that they stay where they were dealt."""
+    return [c for c in ("row", "col", "piece") if c in cells.columns]
 
 
 def factors(a: DataFrame, b: DataFrame, items: DataFrame, small: bool | None = None) -> tuple[DataFrame, DataFrame]:
@@ -99,21 +108,29 @@ def partial_products(
     Columns of ``a`` beside its cells stay with their products.
 
     Where cells repeat little, an aggregate before the shuffle only fills its memory and spills. There
-    ``deal`` sends each product to the task of its cell, with as many tasks as keep
-    ``TASK_PRODUCTS`` in each, and the sum by cell needs no shuffle of its own.
+    ``deal`` sends the products to the task of their row, with as many tasks as keep ``TASK_PRODUCTS`` in
+    each, and the sum by cell needs no shuffle of its own. Those of one cell of ``a`` travel as two arrays, of
+    columns and of values. A row with many products is cut by its columns, by the same bar as a hot inner index; then
+    products have a ``piece``, which ``sum_cells`` groups by too.
     """
+    small = is_small(items) if small is None else small
     left, right = factors(a, b, items, small)
     rest = [c for c in left.columns if c not in ("row", "k", "x")]
 
     on = ["k"]
-    sketch = product_sketch(left, right, "k")
+    # A table of ``SKETCH_CELLS`` rows at most, which is read some times.
+    sketch = cut_lineage(product_sketch(left, right, "k"))
     size = sketch_size(sketch)
     hot = find_hot_cells(sketch, hot_floor, size)
     products = expected_products(size)
     tasks = _partitions(left)
     deal = deal and products > TASK_PRODUCTS and products < FEW_PRODUCTS * possible_cells(left, right)
+    rows = find_hot_rows(left, "row", "k", sketch, hot_floor) if deal else None
     if deal:
         tasks = max(tasks, math.ceil(products / TASK_PRODUCTS))
+        names = number_items(items) if small else None
+        if names is not None:
+            right = right.join(F.broadcast(names), F.col("col") == F.col("item")).select("k", F.col("id").alias("col"), "y")
     if hot is not None:
         # As many cuts on each side as make the pieces of both alike in size.
         even = F.ceil(F.sqrt(F.col("pieces") * F.col("xs") / F.col("ys"))).cast("bigint")
@@ -131,8 +148,47 @@ def partial_products(
     # Few bytes go in and many rows come out, so the number of tasks must not
     # follow the bytes, by which adaptive execution would merge partitions.
     left = left.repartition(tasks, *on)
-    summands = left.join(right, on).select("row", "col", (F.col("x") * F.col("y")).alias("val"), *rest)
-    return summands.repartition(tasks, "row", "col") if deal else summands
+    if not deal:
+        return left.join(right, on).select("row", "col", (F.col("x") * F.col("y")).alias("val"), *rest)
+    packed = left.join(pack_cells(right.repartition(tasks, *on), on), on).select(
+        "row", "cols", F.transform("ys", lambda y: F.col("x") * y).alias("vals"), *rest
+    )
+    return deal_rows(packed, rows, tasks, names, rest)
+
+
+def number_items(items: DataFrame) -> DataFrame:
+    """``(item, id)`` of a list that ``is_small``: a number below its length for each item. Writes them."""
+    ids = items.select(F.col(items.columns[0]).alias("item")).distinct().repartition(1)
+    return cut_lineage(ids.select("item", F.monotonically_increasing_id().cast("int").alias("id")))
+
+
+def pack_cells(cells: DataFrame, on: list[str]) -> DataFrame:
+    """``(*on, cols, ys)``: the columns and values of cells ``(*on, col, y)`` with the same ``on``, at most ``PACKED_CELLS`` in a row."""
+    place = F.row_number().over(Window.partitionBy(*on).orderBy("col")) - 1
+    parts = cells.select(*on, "col", "y", F.floor(place / PACKED_CELLS).alias("part"))
+    packed = parts.groupBy(*on, "part").agg(F.collect_list(F.struct("col", "y")).alias("cells"))
+    return packed.select(*on, F.col("cells.col").alias("cols"), F.col("cells.y").alias("ys"))
+
+
+def deal_rows(packed: DataFrame, rows: DataFrame | None, tasks: int, names: DataFrame | None, rest: list[str]) -> DataFrame:
+    """``(row, col, val, ..)`` of ``(row, cols, vals, ..)``, dealt by row; those of hot ``rows``, ``(cell, pieces)``, one by one, by ``piece``."""
+    keys = ["row"]
+    if rows is not None:
+        keys.append("piece")
+        whole = F.array(F.struct(F.lit(0).cast("bigint").alias("piece"), "cols", "vals"))
+        single = F.transform(
+            F.arrays_zip("cols", "vals"),
+            lambda c: F.struct(
+                F.pmod(F.xxhash64(c["cols"]), F.col("pieces")).alias("piece"), F.array(c["cols"]).alias("cols"), F.array(c["vals"]).alias("vals")
+            ),
+        )
+        cut = packed.join(F.broadcast(rows), cell_of("row") == F.col("cell"), "left")
+        packed = cut.select("row", *rest, F.inline(F.when(F.col("pieces").isNull(), whole).otherwise(single)))
+    dealt = packed.repartition(tasks, *keys)
+    summands = dealt.select(*keys, "vals", *rest, F.posexplode("cols").alias("place", "col"))
+    if names is not None:
+        summands = summands.join(F.broadcast(names), F.col("col") == F.col("id")).drop("col").withColumnRenamed("item", "col")
+    return summands.select("row", "col", F.get("vals", F.col("place")).alias("val"), *keys[1:], *rest)
 
 
 def possible_cells(left: DataFrame, right: DataFrame) -> int:
@@ -206,5 +262,5 @@ def normalize_rows(cells: DataFrame, hot_floor: int = HOT_FLOOR) -> DataFrame:
 
 def scale_cells(summands: DataFrame) -> DataFrame:
     """``(row, col, val)``: summands with the ``row_sum`` of their row, added up by cell and divided by it."""
-    sums = summands.groupBy("row", "col").agg(F.sum("val").alias("val"), F.max("row_sum").alias("row_sum"))
+    sums = summands.groupBy(cell_keys(summands)).agg(F.sum("val").alias("val"), F.max("row_sum").alias("row_sum"))
     return sums.select("row", "col", ieee_divide(F.col("val"), F.col("row_sum")).alias("val"))

@@ -18,8 +18,9 @@ from textgraph.scratch import cut_lineage
 
 
 def cells(df: DataFrame, row: str, col: str, val) -> DataFrame:
-    sums = df.groupBy(row, col).agg(val.cast("double").alias("val"))
-    return sums.select(F.col(row).cast("string").alias("row"), F.col(col).cast("string").alias("col"), "val")
+    """Grouped by the text of row and column, so that what groups cells again finds them dealt."""
+    keys = [F.col(row).cast("string").alias("row"), F.col(col).cast("string").alias("col")]
+    return df.select(*keys, "l_quantity").groupBy("row", "col").agg(val.cast("double").alias("val"))
 
 
 def sales_of(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,7 +30,7 @@ def sales_of(spark: SparkSession, sf_dir: str) -> DataFrame:
 def purchases(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Customer × part, part × customer, and the customers."""
     buyers = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
-    sales = spread(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")).join(buyers, "l_orderkey")
+    sales = spread(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity"), "l_orderkey").join(buyers, "l_orderkey")
     items = table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("item"))
     return (
         cells(sales, "o_custkey", "l_partkey", F.sum("l_quantity")),
