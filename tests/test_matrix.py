@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 import textgraph.operators.cells as cells_module
 from textgraph import cell_product, dedupe_cells, factored_product, fill_cells, ieee_divide, normalize_rows, recommend, sparse_matmul
-from textgraph.operators.cells import pair_up, partial_products, product_row_sums
+from textgraph.operators.cells import attach_row_sums, pair_up, partial_products, product_row_sums
 from textgraph.scratch import cut_lineage
 from textgraph.sources import terms_of
 from textgraph_checks.matrix import purchases
@@ -243,6 +243,14 @@ def test_cells_with_null_values_and_keys_are_multiplied_alike(spark, monkeypatch
     assert as_dict(cell_product(*args)) == want == {("p0", "p0"): 10.0, ("p0", "p1"): None, ("p1", "p0"): 12.0, ("p1", "p1"): None}
 
 
+def test_few_row_sums_are_broadcast(spark):
+    a, sums = cells(spark, *A), spark.createDataFrame([("i", 2.0), ("j", 0.0)], "row string, row_sum double")
+    got = attach_row_sums(cut_lineage(a), cut_lineage(sums))
+    assert "Exchange hashpartitioning" not in plan(got)
+    assert {r["row"]: r["row_sum"] for r in got.collect()} == {r: {"i": 2.0}.get(r, 0.0) for r, _, _ in A}
+    assert got.count() == len(A)
+
+
 def test_purchases_are_dealt_once_by_cell(spark, tmp_path):
     tables = {
         "orders": ([(1, 7), (2, 8), (3, None)], "o_orderkey long, o_custkey long"),

@@ -88,6 +88,9 @@ def product_row_sums(a: DataFrame, b: DataFrame, items: DataFrame, small: bool |
 
 def attach_row_sums(a: DataFrame, sums: DataFrame, hot_floor: int = HOT_FLOOR) -> DataFrame:
     """The cells of ``a``, each with the ``row_sum`` of its row in the product; 0 where the row has none."""
+    if is_small(sums):
+        few = F.broadcast(sums.select(F.col("row").alias("_row"), "row_sum"))
+        return a.join(few, F.col("row") == F.col("_row"), "left").select(*a.columns, F.coalesce("row_sum", F.lit(0.0)).alias("row_sum"))
     rows = a.groupBy("row").agg(F.count("val").alias("cells")).join(sums, "row", "left")
     rows = rows.select("row", F.coalesce("row_sum", F.lit(0.0)).alias("row_sum"), "cells")
     return attach_totals(a, rows, "row", "cells", hot_floor).select(*a.columns, "row_sum")
