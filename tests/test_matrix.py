@@ -264,3 +264,7 @@ def test_purchases_are_dealt_once_by_cell(spark, tmp_path):
     assert as_dict(a) == {("7", "5"): 5.0, ("8", None): 1.0, (None, "5"): 1.0}
     assert as_dict(b) == {("5", "7"): 2.0, (None, "8"): 1.0, ("5", None): 1.0}
     assert {r["item"] for r in ids.collect()} == {"7", "8"}
+
+
+def test_tables_between_stages_are_packed(spark):
+    assert all(".zstd." in path for path in cut_lineage(spark.range(3)).inputFiles())
