@@ -1,9 +1,14 @@
+import re
+import sys
+
 import pytest
+from pyspark.sql import functions as F
 
 from textgraph import (
     pack_key,
     read_adjacency,
     read_cells,
+    read_folders,
     read_id_list,
     read_key_values,
     read_lines,
@@ -13,6 +18,7 @@ from textgraph import (
     search_documents,
     terms_of,
     unpack_key,
+    write_folders,
     write_table,
     write_tsv,
 )
@@ -141,3 +147,36 @@ def test_scratch_follows_the_session(spark):
     cut = cut_lineage(df)
     assert sorted(r[0] for r in cut.collect()) == [0, 1, 2]
     assert "textgraph-" in cut.inputFiles()[0]
+
+
+def test_folders_of_odd_names_and_lines(spark, tmp_path, rows):
+    """As Spark's own writer would write them: an empty name is that of null, lines of a name stand in one file."""
+    given = [(None, "n"), ("", "e"), ("a", "x\ny"), ("a", None), ("a", "z\r"), (" %/=:'\"{[^*?#\\", "odd"), ("é.", ""), ("b\n\x7f", "ü")]
+    df = spark.createDataFrame(given, "`d=` string, text string")
+    write_folders(df, f"{tmp_path}/ours", "d=", "text")
+    df.repartition("d=").write.partitionBy("d=").text(f"{tmp_path}/spark")
+    got = {name: sorted(p.name for p in (tmp_path / name).iterdir() if not p.name.startswith(".")) for name in ("ours", "spark")}
+    assert got["ours"] == got["spark"] and "_SUCCESS" in got["ours"]
+    order = lambda folder: sorted((str(name), value) for name, value in read_folders(spark, f"{tmp_path}/{folder}", "d=").collect())
+    assert order("ours") == order("spark") and len(order("ours")) == 9
+    assert {len([*p.iterdir()]) for p in (tmp_path / "ours").iterdir() if p.is_dir()} == {1}
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["ours", "spark"]
+    with pytest.raises(Exception, match="already exists"):
+        write_folders(df, f"{tmp_path}/ours", "d=", "text")
+
+
+def test_a_failed_write_leaves_nothing(spark, tmp_path):
+    bad = spark.range(10).select("id", F.when(F.col("id") < 9, "x").otherwise(F.raise_error(F.lit("stop")).cast("string")).alias("text"))
+    with pytest.raises(Exception, match="stop"):
+        write_folders(bad, f"{tmp_path}/out", "id", "text")
+    assert [*tmp_path.iterdir()] == []
+
+
+@pytest.mark.skipif(sys.platform != "linux", reason="reads /proc")
+def test_no_process_for_each_file(spark, tmp_path):
+    begun = lambda: int(re.search(r"^processes (\d+)", open("/proc/stat").read(), re.M)[1])
+    docs = spark.range(600).select("id", F.lit("x").alias("text"))
+    docs.mapInArrow(lambda batches: batches, docs.schema).count()
+    before = begun()
+    write_folders(docs, f"{tmp_path}/out", "id", "text")
+    assert begun() - before < 600
