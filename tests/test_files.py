@@ -23,6 +23,7 @@ from textgraph import (
     write_tsv,
 )
 from textgraph.scratch import cut_lineage, scratch_path
+from textgraph.sources.text import LISTING
 
 
 def put(folder, name, text):
@@ -180,3 +181,20 @@ def test_no_process_for_each_file(spark, tmp_path):
     before = begun()
     write_folders(docs, f"{tmp_path}/out", "id", "text")
     assert begun() - before < 600
+
+
+def test_folders_are_listed_by_few_tasks(spark, tmp_path):
+    for i in range(200):
+        (tmp_path / "f" / f"d={i}").mkdir(parents=True)
+        put(tmp_path / "f" / f"d={i}", "part", f"{i}\n")
+    most = spark.conf.get(LISTING)
+    spark.sparkContext.setJobGroup("listing", "")
+    try:
+        df = read_folders(spark, str(tmp_path / "f"), "d")
+        status = spark.sparkContext.statusTracker()
+        stages = [s for job in status.getJobIdsForGroup("listing") for s in status.getJobInfo(job).stageIds]
+        assert 0 < max(status.getStageInfo(s).numTasks for s in stages) <= 8 * spark.sparkContext.defaultParallelism < 200
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert spark.conf.get(LISTING) == most
+    assert sorted(df.collect()) == sorted((str(i), str(i)) for i in range(200))

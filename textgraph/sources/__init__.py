@@ -8,6 +8,7 @@ from textgraph.sources.text import (
     read_lines,
     read_tagged,
     read_terms,
+    scan_folders,
     terms_of,
 )
 
@@ -21,6 +22,7 @@ __all__ = [
     "read_table",
     "read_tagged",
     "read_terms",
+    "scan_folders",
     "terms_of",
     "write_folders",
     "write_table",

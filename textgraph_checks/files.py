@@ -19,6 +19,7 @@ from textgraph import (
     read_table,
     read_tagged,
     read_terms,
+    scan_folders,
     unpack_key,
     write_folders,
     write_table,
@@ -86,7 +87,7 @@ def file_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark)
     write_folders(table(spark, sf_dir, "documents"), path, "doc_id", "text")
     base = F.element_at(F.split(F.input_file_name(), "/"), -1)
-    lines = spark.read.schema("value string, doc_id string").text(path).select("doc_id", file_name().alias("file"), base.alias("base"))
+    lines = scan_folders(spark, path, "doc_id").select("doc_id", file_name().alias("file"), base.alias("base"))
     return lines.groupBy("doc_id").agg(
         F.count("*").alias("lines"), F.count_distinct("file").alias("files"), F.bool_and(F.col("file") == F.col("base")).alias("named")
     )
