@@ -16,7 +16,7 @@ from textgraph import (
     prepare_graph,
     rank_contributions,
 )
-from textgraph.operators.graph import fit_in_hashes, hot_sources, split_sources
+from textgraph.operators.graph import fit_in_hashes, hot_sources, hub_degree, split_sources
 from textgraph_checks.tables import spread
 
 
@@ -260,3 +260,74 @@ def test_a_table_of_many_files_is_not_dealt_again(spark, tmp_path):
         table = spread(spark.read.parquet(f"{tmp_path}/{files}"))
         assert table._jdf.queryExecution().executedPlan().toString().count("Exchange") == exchanges
         assert sorted(r["id"] for r in table.collect()) == list(range(100))
+
+
+@pytest.fixture
+def small_hubs(monkeypatch):
+    """Pages with three links or more are hubs."""
+    for name, value in (("HUB_LINKS", 3), ("HUB_FLOOR", 3)):
+        monkeypatch.setattr(f"textgraph.operators.graph.{name}", value)
+
+
+LINKS = [(page, target) for page, targets in WEB.items() for target in targets]
+
+
+@pytest.mark.parametrize("fits", [True, False])
+def test_credits_of_hubs_are_not_shuffled(spark, small_hubs, monkeypatch, fits, tmp_path):
+    """Hubs have links to each other, links that repeat and targets of their own; null pages neither send nor get anything."""
+    if not fits:
+        monkeypatch.setattr("textgraph.plans.graph.fit_in_hashes", lambda pages: False)
+    monkeypatch.setattr("textgraph.scratch.scratch_path", lambda spark: f"{tmp_path}/t{time.time_ns()}")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    steps = []
+    step = pagerank_step
+    monkeypatch.setattr("textgraph.plans.graph.pagerank_step", lambda *args, **more: steps.append(step(*args, **more)) or steps[-1])
+    nulls = [(None, "a"), ("b", None), (None, None)]
+    table = spark.createDataFrame(LINKS + nulls, "src string, dst string")
+    want = brute({k: v + [None] * (k == "b") for k, v in WEB.items() if v}, 7, 6)
+    want[None] = 0.15 / 6
+    with TableScope(spark) as scope:
+        ranks = pagerank_links(table, 7, scope=scope)
+        assert as_dict(ranks) == pytest.approx(want)
+        # Pages, links, pages in buckets and the last ranks.
+        assert len(scope.paths) == len([*tmp_path.iterdir()]) == 4 and len(scope.names) == 3
+        dealt = spark.table(scope.names[0])
+        assert {r["other"] for r in dealt.where("pulled").collect()} == {"a", "hub", "d", "b"}
+        assert dealt.where("key IS NOT NULL AND other IS NOT NULL").count() == len({*LINKS})
+        assert len(steps) == 7
+        # Only the credits of other pages are dealt by page: neither links nor ranks nor what hubs send.
+        assert plan_of(steps[-1]).count("Exchange hashpartitioning") == 1
+        names = [*scope.names]
+    assert not [*tmp_path.iterdir()] and not any(spark.catalog.tableExists(name) for name in names)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_hubs_with_given_ranks_and_saved_steps(spark, small_hubs, tmp_path):
+    lines = adj(spark, **WEB).withColumn("rank", F.lit(2.0))
+    last = pagerank(lines, 2, initial_rank=None, save_each=f"{tmp_path}/r")
+    want = brute(WEB, 2, 6, start=2.0)
+    # A mere target starts from 0, and sends nothing on.
+    assert as_dict(last) == pytest.approx(want)
+    assert as_dict(spark.read.parquet(f"{tmp_path}/r0")) == pytest.approx(brute(WEB, 1, 6, start=2.0))
+
+
+def test_hubs_are_as_many_as_a_broadcast_holds(spark, monkeypatch):
+    pages = spark.createDataFrame([(f"p{i}", 1 << i, True) for i in range(5, 20)] + [(None, 1 << 30, True), ("x", 0, True)], "page string, out_degree long, is_line boolean")
+    assert hub_degree(pages) == 64
+    monkeypatch.setattr("textgraph.operators.graph.MAX_HUBS", 2)
+    assert hub_degree(pages) is None
+    monkeypatch.setattr("textgraph.operators.graph.HUB_FLOOR", 1 << 19)
+    assert hub_degree(pages) == 1 << 18
+    assert hub_degree(pages.limit(0)) is None
+
+
+def test_a_large_table_of_few_files_is_not_dealt_again(spark, tmp_path, monkeypatch):
+    spark.range(100).repartition(1).write.parquet(f"{tmp_path}/one file")
+    table = spark.read.parquet(f"{tmp_path}/one file")
+    assert plan_of(spread(table)).count("Exchange") == plan_of(spread(table, "id")).count("Exchange") == 1
+    monkeypatch.setattr("textgraph_checks.tables.ROW_GROUP", 1)
+    assert plan_of(spread(table)).count("Exchange") == plan_of(spread(table, "id")).count("Exchange") == 0

@@ -14,13 +14,17 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from textgraph.operators.skew import HOT_FLOOR, every_piece, find_hot, key_hash, or_one, piece_of
-from textgraph.operators.terms import is_small
+from textgraph.operators.terms import MAX_TERM_BYTES, is_small
 from textgraph.scratch import cut_lineage
 
 DAMPING = 0.85
 # A hash table of pages takes about so many bytes a page besides its name, and may take so many a partition.
 PAGE_BYTES = 100
 HASHED_BYTES = 128 << 20
+# A hub has so many links at least; there are so many hubs at most, as their credits are broadcast, and with fewer links than these none is needed.
+HUB_LINKS = 64
+MAX_HUBS = 500_000
+HUB_FLOOR = 1_000_000
 
 
 def prepare_graph(adj: DataFrame, initial_rank: float = 1.0) -> DataFrame:
@@ -101,11 +105,49 @@ def split_sources(links: DataFrame, hot: DataFrame | None) -> DataFrame:
     return cut.select(*links.columns, piece_of(or_one(), "dst").alias("piece"))
 
 
+def page_bytes(pages: DataFrame) -> int:
+    """About how many bytes hash tables of all pages take. Runs one aggregate over the pages."""
+    size = F.lit(PAGE_BYTES) + F.coalesce(F.octet_length(F.col("page").cast("string")), F.lit(0))
+    return pages.agg(F.sum(size.cast("bigint"))).first()[0] or 0
+
+
 def fit_in_hashes(pages: DataFrame, most: int = HASHED_BYTES) -> bool:
     """Whether the pages of one shuffle partition make a hash table of ``most`` bytes at most. Runs one aggregate over the pages."""
-    size = F.lit(PAGE_BYTES) + F.coalesce(F.octet_length(F.col("page").cast("string")), F.lit(0))
-    partitions = int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return (pages.agg(F.sum(size.cast("bigint"))).first()[0] or 0) <= most * partitions
+    return page_bytes(pages) <= most * int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def hub_degree(pages: DataFrame) -> int | None:
+    """The least out-degree of a hub, or None where hubs have too few links to matter.
+
+    Hubs are the pages with the most links, as many as a broadcast may hold. Runs one aggregate over the pages, by quarters of octaves.
+    """
+    quarter = F.floor(F.log2("out_degree") * 4).alias("quarter")
+    size = F.sum(F.octet_length(F.col("page").cast("string")))
+    counts = pages.where(F.col("page").isNotNull() & (F.col("out_degree") >= HUB_LINKS)).groupBy(quarter).agg(
+        F.count("*").alias("n"), size.alias("bytes"), F.sum("out_degree").alias("links"), F.min("out_degree").alias("least")
+    )
+    n = size = links = 0
+    least = None
+    for row in counts.orderBy(F.desc("quarter")).collect():
+        n, size = n + row["n"], size + row["bytes"]
+        if n > MAX_HUBS or size > MAX_TERM_BYTES:
+            break
+        links, least = links + row["links"], row["least"]
+    return least if links >= HUB_FLOOR else None
+
+
+def deal_links(links: DataFrame, pages: DataFrame, least: int, buckets: int) -> DataFrame:
+    """``(key, other, pulled, cnt)``: counted links dealt to ``buckets``, those of hubs by their target, others by their source.
+
+    ``key`` is that end of the link, ``other`` the other one, and ``pulled`` tells the links of hubs.
+    """
+    hubs = F.broadcast(pages.where(F.col("out_degree") >= least).select(F.col("page").alias("_hub")))
+    marked = links.join(hubs, F.col("src") == F.col("_hub"), "left").withColumn("pulled", F.col("_hub").isNotNull())
+    ends = F.when(F.col("pulled"), F.struct(F.col("dst").alias("key"), F.col("src").alias("other"))).otherwise(
+        F.struct(F.col("src").alias("key"), F.col("dst").alias("other"))
+    )
+    dealt = marked.select(ends.alias("ends"), "pulled").select("ends.*", "pulled").repartition(buckets, "key")
+    return dealt.groupBy("key", "other", "pulled").agg(F.count("*").alias("cnt"))
 
 
 def hashed_if(df: DataFrame, hashed: bool) -> DataFrame:
@@ -140,6 +182,8 @@ def pagerank_step(
     pages: DataFrame | None = None,
     hot: DataFrame | None = None,
     hashed: bool = False,
+    pulled: DataFrame | None = None,
+    least: int = 0,
 ) -> DataFrame:
     """Nodes after one step: ``damping * S + (1 - damping) / n``.
 
@@ -147,15 +191,26 @@ def pagerank_step(
     has every page of the result and its out-degree; by default those are the
     pages of ``nodes`` and the targets of links, which have none of their own.
     Rank of pages without links is not handed back. ``hashed``: as in ``rank_contributions``.
+    ``pulled``, which goes with ``pages``, has the counted links of hubs, pages with ``least`` links or more, in buckets by target: the credits of
+    hubs are broadcast to them.
     """
     total = n if isinstance(n, Column) else F.lit(n)
+    credit = F.coalesce("credit", F.lit(0.0))
+    hubs = []
+    if pulled is not None:
+        met = rank_contributions(F.broadcast(nodes.where(F.col("out_degree") >= least)), pulled)
+        hubs = [met.groupBy("page").agg(F.sum("credit").alias("hub_credit"))]
+        nodes = nodes.where(F.col("out_degree") < least)
+        credit = credit + F.coalesce("hub_credit", F.lit(0.0))
     received = rank_contributions(nodes, links, hot, hashed).groupBy("page").agg(F.sum("credit").alias("credit"))
     base = F.lit(float(1 - Decimal(str(damping)))) / total
-    rank = F.lit(damping) * F.coalesce("credit", F.lit(0.0)) + base
+    rank = F.lit(damping) * credit + base
     if pages is None:
         every = nodes.select("page", "out_degree").join(received, "page", "full")
     else:
-        every = pages.select("page", "out_degree").join(hashed_if(received, hashed), "page", "left")
+        every = pages.select("page", "out_degree")
+        for side in [received, *hubs]:
+            every = every.join(hashed_if(side, hashed), "page", "left")
     return every.select("page", rank.alias("rank"), F.coalesce("out_degree", F.lit(0)).alias("out_degree"))
 
 
