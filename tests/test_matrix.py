@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import textgraph.operators.cells as cells_module
-from textgraph import cell_product, dedupe_cells, factored_product, fill_cells, ieee_divide, normalize_rows, recommend, sparse_matmul
+from textgraph import TableScope, cell_product, dedupe_cells, factored_product, fill_cells, ieee_divide, normalize_rows, recommend, sparse_matmul
 from textgraph.operators.cells import attach_row_sums, pair_up, partial_products, product_row_sums
 from textgraph.scratch import cut_lineage
 from textgraph.sources import terms_of
@@ -266,5 +266,11 @@ def test_purchases_are_dealt_once_by_cell(spark, tmp_path):
     assert {r["item"] for r in ids.collect()} == {"7", "8"}
 
 
-def test_tables_between_stages_are_packed(spark):
-    assert all(".zstd." in path for path in cut_lineage(spark.range(3)).inputFiles())
+def test_large_tables_between_stages_are_packed(spark, monkeypatch):
+    written = []
+    monkeypatch.setattr(sys.modules["textgraph.plans.recommend"], "cut_lineage", lambda *args, **more: written.append(cut_lineage(*args, **more)) or written[-1])
+    sparse_matmul(cells(spark, *A), cells(spark, *B), items(spark, *IDS))
+    assert len(written) == 2 and all(".zstd." in path for table in written for path in table.inputFiles())
+    with TableScope(spark) as scope:
+        tables = scope.cut(spark.range(3)), scope.bucketed(spark.range(3), ["id"], 2)
+        assert all(".zstd." in path for table in tables for path in table.inputFiles())

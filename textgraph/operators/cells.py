@@ -27,7 +27,7 @@ from textgraph.operators.skew import (
     sketch_size,
 )
 from textgraph.operators.terms import is_small, keep_terms
-from textgraph.scratch import cut_lineage
+from textgraph.scratch import CODEC, cut_lineage
 
 # An inner index with fewer products than this is never hot.
 HOT_PRODUCTS = 1_000_000
@@ -122,7 +122,7 @@ def partial_products(
 
     on = ["k"]
     # A table of ``SKETCH_CELLS`` rows at most, which is read some times.
-    sketch = cut_lineage(product_sketch(left, right, "k"))
+    sketch = cut_lineage(product_sketch(left, right, "k"), codec=CODEC)
     size = sketch_size(sketch)
     hot = find_hot_cells(sketch, hot_floor, size)
     products = expected_products(size)

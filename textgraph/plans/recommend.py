@@ -18,7 +18,7 @@ from textgraph.operators.cells import (
     zeros_of,
 )
 from textgraph.operators.terms import is_small
-from textgraph.scratch import cut_lineage
+from textgraph.scratch import CODEC, cut_lineage
 
 
 @dataclass(frozen=True)
@@ -42,7 +42,7 @@ class Product:
 def factored_product(a: DataFrame, b: DataFrame, items: DataFrame, hot_floor: int = HOT_PRODUCTS) -> Product:
     """The product of a · b over an item list, without its zeros but with what they follow from."""
     # Each matrix is read for its counts, for the product and for the key sets.
-    a, b = cut_lineage(dedupe_cells(a)), cut_lineage(dedupe_cells(b))
+    a, b = cut_lineage(dedupe_cells(a), codec=CODEC), cut_lineage(dedupe_cells(b), codec=CODEC)
     return Product(sum_cells(partial_products(a, b, items, hot_floor)), *key_sets(a, b), items)
 
 
@@ -65,7 +65,7 @@ def recommend(m1: DataFrame, m2: DataFrame, items: DataFrame, dense: bool = Fals
     The row sums are made from the factors and ride along with the cells of ``m1``, so the
     product streams once into the sum by cell that divides it.
     """
-    a, b = cut_lineage(dedupe_cells(m1)), cut_lineage(dedupe_cells(m2))
+    a, b = cut_lineage(dedupe_cells(m1), codec=CODEC), cut_lineage(dedupe_cells(m2), codec=CODEC)
     small = is_small(items)
     sums = cut_lineage(product_row_sums(a, b, items, small))
     # With zeros to come, the sum by cell shuffles them all.

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from textgraph_checks.tables import spread, table
 from textgraph import cell_product, dedupe_cells, fill_cells, nan_to_null, normalize_rows, recommend, sparse_matmul
-from textgraph.scratch import cut_lineage
+from textgraph.scratch import CODEC, cut_lineage
 
 
 def cells(df: DataFrame, row: str, col: str, val) -> DataFrame:
@@ -74,7 +74,7 @@ QUERIES = {
     "matmul_sparse": lambda spark, sf: sparse_matmul(*purchases(spark, sf)),
     "matmul_dense": lambda spark, sf: sparse_matmul(*nations(spark, sf), dense=True),
     "cells_filled": filled,
-    "rows_normalized": lambda spark, sf: shares(normalize_rows(cut_lineage(sparse_matmul(*purchases(spark, sf))))),
+    "rows_normalized": lambda spark, sf: shares(normalize_rows(cut_lineage(sparse_matmul(*purchases(spark, sf)), codec=CODEC))),
     "recommend": lambda spark, sf: shares(recommend(*purchases(spark, sf))),
     "recommend_dense": lambda spark, sf: shares(recommend(*nations(spark, sf), dense=True)),
     "cells_deduped": lambda spark, sf: dedupe_cells(sold(spark, sf)),
