@@ -198,3 +198,17 @@ def test_folders_are_listed_by_few_tasks(spark, tmp_path):
         spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
     assert spark.conf.get(LISTING) == most
     assert sorted(df.collect()) == sorted((str(i), str(i)) for i in range(200))
+
+
+def test_folders_are_no_partitions_yet_chosen_before_they_are_read(spark, tmp_path):
+    """Values of partitions are resolved in a time that grows with the square of their number."""
+    write_folders(spark.range(5).select("id", F.lit("x").alias("text")), f"{tmp_path}/f", "id", "text")
+    df = read_folders(spark, f"{tmp_path}/f", "id")
+    assert df.dtypes == [("id", "string"), ("value", "string")]
+    relation = df._jdf.queryExecution().analyzed().collectLeaves().head().relation()
+    assert relation.partitionSchema().isEmpty()
+    one = df.where("id = '3'")
+    assert [tuple(r) for r in one.collect()] == [("3", "x")]
+    scan = one._jdf.queryExecution().executedPlan().collectLeaves().head()
+    scan.execute().count()
+    assert scan.metrics().apply("numFiles").value() == 1

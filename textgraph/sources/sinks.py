@@ -8,6 +8,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from textgraph.functions.text import NO_VALUE
+
 
 def write_tsv(df: DataFrame, path: str, cols: list[str] | None = None) -> None:
     """One line per row, fields set apart by tabs, without quotes or escapes.
@@ -35,9 +37,8 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
 # A local folder gets no checksum file beside each file, which would be a second file with its own mode to set.
 # Other file systems are written to as ever.
 PLAIN_FILES = {"fs.file.impl": "org.apache.hadoop.fs.RawLocalFileSystem", "fs.file.impl.disable.cache": "true"}
-# Characters that Spark writes as % and their number in the name of a folder, and its name for null.
+# Characters that Spark writes as % and their number in the name of a folder.
 ESCAPED = r"[\x01-\x1f\x7f\"#%'*/:=?\\{\[\]^]"
-NO_NAME = "__HIVE_DEFAULT_PARTITION__"
 
 
 def write_folders(df: DataFrame, path: str, name: str, text: str, single: bool = True) -> None:
@@ -71,7 +72,7 @@ def _write_local(rows: DataFrame, files, target, name: str, text: str) -> None:
     run = uuid.uuid4().hex
     hidden = rows.sparkSession._jvm.org.apache.hadoop.fs.Path(target.getParent(), f"_{target.getName()}-{run}")
     folder, column = hidden.toUri().getPath(), _in_path(name)
-    escaped, none = ESCAPED, NO_NAME
+    escaped, none = ESCAPED, NO_VALUE
 
     def write(batches):
         # Holds nothing of this package, which workers then need not find.
