@@ -133,7 +133,9 @@ def partial_products(
         tasks = max(tasks, math.ceil(products / TASK_PRODUCTS))
         names = number_items(items) if small else None
         if names is not None:
-            right = right.join(F.broadcast(names), F.col("col") == F.col("item")).select("k", F.col("id").alias("col"), "y")
+            # The numbers keep the columns in the list too.
+            listed = b.join(F.broadcast(names), F.col("col") == F.col("item"))
+            right = listed.select(F.col("row").alias("k"), F.col("id").alias("col"), F.col("val").alias("y"))
     if hot is not None:
         # As many cuts on each side as make the pieces of both alike in size.
         even = F.ceil(F.sqrt(F.col("pieces") * F.col("xs") / F.col("ys"))).cast("bigint")
